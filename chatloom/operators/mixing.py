@@ -52,12 +52,16 @@ class Mix:
 
 @dataclass(frozen=True)
 class Part:
-    """A prepared dataset: rows with a ``_row_key`` column, and how often to take them."""
+    """A prepared dataset: rows with a ``_row_key`` column, and how often to take them.
+
+    *size* is an optional per-row amount (say, tokens) for running totals over the mix.
+    """
 
     name: str
     rows: DataFrame
     weight: float = 1.0
     max_samples: int | None = None
+    size: Column | None = None
 
 
 def check_weights(sources: Iterable[Source | Part]) -> None:
@@ -245,8 +249,12 @@ def mix_parts(
     """Resample each part by weight, concatenate by column name, shuffle.
 
     Weights apply to the rows as given (after transforms and filters). A part of weight
-    zero is never read. With *position*, rows get their exact place
-    ``0..n-1`` in the shuffled order. Adds ``_dataset`` (the part's name).
+    zero is never read. Adds ``_dataset`` (the part's name). With *position*, rows get their
+    exact place ``0..n-1`` in the shuffled order, and, where the parts have a *size*,
+    ``start``: the total size of all rows before.
+
+    A narrow pass over keys (and sizes) finds counts, thresholds and bucket starts; it is kept on
+    disk while those are computed. The rows themselves move once, in the final shuffle.
     """
     check_weights(parts)
     spark = parts[0].rows.sparkSession
@@ -256,7 +264,8 @@ def mix_parts(
     }
     keys = None
     for i, _ in live:
-        one = hashed[i].select(F.lit(i).alias("_part"), "_hash")
+        amount = F.lit(0) if parts[i].size is None else parts[i].size
+        one = hashed[i].select(F.lit(i).alias("_part"), "_hash", amount.cast("bigint").alias("_size"))
         keys = one if keys is None else keys.unionAll(one)
     keys = keys.persist(StorageLevel.DISK_ONLY)
     try:
@@ -277,6 +286,8 @@ def mix_parts(
     mixed = None
     for i, part in used:
         one = _resampled(hashed[i], takes[i], thresholds[i]).withColumn("_dataset", F.lit(part.name))
+        if position and part.size is not None:
+            one = one.withColumn("_size", part.size.cast("bigint"))
         mixed = one if mixed is None else mixed.unionByName(one, allowMissingColumns=True)
     if shuffle:
         mixed = _shuffled(mixed, seed, starts, partitions)
@@ -300,13 +311,14 @@ def _bucket_starts(keys, used, takes, thresholds, seed) -> DataFrame:
         copies = one if copies is None else copies.unionAll(one)
     counted = (
         copies.groupBy(hash_bucket(_shuffle_hash(seed)).alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_amount"))
         .toPandas()
         .sort_values("_bucket")
     )
-    counted["_start"] = counted["_n"].cumsum() - counted["_n"]
+    counted["_first"] = counted["_n"].cumsum() - counted["_n"]
+    counted["_before"] = counted["_amount"].cumsum() - counted["_amount"]
     return copies.sparkSession.createDataFrame(
-        counted[["_bucket", "_start"]], "_bucket int, _start bigint"
+        counted[["_bucket", "_first", "_before"]], "_bucket int, _first bigint, _before bigint"
     )
 
 
@@ -325,12 +337,18 @@ def place_by_hash(rows: DataFrame, starts: DataFrame | None, partitions: int | N
     if starts is None:
         return rows.sortWithinPartitions("_place").drop("_place", "_bucket", "_pid")
     inside = Window.partitionBy("_pid", "_bucket").orderBy("_place")
-    return (
-        rows.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(starts), "_bucket")
-        .withColumn("position", F.col("_start") + F.col("_inside") - 1)
-        .drop("_place", "_bucket", "_pid", "_inside", "_start")
+    rows = rows.withColumn("_inside", F.row_number().over(inside))
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sized = "_size" in rows.columns
+    if sized:
+        rows = rows.withColumn("_upto", F.sum("_size").over(upto))
+    # A left join: every bucket has a start, and no null test is pushed below the shuffle.
+    placed = rows.join(F.broadcast(starts), "_bucket", "left").withColumn(
+        "position", F.col("_first") + F.col("_inside") - 1
     )
+    if sized:
+        placed = placed.withColumn("start", F.col("_before") + F.col("_upto") - F.col("_size"))
+    return placed.drop("_place", "_bucket", "_pid", "_inside", "_first", "_before", "_upto", "_size")
 
 
 # -- single-table forms -----------------------------------------------------------
@@ -366,8 +384,12 @@ def cap_rows(df: DataFrame, limit: int | None, seed: int, key: Sequence[str] = (
 
 
 def number_rows(
-    df: DataFrame, seed: int, key: Sequence[str] = (), partitions: int | None = None
+    df: DataFrame,
+    seed: int,
+    key: Sequence[str] = (),
+    size: Column | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Shuffle one table by seed and add the exact ``position``."""
-    part = Part("all", with_row_key(df, key))
+    """Shuffle one table by seed; add ``position`` and, with *size*, ``start``."""
+    part = Part("all", with_row_key(df, key), size=size)
     return mix_parts([part], seed, position=True, partitions=partitions).rows.drop("_dataset")

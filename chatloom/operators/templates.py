@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -431,11 +432,9 @@ def _with_call_texts(df: DataFrame, messages: str, element: T.StructType) -> tup
         return df, None
 
     @F.arrow_udf("array<array<string>>")
-    def printed(batch):
+    def printed(batch: pa.Array) -> pa.Array:
         import json as json_module
 
-        import pyarrow as pa
-
         def one(text):
             if text is None:
                 return None
