@@ -14,13 +14,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+MAX_TURNS = 1_000_000
+
+
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, messages)``: one row per conversation, turns in order."""
-    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
-    grouped = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("id")).agg(turns.alias("t"))
-    return grouped.select(
-        "id", F.transform("t", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content"))).alias("messages")
+    """``(id, messages)``: one row per conversation, turns in order.
+
+    Turns are numbered from 0, so the number itself bounds a chat: one that cannot be a row
+    fails here instead of filling a task.
+    """
+    number = F.when(
+        F.col("turn") >= MAX_TURNS, F.raise_error(F.lit("a chat has too many turns for one row"))
+    ).otherwise(F.col("turn"))
+    gathered = (
+        table(spark, sf_dir, "conversations")
+        .groupBy(F.col("conv_id").alias("id"))
+        .agg(F.sort_array(F.collect_list(F.struct(number.alias("turn"), "role", "text"))).alias("t"))
     )
+    turns = F.transform("t", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content")))
+    return gathered.select("id", turns.alias("messages"))
 
 
 # The same chat with system turns as user turns: gives neighbours of one role.
