@@ -200,12 +200,17 @@ def _next_flags(before: Column, item: Column) -> Column:
 
 
 def _printed(before: Column, item: Column) -> Column:
-    """An item's text with the brackets that it opens and closes."""
+    """An item's text with the brackets that it opens and closes; NULL where it must not stand."""
     kind = item["kind"]
 
     def when(cond: Column, text: str) -> Column:
         return F.when(cond, F.lit(text)).otherwise(F.lit(""))
 
+    misplaced = (
+        (kind == _BAD)
+        | ((kind == _TOOL) & ~before["assistant"])
+        | ((kind == _OUTPUTS) & before["tool"])
+    )
     closes_tool = before["tool"] & kind.isin(_USER, _STRING, _THOUGHTS, _CALLS, _RESPONSE)
     return F.concat(
         when(closes_tool, "]"),
@@ -214,15 +219,7 @@ def _printed(before: Column, item: Column) -> Column:
         when((kind == _THOUGHTS) & ~before["inner"], INNER),
         when(_ends_inner(before, item), OUTER),
         F.when(kind == _TOOL, F.when(before["tool"], F.lit(", ")).otherwise(F.lit("["))).otherwise(F.lit("")),
-        item["text"],
-    )
-
-
-def _misplaced(before: Column, item: Column) -> Column:
-    return (
-        (item["kind"] == _BAD)
-        | ((item["kind"] == _TOOL) & ~before["assistant"])
-        | ((item["kind"] == _OUTPUTS) & before["tool"])
+        F.when(~misplaced, item["text"]),
     )
 
 
@@ -278,14 +275,4 @@ def _segments(turns: Turns, options: RenderOptions) -> Column:
     return let(pair, body)
 
 
-def _invalid(turns: Turns) -> Column:
-    def any_misplaced(items: Column) -> Column:
-        return F.exists(
-            F.zip_with(F.slice(_states(items), 1, F.size(items)), items, _misplaced), lambda bad: bad
-        )
-
-    no_system_text = _opens_with_system(turns) & _system_text(turns).isNull()
-    return no_system_text | let(_items(turns), any_misplaced)
-
-
-register_template(Template("apertus", _segments, _invalid))
+register_template(Template("apertus", _segments))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatloom.functions.basics import check_policy
+from chatloom.functions.basics import check_policy, fail_when, let
 from chatloom.functions.pyjson import call_arguments
 
 logger = logging.getLogger(__name__)
@@ -56,7 +56,7 @@ class Turns:
 
 @dataclass(frozen=True)
 class Template:
-    """``segments(turns, options)`` and ``invalid(turns)``, both columns.
+    """``segments(turns, options)`` is a column; a NULL text in it marks a chat that cannot be rendered.
 
     *source* is the text of a user's own template file, if there is one; it only serves
     the marker test.
@@ -64,7 +64,6 @@ class Template:
 
     name: str
     segments: Callable[[Turns, RenderOptions], Column]
-    invalid: Callable[[Turns], Column]
     trainable: bool = False
     source: str | None = field(default=None, repr=False)
     prints_arguments: bool = False
@@ -132,13 +131,18 @@ def render_segments(
         df, call_texts = _with_call_texts(df, messages, element)
     turns = Turns(F.col(messages), element, call_texts)
     segments = template.segments(turns, options).cast(SEGMENT_TYPE)
-    bad = F.coalesce(F.col(messages).isNull() | template.invalid(turns), F.lit(False))
+
+    def broken(built: Column) -> Column:
+        return F.coalesce(built.isNull() | F.exists(built, lambda s: s["text"].isNull()), F.lit(True))
+
     if on_bad_row == "drop":
-        out = df.where(~bad).withColumn("segments", segments)
+        # One-element explode, not a filter: see shaping.sft_filter.
+        good = F.filter(F.array(segments), lambda built: ~broken(built))
+        out = df.select("*", F.explode(good).alias("segments"))
     else:
         message = f"a chat cannot be rendered with template '{template.name}'"
         out = df.withColumn(
-            "segments", F.when(bad, F.raise_error(F.lit(message))).otherwise(segments)
+            "segments", let(segments, lambda built: fail_when(broken(built), message, built))
         )
     return out.drop("_call_texts")
 
@@ -162,19 +166,16 @@ def render(
 def train_last_turn_only(segments: Column) -> Column:
     """``mask_history``: only the last trained turn keeps its ``train`` flag."""
     last = F.array_max(F.transform(F.filter(segments, lambda s: s["train"]), lambda s: s["turn"]))
-    return F.get(
-        F.transform(
-            F.array(F.struct(segments.alias("all"), last.alias("last"))),
-            lambda b: F.transform(
-                b["all"],
-                lambda s: F.struct(
-                    s["text"].alias("text"),
-                    (s["train"] & (s["turn"] == b["last"])).alias("train"),
-                    s["turn"].alias("turn"),
-                ),
+    return let(
+        last,
+        lambda last_turn: F.transform(
+            segments,
+            lambda s: F.struct(
+                s["text"].alias("text"),
+                (s["train"] & (s["turn"] == last_turn)).alias("train"),
+                s["turn"].alias("turn"),
             ),
         ),
-        F.lit(0),
     )
 
 
@@ -210,10 +211,6 @@ def _framed(before: Column | None, body: Column, prompt: str | None, turns: Turn
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
-def _null_text(turns: Turns, roles: Sequence[str]) -> Column:
-    return F.exists(turns.column, lambda m: m["role"].isin(*roles) & m["content"].isNull())
-
-
 def _optional(turns: Turns, m: Column, name: str, wrap: Callable[[Column], Column], other: Column | str) -> Column:
     """``wrap(m.name)`` if the field exists and is set, else *other*."""
     other = F.lit(other) if isinstance(other, str) else other
@@ -350,13 +347,11 @@ def _tool_calls(turns: Turns, m: Column, i: Column) -> Column:
                 return F.get(F.get(turns.call_texts, i), k)
             return call_arguments(call["function"]["arguments"], args_type)
 
-        lines = F.array_join(
-            F.transform(
-                calls,
-                lambda call, k: _single(call["function"]["name"], "(", arguments(call, k), ")"),
-            ),
-            "\n",
+        printed = F.transform(
+            calls, lambda call, k: _single(call["function"]["name"], "(", arguments(call, k), ")")
         )
+        # A join would skip a call that cannot be printed; NULL must reach the text instead.
+        lines = F.when(~F.exists(printed, lambda line: line.isNull()), F.array_join(printed, "\n"))
     else:
         lines = F.array_join(calls.cast("array<string>"), "")
     return F.when(
@@ -399,21 +394,6 @@ def _instruct(turns: Turns, options: RenderOptions) -> Column:
     return _framed(_default_system(turns, default), _per_turn(turns, one), prompt, turns)
 
 
-def _instruct_invalid(turns: Turns) -> Column:
-    bad = _null_text(turns, ["system", "user", "environment", "tool"])
-    if turns.has("tool_calls") and isinstance(turns.type_of("tool_calls").elementType, T.StructType):
-        broken = F.exists(
-            turns.column,
-            lambda m: (m["role"] == "assistant")
-            & F.exists(
-                m["tool_calls"],
-                lambda c: c["function"]["name"].isNull() | c["function"]["arguments"].isNull(),
-            ),
-        )
-        bad = bad | F.coalesce(broken, F.lit(False))
-    return bad
-
-
 def _with_call_texts(df: DataFrame, messages: str, element: T.StructType) -> tuple[DataFrame, Column | None]:
     """Print call arguments that come as JSON text of an object with free keys.
 
@@ -453,12 +433,8 @@ def _with_call_texts(df: DataFrame, messages: str, element: T.StructType) -> tup
     return df.withColumn("_call_texts", printed(texts)), F.col("_call_texts")
 
 
-register_template(Template("chatml", _chatml, lambda turns: F.lit(False)))
-register_template(Template("tulu3", _tulu3, lambda turns: _null_text(turns, ["system", "user", "assistant"])))
-register_template(Template("olmo3", _olmo3(False), lambda turns: _null_text(turns, ["system", "user", "environment"])))
-register_template(
-    Template("olmo3-think-sft", _olmo3(True), lambda turns: _null_text(turns, ["system", "user", "environment"]), True)
-)
-register_template(
-    Template("olmo3-instruct-sft", _instruct, _instruct_invalid, True, prints_arguments=True)
-)
+register_template(Template("chatml", _chatml))
+register_template(Template("tulu3", _tulu3))
+register_template(Template("olmo3", _olmo3(False)))
+register_template(Template("olmo3-think-sft", _olmo3(True), trainable=True))
+register_template(Template("olmo3-instruct-sft", _instruct, trainable=True, prints_arguments=True))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.basics import order_hash, word_count, words
+from chatloom.functions.basics import let, order_hash, word_count, words
 from chatloom.operators.templates import segments_text
 
 IGNORED = -100  # fixed value: label of a token that is not trained on
@@ -84,15 +84,12 @@ def _word_tokens(segments: Column) -> Column:
             ),
         )
     )
-    return F.get(
-        F.transform(
-            F.array(tokens),
-            lambda t: F.struct(
-                t["id"].alias("input_ids"),
-                F.transform(t, lambda x: F.when(x["train"], x["id"]).otherwise(IGNORED)).alias("labels"),
-            ),
+    return let(
+        tokens,
+        lambda t: F.struct(
+            t["id"].alias("input_ids"),
+            F.transform(t, lambda x: F.when(x["train"], x["id"]).otherwise(IGNORED)).alias("labels"),
         ),
-        F.lit(0),
     )
 
 

@@ -100,6 +100,7 @@ def utilization(
     starts: DataFrame | None = None,
     world_size: Column | int = 1,
     slice_seconds: int = 3600,
+    digits: int = 4,
 ) -> DataFrame:
     """``mfu`` per record: achieved over peak FLOP/s at 6 FLOPs per token and parameter.
 
@@ -113,6 +114,6 @@ def utilization(
     mfu = _rate() / size * 6 * column(num_params, "double") / column(peak, "double")
     return (
         previous_records(log, starts, slice_seconds)
-        .select("run", "ts", "tokens_seen", F.bround(mfu, 4).alias("mfu"))
+        .select("run", "ts", "tokens_seen", F.bround(mfu, digits).alias("mfu"))
         .where(F.col("mfu").isNotNull())
     )
