@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatloom.functions.basics import WHITESPACE, fail_when, let, py_strip, truthy
+from chatloom.functions.basics import SPACE, SPACE_CHARS, fail_when, let, py_strip, truthy
 from chatloom.functions.turns import (
     answer_after,
     merge_turns,
@@ -144,10 +144,16 @@ def aegis_safety(schema: T.StructType, on_bad_row: str) -> Column:
 
 @register_transform("berkeley_nest_nectar")
 def berkeley_nest_nectar(schema: T.StructType, on_bad_row: str) -> Column:
-    prompt = F.regexp_replace("prompt", rf"(?iu)\A{WHITESPACE}*Human:{WHITESPACE}*", "")
-    prompt = F.regexp_replace(
-        prompt, rf"(?iu)(?<!{WHITESPACE}){WHITESPACE}*Assistant:{WHITESPACE}*\z", ""
-    )
+    prompt = F.regexp_replace("prompt", rf"(?iu)\A{SPACE}*Human:{SPACE}*", "")
+
+    def without_label(text: Column) -> Column:
+        """Cut the label off the end; only the last characters are looked at."""
+        tail = F.rtrim(text, F.lit(SPACE_CHARS))
+        label = F.rlike(F.right(tail, F.lit(10)), F.lit(r"(?iu)\AAssistant:\z"))
+        rest = F.rtrim(F.left(tail, F.length(tail) - 10), F.lit(SPACE_CHARS))
+        return F.when(label, rest).otherwise(text)
+
+    prompt = let(prompt, without_label)
     answers = F.col("answers")
 
     def pick(best: Column) -> Column:

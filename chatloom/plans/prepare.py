@@ -24,7 +24,7 @@ from chatloom.operators.registry import get_transform
 from chatloom.operators.shaping import apply_transform, dpo_filter, keep_columns, sft_filter
 from chatloom.operators.templates import RenderOptions, render_segments, require_markers, train_last_turn_only
 from chatloom.operators.tokens import WORDS, FileTokenizer, tokenize, truncate
-from chatloom.sources.readers import load_dataset, write_prepared
+from chatloom.sources.readers import load_dataset, spread_small, write_prepared
 
 RowFilter = Callable[[DataFrame], DataFrame] | Column
 
@@ -34,7 +34,7 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
     df = load_dataset(
         spark, source.path, source.split, source.data_dir, source.subset, row_key=not source.key
     )
-    return with_row_key(df, source.key)
+    return spread_small(with_row_key(df, source.key), KEY)
 
 
 def shape_source(

@@ -158,6 +158,18 @@ def list_splits(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def spread_small(df: DataFrame, *key: str) -> DataFrame:
+    """Give every core a share of an input that has fewer files than there are cores.
+
+    Such an input is small, but may come as a single row group, which one task reads and
+    then works on alone. Inputs of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, *[F.col(k) for k in key])
+
+
 def map_tags(
     df: DataFrame, columns: Mapping[str, str], tags: Mapping[str, str], on_bad_row: str = "fail"
 ) -> DataFrame:

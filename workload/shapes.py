@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.sources.readers import spread_small
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,6 +57,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work that is heavy per row."""
+    return spread_small(documents(spark, sf_dir), "id")
+
+
 def labeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with ``quality`` and ``toxic``, NULL where not labeled."""
     return documents(spark, sf_dir).join(

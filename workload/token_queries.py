@@ -7,7 +7,7 @@ from functools import cache
 
 from pyspark.sql import functions as F
 
-from chatloom.functions.basics import WHITESPACE, word_count
+from chatloom.functions.basics import word_count
 from chatloom.operators import templates as t
 from chatloom.operators import tokens as k
 from chatloom.operators.mixing import Mix, Source, number_rows
@@ -16,7 +16,7 @@ from chatloom.plans.prepare import prepare_sft
 from workload import shapes
 from workload.mix_queries import SEED
 from workload.template_queries import NO_FUNCTIONS, OPTIONS, THINK_SYSTEM, olmo_segments
-from workload.transform_queries import FACTS, TURNS
+from workload.transform_queries import FACTS, TURNS, WHITESPACE
 
 QUERIES = {}
 ORACLES = {}
@@ -54,7 +54,7 @@ def _segments(spark, sf_dir):
 
 
 def _doc_counts(spark, sf_dir):
-    return shapes.documents(spark, sf_dir).select("id", word_count(F.col("text")).alias("n"))
+    return shapes.spread_documents(spark, sf_dir).select("id", word_count(F.col("text")).alias("n"))
 
 
 # -- encode -----------------------------------------------------------------------------
@@ -66,7 +66,7 @@ def _doc_counts(spark, sf_dir):
 FROM (SELECT doc_id AS id, unnest({words("text")}) AS word FROM documents) GROUP BY id""",
 )
 def tokenize_words(spark, sf_dir):
-    encoded = k.tokenize_text(shapes.documents(spark, sf_dir).select("id", "text"))
+    encoded = k.tokenize_text(shapes.spread_documents(spark, sf_dir).select("id", "text"))
     return encoded.select("id", *_id_facts("input_ids"))
 
 
@@ -93,7 +93,7 @@ def byte_tokenizer() -> k.FileTokenizer:
 
 @query("tokenize_file", "SELECT doc_id AS id, strlen(text) AS n_tokens FROM documents")
 def tokenize_file(spark, sf_dir):
-    encoded = k.tokenize_text(shapes.documents(spark, sf_dir).select("id", "text"), byte_tokenizer())
+    encoded = k.tokenize_text(shapes.spread_documents(spark, sf_dir).select("id", "text"), byte_tokenizer())
     return encoded.select("id", F.size("input_ids").cast("bigint").alias("n_tokens"))
 
 
@@ -127,7 +127,7 @@ def label_counts(spark, sf_dir):
 FROM (SELECT doc_id AS id, list_slice({words("text")}, 1, 128) AS ws FROM documents) WHERE len(ws) > 0""",
 )
 def truncate(spark, sf_dir):
-    encoded = k.tokenize_text(shapes.documents(spark, sf_dir).select("id", "text")).drop("text")
+    encoded = k.tokenize_text(shapes.spread_documents(spark, sf_dir).select("id", "text")).drop("text")
     return k.truncate(encoded, 128).select("id", *_id_facts("input_ids")[:2]).where("n_tokens > 0")
 
 
@@ -139,7 +139,7 @@ PLACED = f"""placed AS (
 
 
 def _numbered_documents(spark, sf_dir):
-    encoded = k.tokenize_text(shapes.documents(spark, sf_dir).select("id", "text")).drop("text")
+    encoded = k.tokenize_text(shapes.spread_documents(spark, sf_dir).select("id", "text")).drop("text")
     return number_rows(encoded, SEED, ["id"], size=F.size("input_ids"))
 
 
@@ -274,7 +274,7 @@ FROM (SELECT id, ws, unnest(list_slice(ws, 1, 40)) AS word, generate_subscripts(
 def preview_tokens(spark, sf_dir):
     from chatloom.functions.basics import words as word_list
 
-    rows = k.tokenize_text(shapes.documents(spark, sf_dir).select("id", "text"))
+    rows = k.tokenize_text(shapes.spread_documents(spark, sf_dir).select("id", "text"))
     return k.preview_tokens(rows, "id", word_list(F.col("text")))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chatloom.functions.basics import WHITESPACE
 from chatloom.functions.turns import flatten_turns
 from chatloom.operators.shaping import apply_transform, sft_filter
 from workload import shapes
@@ -31,6 +30,12 @@ def _chat_facts(spark, sf_dir):
 
 # -- SQL pieces -------------------------------------------------------------------
 
+# White space as an RE2 class.
+WHITESPACE = (
+    r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+
 TURNS = """turns AS (
   SELECT conv_id AS id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, role, text AS content
   FROM conversations)"""
@@ -117,7 +122,7 @@ _query(
         """CASE WHEN lang = 'de' THEN '' WHEN lang = 'es' THEN source
              WHEN n_chars % 3 = 0 THEN source WHEN n_chars % 3 = 2 THEN lang ELSE text END""",
     ),
-    shapes.documents,
+    shapes.spread_documents,
     "concat(' human: ', text, ' ASSISTANT:') AS prompt",
     """CASE WHEN lang <> 'de' THEN transform(
          array(struct(source AS answer, n_chars % 3 AS r), struct(lang AS answer, (n_chars + 1) % 3 AS r),
