@@ -30,7 +30,11 @@ KEY = "_row_key"
 
 @dataclass(frozen=True)
 class Source:
-    """One dataset of a mix."""
+    """One dataset of a mix.
+
+    Give *schema* (DDL) for large JSON or CSV data: without it Spark reads everything once to
+    infer it. *key* names columns that identify a row.
+    """
 
     name: str
     path: str
@@ -41,6 +45,7 @@ class Source:
     subset: str | None = None
     key: tuple[str, ...] = ()
     max_samples: int | None = None
+    schema: str | None = None
 
 
 @dataclass(frozen=True)

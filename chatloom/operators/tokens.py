@@ -55,7 +55,7 @@ def tokenize(df: DataFrame, tokenizer: str | FileTokenizer = WORDS) -> DataFrame
     the edge of a span counts as inside.
     """
     if isinstance(tokenizer, FileTokenizer):
-        encoded = _file_encoder(tokenizer)(segments_text(), _span_ends(F.col("segments")))
+        encoded = _masked_encoder(tokenizer.definition)(segments_text(), _signed_lengths(F.col("segments")))
     else:
         encoded = _word_tokens(F.col("segments"))
     return (
@@ -69,8 +69,7 @@ def tokenize(df: DataFrame, tokenizer: str | FileTokenizer = WORDS) -> DataFrame
 def tokenize_text(df: DataFrame, tokenizer: str | FileTokenizer = WORDS, text: str = "text") -> DataFrame:
     """Add ``input_ids`` of a plain text column."""
     if isinstance(tokenizer, FileTokenizer):
-        nothing = F.array().cast("array<int>")
-        return df.withColumn("input_ids", _file_encoder(tokenizer)(F.col(text), nothing)["input_ids"])
+        return df.withColumn("input_ids", _text_encoder(tokenizer.definition)(F.col(text)))
     return df.withColumn("input_ids", F.transform(words(F.col(text)), word_id))
 
 
@@ -93,7 +92,7 @@ def _word_tokens(segments: Column) -> Column:
     )
 
 
-def _span_ends(segments: Column) -> Column:
+def _signed_lengths(segments: Column) -> Column:
     """Lengths of the segments, in order; the sign tells trained (+) from not trained (-).
 
     A length is stored plus one, so that an empty segment keeps its sign.
@@ -104,53 +103,82 @@ def _span_ends(segments: Column) -> Column:
     )
 
 
-def _file_encoder(tokenizer: FileTokenizer):
-    definition = tokenizer.definition
+# Texts encoded at a time: the encoder's own records are far larger than the ids.
+_ENCODE_ROWS = 64
+
+
+def _load_encoder(definition: str):
+    """The tokenizer, once per Python worker task; Spark's tasks are the parallelism."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_str(definition)
+    encoder.no_padding()
+    encoder.no_truncation()
+    return encoder
+
+
+def _list_array(rows: list, valid: list[bool]) -> pa.Array:
+    """``array<int>`` from one numpy array per row, without a Python object per token."""
+    import numpy as np
+
+    ends = np.cumsum([0, *map(len, rows)])
+    values = pa.array(np.concatenate([np.empty(0, np.int32), *rows]), pa.int32())
+    bounds = pa.array(ends.astype(np.int32), mask=~np.array([*valid, True]))
+    return pa.ListArray.from_arrays(bounds, values)
+
+
+def _text_encoder(definition: str):
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import numpy as np
+
+        encoder = _load_encoder(definition)
+        for texts in batches:
+            rows, valid = [], []
+            for at in range(0, len(texts), _ENCODE_ROWS):
+                part = texts.slice(at, _ENCODE_ROWS).to_pylist()
+                found = encoder.encode_batch_fast([t or "" for t in part], add_special_tokens=False)
+                rows.extend(np.asarray(e.ids, np.int32) for e in found)
+                valid.extend(t is not None for t in part)
+            yield _list_array(rows, valid)
+
+    return encode
+
+
+def _masked_encoder(definition: str):
     ignored = IGNORED
 
     @F.arrow_udf("struct<input_ids:array<int>,labels:array<int>>")
     def encode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        import os
-
         import numpy as np
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        encoder = _load_encoder(definition)
+
+        def mask(ids, offsets, lengths):
+            """Keep the ids of tokens that overlap a trained span."""
+            signed = np.asarray(lengths, np.int64)
+            trained = np.repeat(signed > 0, np.abs(signed) - 1)
+            before = np.concatenate([[0], np.cumsum(trained)])
+            bounds = np.minimum(np.asarray(offsets, np.int64).reshape(-1, 2), len(trained))
+            inside = before[bounds[:, 1]] > before[bounds[:, 0]]
+            return np.where(inside, ids, ignored).astype(np.int32)
 
-        encoder = Tokenizer.from_str(definition)
-        encoder.no_padding()
-        encoder.no_truncation()
         for texts, spans in batches:
-            known = [i for i, t in enumerate(texts) if t.is_valid]
-            encodings = dict(
-                zip(
-                    known,
-                    encoder.encode_batch([texts[i].as_py() for i in known], add_special_tokens=False),
-                    strict=True,
-                )
-            )
-            lengths, ids, labels = [], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
-            for i in range(len(texts)):
-                got = encodings.get(i)
-                row = np.asarray(got.ids if got else [], np.int32)
-                lengths.append(len(row))
-                ids.append(row)
-                signed = np.asarray(spans[i].as_py() or [], np.int64)
-                if got is None or not (signed > 0).any():
-                    labels.append(np.full(len(row), ignored, np.int32))
-                    continue
-                trained = np.repeat(signed > 0, np.abs(signed) - 1)
-                before = np.concatenate([[0], np.cumsum(trained)])
-                offsets = np.minimum(np.asarray(got.offsets, np.int64).reshape(-1, 2), len(trained))
-                inside = before[offsets[:, 1]] > before[offsets[:, 0]]
-                labels.append(np.where(inside, row, ignored).astype(np.int32))
-            bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+            all_ids, all_labels, valid = [], [], []
+            for at in range(0, len(texts), _ENCODE_ROWS):
+                part = texts.slice(at, _ENCODE_ROWS).to_pylist()
+                lengths = spans.slice(at, _ENCODE_ROWS).to_pylist()
+                found = encoder.encode_batch([t or "" for t in part], add_special_tokens=False)
+                for encoding, spans_of_row in zip(found, lengths, strict=True):
+                    ids = np.asarray(encoding.ids, np.int32)
+                    all_ids.append(ids)
+                    all_labels.append(mask(ids, encoding.offsets, spans_of_row or []))
+                valid.extend(t is not None for t in part)
             yield pa.StructArray.from_arrays(
-                [
-                    pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(ids))),
-                    pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(labels))),
-                ],
-                names=["input_ids", "labels"],
+                [_list_array(all_ids, valid), _list_array(all_labels, valid)], names=["input_ids", "labels"]
             )
 
     return encode
@@ -188,7 +216,7 @@ def token_stats(df: DataFrame, n_tokens: Column | str) -> DataFrame:
 def length_sample(df: DataFrame, n_tokens: Column | str, order_by: Sequence[str], rows: int = 200) -> DataFrame:
     """Min, max and mean length of the first *rows* rows; rows without a length are skipped."""
     n = F.col(n_tokens) if isinstance(n_tokens, str) else n_tokens
-    first = df.select(*order_by, n.alias("_n")).orderBy(*order_by).limit(rows)
+    first = df.orderBy(*order_by).limit(rows).select(n.alias("_n")).where(F.col("_n").isNotNull())
     return first.agg(
         F.count(F.lit(1)).alias("sampled_rows"),
         F.min("_n").cast("bigint").alias("min_tokens"),
@@ -274,12 +302,12 @@ def preview_tokens(df: DataFrame, id_column: str, decode: Column | None = None,
 
     *decode* is an optional array column of the tokens' texts.
     """
-    head = df.select(
+    head = df.orderBy(id_column).limit(rows).select(
         id_column,
         F.size("input_ids").cast("bigint").alias("n_tokens"),
         F.slice("input_ids", 1, first).alias("_ids"),
         (F.slice(decode, 1, first) if decode is not None else F.lit(None).cast("array<string>")).alias("_texts"),
-    ).orderBy(id_column).limit(rows)
+    )
     return head.select(id_column, "n_tokens", "_texts", F.posexplode("_ids").alias("pos", "token_id")).select(
         id_column,
         "n_tokens",
@@ -299,11 +327,8 @@ def label_counts(labels: Column | str = "labels") -> tuple[Column, Column]:
 def preview_labels(df: DataFrame, id_column: str, trained_text: Column, n: int = 3, limit: int = 200) -> DataFrame:
     """Label counts and the trained-on text of the first rows."""
     total, masked = label_counts()
-    return (
-        df.select(id_column, total, masked, shorten(trained_text, limit, note=True).alias("trained_text"))
-        .orderBy(id_column)
-        .limit(n)
-    )
+    first = df.orderBy(id_column).limit(n)
+    return first.select(id_column, total, masked, shorten(trained_text, limit, note=True).alias("trained_text"))
 
 
 def dataset_facts(df: DataFrame) -> DataFrame:

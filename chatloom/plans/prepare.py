@@ -23,7 +23,7 @@ from chatloom.operators.packing import pack_best_fit, pack_wrap
 from chatloom.operators.registry import get_transform
 from chatloom.operators.shaping import apply_transform, dpo_filter, keep_columns, sft_filter
 from chatloom.operators.templates import RenderOptions, render_segments, require_markers, train_last_turn_only
-from chatloom.operators.tokens import WORDS, FileTokenizer, tokenize, truncate
+from chatloom.operators.tokens import WORDS, FileTokenizer, segment_word_count, tokenize, truncate
 from chatloom.sources.readers import load_dataset, spread_small, write_prepared
 
 RowFilter = Callable[[DataFrame], DataFrame] | Column
@@ -32,7 +32,13 @@ RowFilter = Callable[[DataFrame], DataFrame] | Column
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
     """Rows of one dataset with a unique row key."""
     df = load_dataset(
-        spark, source.path, source.split, source.data_dir, source.subset, row_key=not source.key
+        spark,
+        source.path,
+        source.split,
+        source.data_dir,
+        source.subset,
+        schema=source.schema,
+        row_key=not source.key,
     )
     return spread_small(with_row_key(df, source.key), KEY)
 
@@ -176,10 +182,14 @@ def prepare_sft(
         rows = render_segments(rows, template, options, on_bad_row).drop("messages")
         if last_turn_only:
             rows = rows.withColumn("segments", train_last_turn_only(F.col("segments")))
+        if not isinstance(tokenizer, FileTokenizer):
+            # Counting words is cheaper than encoding them, and the first pass only counts.
+            rows = rows.withColumn("n_tokens", segment_word_count(F.col("segments")))
         rows = tokenize(rows, tokenizer)
+        if isinstance(tokenizer, FileTokenizer):
+            rows = rows.withColumn("n_tokens", F.size("input_ids"))
         if packing != "wrap":
-            rows = truncate(rows, max_length)
-        rows = rows.withColumn("n_tokens", F.size("input_ids"))
+            rows = truncate(rows, max_length).withColumn("n_tokens", F.least("n_tokens", F.lit(max_length)))
         if staging is not None:
             place = f"{staging}/{list(mix.sources).index(source):04d}"
             rows.write.mode("errorifexists").parquet(place)

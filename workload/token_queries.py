@@ -139,8 +139,10 @@ PLACED = f"""placed AS (
 
 
 def _numbered_documents(spark, sf_dir):
-    encoded = k.tokenize_text(shapes.spread_documents(spark, sf_dir).select("id", "text")).drop("text")
-    return number_rows(encoded, SEED, ["id"], size=F.size("input_ids"))
+    """Texts are counted first, then shuffled, then encoded where they arrive."""
+    rows = shapes.spread_documents(spark, sf_dir).select("id", "text")
+    numbered = number_rows(rows, SEED, ["id"], size=word_count(F.col("text")))
+    return k.tokenize_text(numbered).drop("text")
 
 
 @query(
@@ -274,8 +276,8 @@ FROM (SELECT id, ws, unnest(list_slice(ws, 1, 40)) AS word, generate_subscripts(
 def preview_tokens(spark, sf_dir):
     from chatloom.functions.basics import words as word_list
 
-    rows = k.tokenize_text(shapes.spread_documents(spark, sf_dir).select("id", "text"))
-    return k.preview_tokens(rows, "id", word_list(F.col("text")))
+    first = shapes.documents(spark, sf_dir).select("id", "text").orderBy("id").limit(3)
+    return k.preview_tokens(k.tokenize_text(first), "id", word_list(F.col("text")))
 
 
 @query(
@@ -288,7 +290,9 @@ SELECT id, n_labels, n_masked, CASE WHEN length(text) > 200 THEN substr(text, 1,
 FROM totals JOIN texts USING (id) ORDER BY id LIMIT 3""",
 )
 def preview_labels(spark, sf_dir):
-    rows = _segments(spark, sf_dir)
+    rows = t.render_segments(
+        shapes.chats(spark, sf_dir).orderBy("id").limit(3), "olmo3-think-sft", OPTIONS
+    ).select("id", "segments")
     trained = t.segments_text(F.filter("segments", lambda s: s["train"]))
     kept = rows.withColumn("trained", trained)
     return k.preview_labels(k.tokenize(kept), "id", F.col("trained"))
