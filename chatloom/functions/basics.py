@@ -87,6 +87,14 @@ def scan_states(
     return let(items, over)
 
 
+def join_all(texts: Column, separator: str) -> Column:
+    """``array_join`` that gives NULL, not a shorter text, when a piece is NULL."""
+    return let(
+        texts,
+        lambda t: F.when(~F.exists(t, lambda x: x.isNull()), F.array_join(t, separator)),
+    )
+
+
 def truthy(col: Column, dtype: T.DataType) -> Column:
     """Python truth value of a column; NULL is false."""
     if isinstance(dtype, T.BooleanType):

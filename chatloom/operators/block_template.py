@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatloom.functions.basics import let, scan_states
+from chatloom.functions.basics import join_all, let, scan_states
 from chatloom.operators.templates import RenderOptions, Template, Turns, register_template
 from chatloom.operators.tool_signatures import tool_signatures
 
@@ -59,7 +59,7 @@ def _call_list(calls: Column, name, arguments) -> Column:
     printed = F.transform(
         calls, lambda c: F.concat(F.lit('{"'), name(c), F.lit('": '), arguments(c), F.lit("}"))
     )
-    return F.concat(F.lit(CALLS + "["), F.array_join(printed, ", "), F.lit("]" + END_CALLS))
+    return F.concat(F.lit(CALLS + "["), join_all(printed, ", "), F.lit("]" + END_CALLS))
 
 
 def _content_fields(turns: Turns) -> set[str]:

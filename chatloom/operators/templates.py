@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatloom.functions.basics import check_policy, fail_when, let
+from chatloom.functions.basics import check_policy, fail_when, join_all, let
 from chatloom.functions.pyjson import call_arguments
 
 logger = logging.getLogger(__name__)
@@ -350,8 +350,7 @@ def _tool_calls(turns: Turns, m: Column, i: Column) -> Column:
         printed = F.transform(
             calls, lambda call, k: _single(call["function"]["name"], "(", arguments(call, k), ")")
         )
-        # A join would skip a call that cannot be printed; NULL must reach the text instead.
-        lines = F.when(~F.exists(printed, lambda line: line.isNull()), F.array_join(printed, "\n"))
+        lines = join_all(printed, "\n")
     else:
         lines = F.array_join(calls.cast("array<string>"), "")
     return F.when(

@@ -226,8 +226,11 @@ def perfectblend(schema: T.StructType, on_bad_row: str) -> Column:
 @register_transform("orca_agentinstruct_1m")
 def orca_agentinstruct_1m(schema: T.StructType, on_bad_row: str) -> Column:
     text = F.col("messages")
-    is_list = F.rlike(text, F.lit(r"\A[ \t\r\n]*\[")) & F.rlike(text, F.lit(r"\][ \t\r\n]*\z"))
-    valid = F.coalesce(is_list & F.try_parse_json(text).isNotNull(), F.lit(False))
+    # The parser stops after the first value. As an object's value and as an array's element, only
+    # a text that is one value all the way through parses.
+    whole = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    whole = whole & F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
+    valid = F.coalesce(F.rlike(text, F.lit(r"\A[ \t\r\n]*\[")) & whole, F.lit(False))
     parsed = F.from_json(text, "array<struct<content:string,role:string>>")
     return let(
         parsed,

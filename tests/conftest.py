@@ -12,7 +12,7 @@ def make_session():
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("chatloom-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
