@@ -48,16 +48,19 @@ def word_id(word: Column) -> Column:
 # -- encode and mask ----------------------------------------------------------------
 
 
-def tokenize(df: DataFrame, tokenizer: str | FileTokenizer = WORDS) -> DataFrame:
-    """Replace ``segments`` by ``input_ids`` and ``labels``.
+def tokenize(
+    df: DataFrame, tokenizer: str | FileTokenizer = WORDS, max_length: int | None = None
+) -> DataFrame:
+    """Replace ``segments`` by ``input_ids`` and ``labels``, cut at *max_length*.
 
     A label equals its id inside trained spans and is -100 elsewhere; a token that crosses
     the edge of a span counts as inside.
     """
     if isinstance(tokenizer, FileTokenizer):
-        encoded = _masked_encoder(tokenizer.definition)(segments_text(), _signed_lengths(F.col("segments")))
+        encode = _masked_encoder(tokenizer.definition, max_length)
+        encoded = encode(segments_text(), _signed_lengths(F.col("segments")))
     else:
-        encoded = _word_tokens(F.col("segments"))
+        encoded = _word_tokens(F.col("segments"), max_length)
     return (
         df.withColumn("_encoded", encoded)
         .withColumn("input_ids", F.col("_encoded.input_ids"))
@@ -66,30 +69,43 @@ def tokenize(df: DataFrame, tokenizer: str | FileTokenizer = WORDS) -> DataFrame
     )
 
 
-def tokenize_text(df: DataFrame, tokenizer: str | FileTokenizer = WORDS, text: str = "text") -> DataFrame:
-    """Add ``input_ids`` of a plain text column."""
+def tokenize_text(
+    df: DataFrame,
+    tokenizer: str | FileTokenizer = WORDS,
+    text: str = "text",
+    max_length: int | None = None,
+) -> DataFrame:
+    """Add ``input_ids`` of a plain text column, cut at *max_length*."""
     if isinstance(tokenizer, FileTokenizer):
-        return df.withColumn("input_ids", _text_encoder(tokenizer.definition)(F.col(text)))
-    return df.withColumn("input_ids", F.transform(words(F.col(text)), word_id))
+        return df.withColumn("input_ids", _text_encoder(tokenizer.definition, max_length)(F.col(text)))
+    return df.withColumn("input_ids", F.transform(_cut(words(F.col(text)), max_length), word_id))
+
 
+def _cut(tokens: Column, max_length: int | None) -> Column:
+    return tokens if max_length is None else F.slice(tokens, 1, max_length)
 
-def _word_tokens(segments: Column) -> Column:
+
+def _word_tokens(segments: Column, max_length: int | None) -> Column:
     tokens = F.flatten(
         F.transform(
             segments,
             lambda s: F.transform(
-                words(s["text"]),
-                lambda w: F.struct(word_id(w).alias("id"), s["train"].alias("train")),
+                words(s["text"]), lambda w: F.struct(w.alias("word"), s["train"].alias("train"))
             ),
         )
     )
-    return let(
-        tokens,
-        lambda t: F.struct(
-            t["id"].alias("input_ids"),
-            F.transform(t, lambda x: F.when(x["train"], x["id"]).otherwise(IGNORED)).alias("labels"),
-        ),
-    )
+
+    def encode(t: Column) -> Column:
+        ids = F.transform(t, lambda x: F.struct(word_id(x["word"]).alias("id"), x["train"].alias("train")))
+        return let(
+            ids,
+            lambda known: F.struct(
+                known["id"].alias("input_ids"),
+                F.transform(known, lambda x: F.when(x["train"], x["id"]).otherwise(IGNORED)).alias("labels"),
+            ),
+        )
+
+    return encode(_cut(tokens, max_length))
 
 
 def _signed_lengths(segments: Column) -> Column:
@@ -130,7 +146,7 @@ def _list_array(rows: list, valid: list[bool]) -> pa.Array:
     return pa.ListArray.from_arrays(bounds, values)
 
 
-def _text_encoder(definition: str):
+def _text_encoder(definition: str, max_length: int | None):
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import numpy as np
@@ -141,14 +157,14 @@ def _text_encoder(definition: str):
             for at in range(0, len(texts), _ENCODE_ROWS):
                 part = texts.slice(at, _ENCODE_ROWS).to_pylist()
                 found = encoder.encode_batch_fast([t or "" for t in part], add_special_tokens=False)
-                rows.extend(np.asarray(e.ids, np.int32) for e in found)
+                rows.extend(np.asarray(e.ids, np.int32)[:max_length] for e in found)
                 valid.extend(t is not None for t in part)
             yield _list_array(rows, valid)
 
     return encode
 
 
-def _masked_encoder(definition: str):
+def _masked_encoder(definition: str, max_length: int | None):
     ignored = IGNORED
 
     @F.arrow_udf("struct<input_ids:array<int>,labels:array<int>>")
@@ -174,8 +190,8 @@ def _masked_encoder(definition: str):
                 found = encoder.encode_batch([t or "" for t in part], add_special_tokens=False)
                 for encoding, spans_of_row in zip(found, lengths, strict=True):
                     ids = np.asarray(encoding.ids, np.int32)
-                    all_ids.append(ids)
-                    all_labels.append(mask(ids, encoding.offsets, spans_of_row or []))
+                    all_ids.append(ids[:max_length])
+                    all_labels.append(mask(ids, encoding.offsets, spans_of_row or [])[:max_length])
                 valid.extend(t is not None for t in part)
             yield pa.StructArray.from_arrays(
                 [_list_array(all_ids, valid), _list_array(all_labels, valid)], names=["input_ids", "labels"]
@@ -325,10 +341,10 @@ def label_counts(labels: Column | str = "labels") -> tuple[Column, Column]:
 
 
 def preview_labels(df: DataFrame, id_column: str, trained_text: Column, n: int = 3, limit: int = 200) -> DataFrame:
-    """Label counts and the trained-on text of the first rows."""
+    """Label counts and the trained-on text of the first rows; no text where all is masked."""
     total, masked = label_counts()
-    first = df.orderBy(id_column).limit(n)
-    return first.select(id_column, total, masked, shorten(trained_text, limit, note=True).alias("trained_text"))
+    shown = F.when(F.exists("labels", lambda x: x != IGNORED), shorten(trained_text, limit, note=True))
+    return df.orderBy(id_column).limit(n).select(id_column, total, masked, shown.alias("trained_text"))
 
 
 def dataset_facts(df: DataFrame) -> DataFrame:

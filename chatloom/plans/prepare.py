@@ -23,7 +23,7 @@ from chatloom.operators.packing import pack_best_fit, pack_wrap
 from chatloom.operators.registry import get_transform
 from chatloom.operators.shaping import apply_transform, dpo_filter, keep_columns, sft_filter
 from chatloom.operators.templates import RenderOptions, render_segments, require_markers, train_last_turn_only
-from chatloom.operators.tokens import WORDS, FileTokenizer, segment_word_count, tokenize, truncate
+from chatloom.operators.tokens import WORDS, FileTokenizer, segment_word_count, tokenize
 from chatloom.sources.readers import load_dataset, spread_small, write_prepared
 
 RowFilter = Callable[[DataFrame], DataFrame] | Column
@@ -185,11 +185,12 @@ def prepare_sft(
         if not isinstance(tokenizer, FileTokenizer):
             # Counting words is cheaper than encoding them, and the first pass only counts.
             rows = rows.withColumn("n_tokens", segment_word_count(F.col("segments")))
-        rows = tokenize(rows, tokenizer)
+        cut = None if packing == "wrap" else max_length
+        rows = tokenize(rows, tokenizer, cut)
         if isinstance(tokenizer, FileTokenizer):
             rows = rows.withColumn("n_tokens", F.size("input_ids"))
-        if packing != "wrap":
-            rows = truncate(rows, max_length).withColumn("n_tokens", F.least("n_tokens", F.lit(max_length)))
+        elif cut is not None:
+            rows = rows.withColumn("n_tokens", F.least("n_tokens", F.lit(cut)))
         if staging is not None:
             place = f"{staging}/{list(mix.sources).index(source):04d}"
             rows.write.mode("errorifexists").parquet(place)

@@ -100,6 +100,16 @@ def test_truncate(spark):
     assert k.truncate(df.drop("labels"), 9).first().input_ids == [1, 2, 3]
 
 
+def test_cut_while_encoding(spark):
+    parts = [("a b ", False, 0), ("c d", True, 1)]
+    for tokenizer in (k.WORDS, byte_tokenizer()):
+        full = k.tokenize(segments(spark, parts), tokenizer).first()
+        cut = k.tokenize(segments(spark, parts), tokenizer, max_length=3).first()
+        assert (cut.input_ids, cut.labels) == (full.input_ids[:3], full.labels[:3])
+        texts = spark.createDataFrame([("a b c d",)], "text string")
+        assert len(k.tokenize_text(texts, tokenizer, max_length=3).first().input_ids) == 3
+
+
 # -- packing --------------------------------------------------------------------------
 
 

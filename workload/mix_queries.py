@@ -115,7 +115,7 @@ def mix_capped(spark, sf_dir):
   SELECT conv_id, turn, row_number() OVER (ORDER BY md5(concat_ws(':', {SEED}, conv_id, turn))) AS rk,
          count(*) OVER () AS n
   FROM conversations)
-SELECT conv_id, turn FROM (SELECT *, unnest([0, 1]) AS copy FROM ranked) WHERE copy * n + rk <= 800""",
+SELECT conv_id, turn FROM (SELECT *, unnest(generate_series(0, CAST(800 // n AS BIGINT))) AS copy FROM ranked) WHERE copy * n + rk <= 800""",
 )
 def resample_to_size(spark, sf_dir):
     turns = shapes.table(spark, sf_dir, "conversations").select("conv_id", "turn")

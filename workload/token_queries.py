@@ -123,12 +123,24 @@ def label_counts(spark, sf_dir):
 
 @query(
     "truncate",
-    f"""SELECT id, CAST(len(ws) AS BIGINT) AS n_tokens, CAST(list_sum(list_transform(ws, lambda word: {WORD_ID})) AS BIGINT) AS id_sum
-FROM (SELECT doc_id AS id, list_slice({words("text")}, 1, 128) AS ws FROM documents) WHERE len(ws) > 0""",
+    f"""SELECT id, CAST(len(ws) AS BIGINT) AS n_tokens,
+  CAST(coalesce(list_sum(list_transform(ws, lambda word: {WORD_ID})), 0) AS BIGINT) AS id_sum
+FROM (SELECT doc_id AS id, list_slice({words("text")}, 1, 128) AS ws FROM documents)""",
 )
 def truncate(spark, sf_dir):
-    encoded = k.tokenize_text(shapes.spread_documents(spark, sf_dir).select("id", "text")).drop("text")
-    return k.truncate(encoded, 128).select("id", *_id_facts("input_ids")[:2]).where("n_tokens > 0")
+    rows = shapes.spread_documents(spark, sf_dir).select("id", "text")
+    return k.tokenize_text(rows, max_length=128).select("id", *_id_facts("input_ids")[:2])
+
+
+@query(
+    "truncate_labels",
+    f"""{SEGMENTS}, {CHAT_WORDS},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn, part, word_no) AS place FROM tokens)
+SELECT id, count(*) AS n_labels, count(*) FILTER (NOT train) AS n_masked FROM numbered WHERE place <= 64 GROUP BY id""",
+)
+def truncate_labels(spark, sf_dir):
+    encoded = k.tokenize(_segments(spark, sf_dir))
+    return k.truncate(encoded, 64).select("id", *k.label_counts())
 
 
 # -- packing ----------------------------------------------------------------------------
