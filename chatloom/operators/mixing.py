@@ -18,6 +18,7 @@ import json
 import tempfile
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from operator import attrgetter
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -73,14 +74,12 @@ def check_weights(sources: Iterable[Source | Part]) -> None:
     """Refuse empty mixes and negative weights before anything is read."""
     sources = list(sources)
     if not sources:
-        raise ValueError("No datasets specified in the mix.")
+        raise ValueError("A mix needs at least one dataset.")
     for s in sources:
         if s.weight < 0:
-            raise ValueError(
-                f"Dataset weight must be non-negative, got {s.weight} for dataset '{s.name}'."
-            )
+            raise ValueError(f"Dataset '{s.name}' has weight {s.weight}; weights must be non-negative.")
     if sum(s.weight for s in sources) <= 0:
-        raise ValueError("No rows left after applying the weights: the sum of weights must be > 0.")
+        raise ValueError("No rows left: the weights sum up to zero.")
 
 
 def target_rows(weight: float, rows: int) -> int:
@@ -88,13 +87,16 @@ def target_rows(weight: float, rows: int) -> int:
     return round(weight * rows)
 
 
+# What a fingerprint is made of, in this order.
+FINGERPRINT_FIELDS = ("name", "path", "weight")
+
+
 def mix_fingerprint(sources: Iterable[Source]) -> str:
     """Short hash that names a mix: same entries, same name."""
-    entries = sorted(
-        ({"name": s.name, "path": s.path, "weight": s.weight} for s in sources),
-        key=lambda e: e["name"],
-    )
-    return hashlib.sha256(json.dumps(entries).encode()).hexdigest()[:8]
+    digest = hashlib.sha256()
+    listed = [{f: getattr(s, f) for f in FINGERPRINT_FIELDS} for s in sorted(sources, key=attrgetter("name"))]
+    digest.update(json.dumps(listed).encode("utf-8"))
+    return digest.hexdigest()[:8]
 
 
 # -- row keys -------------------------------------------------------------------
@@ -277,7 +279,7 @@ def mix_parts(
         counts = {r["_part"]: r["n"] for r in keys.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
         takes = _plan_takes(parts, counts)
         if sum(t.target for t in takes) <= 0:
-            raise ValueError("No rows left after applying the weights. Check weights and filters.")
+            raise ValueError("No rows left: the weights and filters leave nothing to take.")
         wanted = [(i, r) for i, t in enumerate(takes) if t.target > 0 for r in t.ranks()]
         found = hash_at_rank(keys, wanted)
         thresholds = {i: {r: h for (d, r), h in found.items() if d == i} for i in range(len(parts))}
@@ -368,7 +370,7 @@ def sample_exact(df: DataFrame, n: int, seed: int, key: Sequence[str] = ()) -> D
     try:
         rows = keys.count()
         if rows == 0:
-            raise ValueError("Cannot resample an empty dataset.")
+            raise ValueError("An empty dataset cannot be resampled.")
         take = Take(rows, n, rows)
         found = hash_at_rank(keys, [(0, r) for r in take.ranks()])
     finally:

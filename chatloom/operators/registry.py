@@ -1,4 +1,4 @@
-"""Registry of dataset transforms.
+"""Registries of named parts, and the registry of dataset transforms.
 
 A transform maps a dataset's own columns to one ``messages`` column. The built-in
 form is a *builder*: ``fn(schema, on_bad_row) -> Column``. It sees the input schema once,
@@ -11,13 +11,42 @@ narrow message schema. Use it only where no column expression can do the job.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Generic, TypeVar
 
-from pyspark.sql import Column
-from pyspark.sql import types as T
+logger = logging.getLogger(__name__)
 
-Builder = Callable[[T.StructType, str], Column]
+V = TypeVar("V")
+
+
+class Registry(Generic[V]):
+    """Values by name; *replace* says whether a name may be given again, with a warning."""
+
+    def __init__(self, kind: str, replace: bool = False):
+        self.kind = kind
+        self.replace = replace
+        self._values: dict[str, V] = {}
+
+    def add(self, name: str, value: V) -> None:
+        if name in self._values:
+            if not self.replace:
+                raise ValueError(f"There is already a {self.kind} with the name '{name}'.")
+            logger.warning("Replacing the %s '%s'.", self.kind, name)
+        self._values[name] = value
+
+    def get(self, name: str) -> V:
+        try:
+            return self._values[name]
+        except KeyError:
+            raise KeyError(f"No {self.kind} is called '{name}'; known are: {', '.join(self.names())}") from None
+
+    def names(self) -> list[str]:
+        return sorted(self._values)
+
+    def values(self) -> list[V]:
+        return [self._values[n] for n in self.names()]
 
 
 @dataclass(frozen=True)
@@ -27,27 +56,22 @@ class Transform:
     row_function: bool = False
 
 
-_TRANSFORMS: dict[str, Transform] = {}
+_TRANSFORMS: Registry[Transform] = Registry("transform")
 
 
 def register_transform(name: str, row_function: bool = False) -> Callable:
     """Decorator that registers a builder, or a row function, under *name*."""
 
-    def add(fn: Callable) -> Callable:
-        if name in _TRANSFORMS:
-            raise ValueError(f"Transform '{name}' is already registered.")
-        _TRANSFORMS[name] = Transform(name, fn, row_function)
+    def register(fn: Callable) -> Callable:
+        _TRANSFORMS.add(name, Transform(name, fn, row_function))
         return fn
 
-    return add
+    return register
 
 
 def get_transform(name: str) -> Transform:
-    if name not in _TRANSFORMS:
-        known = ", ".join(transform_names()) or "(none)"
-        raise KeyError(f"Transform '{name}' not found. Available transforms: {known}")
-    return _TRANSFORMS[name]
+    return _TRANSFORMS.get(name)
 
 
 def transform_names() -> list[str]:
-    return sorted(_TRANSFORMS)
+    return _TRANSFORMS.names()

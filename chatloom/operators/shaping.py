@@ -89,8 +89,8 @@ def keep_columns(df: DataFrame, wanted: Sequence[str], dataset: str = "", carry:
     present = [c for c in wanted if c in df.columns]
     if not present:
         raise KeyError(
-            f"None of the expected columns {list(wanted)} were found in dataset '{dataset}'. "
-            f"Available columns: {[c for c in df.columns if c not in carry]}"
+            f"Dataset '{dataset}' has none of the columns {list(wanted)}; "
+            f"it has {[c for c in df.columns if c not in carry]}."
         )
     return df.select(*carry, *[c for c in present if c not in carry])
 

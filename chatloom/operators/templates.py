@@ -8,7 +8,6 @@ object with two column functions, so rendering is one native projection.
 from __future__ import annotations
 
 import json
-import logging
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -20,8 +19,7 @@ from pyspark.sql import types as T
 
 from chatloom.functions.basics import check_policy, fail_when, join_all, let
 from chatloom.functions.pyjson import call_arguments
-
-logger = logging.getLogger(__name__)
+from chatloom.operators.registry import Registry
 
 SEGMENT_TYPE = "array<struct<text:string,train:boolean,turn:int>>"
 
@@ -69,23 +67,19 @@ class Template:
     prints_arguments: bool = False
 
 
-_TEMPLATES: dict[str, Template] = {}
+_TEMPLATES: Registry[Template] = Registry("chat template", replace=True)
 
-# Markers around the trained part of a template text.
-_OPEN_MARKER = re.compile(r"\{%-?\s*generation\s*-?%\}")
-_CLOSE_MARKER = re.compile(r"\{%-?\s*endgeneration\s*-?%\}")
+# Markers around the trained part of a template text, with or without dashes.
+_MARKERS = [re.compile(rf"\{{%-?\s*{word}\s*-?%\}}") for word in ("generation", "endgeneration")]
 
 
 def register_template(template: Template) -> None:
-    if template.name in _TEMPLATES:
-        logger.warning("Overwriting existing chat template '%s'.", template.name)
-    _TEMPLATES[template.name] = template
+    """Add a template; one of the same name is replaced, with a warning."""
+    _TEMPLATES.add(template.name, template)
 
 
 def get_template(name: str) -> Template:
-    if name not in _TEMPLATES:
-        raise KeyError(f"Chat template '{name}' not found. Available: {', '.join(sorted(_TEMPLATES))}")
-    return _TEMPLATES[name]
+    return _TEMPLATES.get(name)
 
 
 def has_generation_markers(template: Template | str | None) -> bool:
@@ -94,19 +88,17 @@ def has_generation_markers(template: Template | str | None) -> bool:
         if template.source is None:
             return template.trainable
         template = template.source
-    if not template:
-        return False
-    return bool(_OPEN_MARKER.search(template) and _CLOSE_MARKER.search(template))
+    return all(marker.search(template or "") for marker in _MARKERS)
 
 
 def require_markers(name: str) -> Template:
     """The template, or an error when supervised preparation could not mask with it."""
     template = get_template(name)
     if not has_generation_markers(template):
-        trainable = sorted(n for n, t in _TEMPLATES.items() if has_generation_markers(t))
+        trainable = [t.name for t in _TEMPLATES.values() if has_generation_markers(t)]
         raise ValueError(
-            f"Chat template '{name}' is missing generation markers around the assistant text: every "
-            f"token would be trained on. Use one of {trainable}, or register a template with markers."
+            f"Chat template '{name}' does not mark the assistant's text, so every token would be "
+            f"trained on. Use one of {trainable}, or register a template with markers."
         )
     return template
 

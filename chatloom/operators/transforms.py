@@ -54,7 +54,7 @@ def rename_to_messages(schema: T.StructType, on_bad_row: str) -> Column:
     for name in ("conversation", "conversations", "dialog"):
         if _has(schema, name):
             return F.col(name)
-    raise KeyError(f"Could not find a conversation column in keys: {schema.fieldNames()}")
+    raise KeyError(f"No column of {schema.fieldNames()} holds a conversation.")
 
 
 @register_transform("ultrafeedback")

@@ -58,7 +58,7 @@ def shape_source(
             get_transform(source.transform)
         except KeyError as unknown:
             raise KeyError(
-                f"Unknown transform '{source.transform}' for dataset '{source.name}'. {unknown.args[0]}"
+                f"Dataset '{source.name}' asks for an unknown transform. {unknown.args[0]}"
             ) from unknown
         rows = apply_transform(
             rows,

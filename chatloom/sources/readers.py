@@ -47,8 +47,7 @@ def read_files(
     unknown = sorted(s for s in suffixes if s not in FORMATS)
     if unknown:
         raise ValueError(
-            f"Unsupported local dataset file extension '{unknown[0]}' for '{paths[0]}'. "
-            f"Supported extensions: {sorted(FORMATS)}"
+            f"No reader for files that end in '{unknown[0]}' ('{paths[0]}'). Readable: {sorted(FORMATS)}"
         )
     kinds = {FORMATS[s] for s in suffixes}
     if len(kinds) != 1:

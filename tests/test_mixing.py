@@ -24,7 +24,7 @@ MSG = "array<struct<role:string,content:string>>"
 
 
 def dataset(spark, source, n):
-    rows = [(source, i, [("user", f"{source}-{i}"), ("assistant", f"reply-{i}")]) for i in range(n)]
+    rows = [(source, i, [("user", f"q{i} {source}"), ("assistant", f"answer{i}")]) for i in range(n)]
     return spark.createDataFrame(rows, f"source string, idx bigint, messages {MSG}")
 
 
@@ -73,7 +73,7 @@ def test_weight_zero_negative_and_empty(spark):
         mixed(spark, {"a": 2}, {"a": 0.0})
     with pytest.raises(ValueError, match="No rows left"):
         mixed(spark, {"a": 2}, {"a": 0.2})
-    with pytest.raises(ValueError, match="No datasets"):
+    with pytest.raises(ValueError, match="at least one dataset"):
         check_weights([])
 
 
@@ -107,14 +107,14 @@ def test_larger_samples_hold_smaller_ones(spark):
 
 def test_native_fields_stay(spark):
     schema = "messages array<struct<role:string,content:string,functions:string,function_calls:string>>, unused string"
-    rows = [([("user", "u", '[{"name":"lookup"}]', None), ("assistant", None, None, 'lookup(query="x")')], "drop")]
+    rows = [([("user", "u", "[sum]", None), ("assistant", None, None, "sum(1, 2)")], "gone")]
     df = spark.createDataFrame(rows, schema)
     mix = prepare_mix(
         spark, Mix([Source("a", "a")]), keep=["messages"], enforce_schema=True, read=lambda s, x: df
     ).rows.drop("_dataset")
     assert mix.columns == ["messages"]
     turns = mix.first().messages
-    assert turns[0].functions == '[{"name":"lookup"}]' and turns[1].function_calls == 'lookup(query="x")'
+    assert turns[0].functions == "[sum]" and turns[1].function_calls == "sum(1, 2)"
 
 
 def test_transform_drops_sources(spark):
@@ -122,7 +122,7 @@ def test_transform_drops_sources(spark):
         from chatloom.functions.turns import pair
 
         register_transform("hi_test")(lambda schema, policy: pair(F.col("prompt"), F.lit("hi")))
-    df = spark.createDataFrame([("hello", "drop")], "prompt string, unused string")
+    df = spark.createDataFrame([("good day", "gone")], "prompt string, unused string")
     mix = prepare_mix(
         spark, Mix([Source("a", "a", transform="hi_test")]), enforce_schema=True, read=lambda s, x: df
     ).rows.drop("_dataset")
@@ -132,7 +132,7 @@ def test_transform_drops_sources(spark):
 
 def test_unknown_transform_names_the_dataset(spark):
     df = spark.createDataFrame([("x",)], "prompt string")
-    with pytest.raises(KeyError, match="Unknown transform 'nope' for dataset 'set-a'"):
+    with pytest.raises(KeyError, match="'set-a' asks for an unknown transform. No transform is called 'nope'"):
         prepare_mix(spark, Mix([Source("set-a", "a", transform="nope")]), read=lambda s, x: df)
 
 
@@ -194,7 +194,7 @@ def test_sample_and_cap(spark):
     assert cap_rows(df, None, 5) is df
     with pytest.raises(ValueError, match="positive"):
         sample_exact(df, 0, 5, ["id"])
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="empty dataset"):
         sample_exact(spark.range(0), 1, 5, ["id"])
 
 
@@ -255,7 +255,7 @@ def test_prepare_sft_from_files(spark, tmp_path, packing, staged):
 
 
 def test_prepare_sft_needs_markers(spark):
-    with pytest.raises(ValueError, match="'chatml' is missing generation markers"):
+    with pytest.raises(ValueError, match="'chatml' does not mark the assistant's text"):
         prepare_sft(spark, Mix([Source("a", "a")], 1, "chatml"))
 
 

@@ -33,7 +33,7 @@ def test_text(spark, files):
 def test_other_suffixes(spark, files):
     for name in ("d.PARQUET", "d.tsv", "plain"):
         (files / name).write_text("x")
-        with pytest.raises(ValueError, match=r"Supported extensions: \['.csv', '.json', '.jsonl', '.parquet', '.txt'\]"):
+        with pytest.raises(ValueError, match=r"Readable: \['.csv', '.json', '.jsonl', '.parquet', '.txt'\]"):
             load_dataset(spark, str(files / name))
     with pytest.raises(FileNotFoundError):
         load_dataset(spark, str(files / "absent"))

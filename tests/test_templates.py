@@ -36,11 +36,12 @@ def refuses(spark, name, messages, schema=MSG, options=OPTIONS):
 @pytest.mark.parametrize(
     "source,expected",
     [
-        ("before {% generation %} body {% endgeneration %} after", True),
-        ("before {%- generation -%} body {%- endgeneration -%} after", True),
-        ("{%- generation %} body {% endgeneration -%}", True),
-        ("{% generation %} body, never closes", False),
-        ("body without an opener {% endgeneration %}", False),
+        ("{% generation %}x{% endgeneration %}", True),
+        ("a{%-generation-%}x{%-   endgeneration  -%}b", True),
+        ("{%- generation %}\n{% endgeneration -%}", True),
+        ("{% generation %} x {% endif %}", False),
+        ("{% if y %} x {% endgeneration %}", False),
+        ("{{ generation }} {{ endgeneration }}", False),
         ("", False),
         (None, False),
     ],
@@ -53,9 +54,9 @@ def test_registered_templates():
     trainable = {n: t.has_generation_markers(t.get_template(n)) for n in
                  ("chatml", "tulu3", "olmo3", "olmo3-instruct-sft", "olmo3-think-sft", "apertus")}
     assert [n for n, ok in trainable.items() if ok] == ["olmo3-instruct-sft", "olmo3-think-sft"]
-    with pytest.raises(KeyError, match="Available: .*apertus.*tulu3"):
+    with pytest.raises(KeyError, match="known are: apertus, chatml.*tulu3"):
         t.get_template("nope")
-    with pytest.raises(ValueError, match="'olmo3' is missing generation markers"):
+    with pytest.raises(ValueError, match="'olmo3' does not mark"):
         t.require_markers("olmo3")
 
 
@@ -66,7 +67,7 @@ def test_own_template(spark, caplog):
     own = t.Template("own_test", build, source="{% generation %}{% endgeneration %}")
     t.register_template(own)
     t.register_template(own)
-    assert "Overwriting existing chat template 'own_test'" in caplog.text
+    assert "Replacing the chat template 'own_test'" in caplog.text
     assert t.require_markers("own_test") is own
     assert text(spark, "own_test", CHAT) == "abcd"
 

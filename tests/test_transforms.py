@@ -29,9 +29,9 @@ def fails(spark, name, schema, row):
 
 def test_registry():
     assert len(transform_names()) >= 26
-    with pytest.raises(KeyError, match="Available transforms: .*aegis_safety"):
+    with pytest.raises(KeyError, match="'nope'; known are: aegis_safety"):
         get_transform("nope")
-    with pytest.raises(ValueError, match="already registered"):
+    with pytest.raises(ValueError, match="already a transform with the name 'aegis_safety'"):
         register_transform("aegis_safety")(lambda schema, policy: None)
 
 
@@ -44,7 +44,7 @@ def test_rename(spark, column):
 def test_rename_takes_first_present_column(spark):
     rows = [(None, [("user", "second")])]
     assert messages_of(spark, "rename_to_messages", f"conversation {MSG}, dialog {MSG}", rows) == [None]
-    with pytest.raises(KeyError, match="conversation column"):
+    with pytest.raises(KeyError, match="holds a conversation"):
         apply_transform(spark.range(1), "rename_to_messages")
 
 
@@ -365,7 +365,7 @@ def test_enforce_and_keep(spark):
     kept = keep_columns(df, ["messages", "absent"])
     assert kept.columns == ["messages"] and "k" in kept.schema["messages"].dataType.elementType.fieldNames()
     assert enforce_messages(kept).first().messages == [("a", "user")]
-    with pytest.raises(KeyError, match="None of the expected columns"):
+    with pytest.raises(KeyError, match="has none of the columns"):
         keep_columns(df, ["absent"], "set")
 
 
