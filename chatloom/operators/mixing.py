@@ -137,14 +137,12 @@ def with_row_key(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
 def hash_at_rank(keys: DataFrame, wanted: Sequence[tuple[int, int]]) -> dict[tuple[int, int], str]:
     """The hash with rank *r* (1-based) in dataset *d*, for each wanted ``(d, r)``.
 
-    *keys* holds ``_part`` and ``_hash``. Two narrow passes: running bucket counts find
-    the bucket of each rank, then only that bucket's rows are ranked. *wanted* comes
-    from the list of datasets, so the broadcast side has a handful of rows.
+    *keys* holds ``_part`` and ``_hash``. Two narrow passes: running bucket counts find the
+    bucket of each rank, then only the rows of those buckets are ranked. *wanted* holds a
+    rank or two per dataset, so it enters the plan as a literal.
     """
     if not wanted:
         return {}
-    spark = keys.sparkSession
-    ranks = spark.createDataFrame([(d, int(r)) for d, r in wanted], "_part int, _rank bigint")
     bucketed = keys.select("_part", "_hash", hash_bucket(F.col("_hash")).alias("_bucket"))
     running = Window.partitionBy("_part").orderBy("_bucket")
     counts = (
@@ -152,29 +150,45 @@ def hash_at_rank(keys: DataFrame, wanted: Sequence[tuple[int, int]]) -> dict[tup
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_upto", F.sum("_n").over(running))
     )
+    ranks = _literals(["part", "rank"], wanted)
+    inside = F.filter(
+        ranks,
+        lambda w: (w["part"] == F.col("_part"))
+        & (w["rank"] > F.col("_upto") - F.col("_n"))
+        & (w["rank"] <= F.col("_upto")),
+    )
     found = (
-        counts.join(F.broadcast(ranks), "_part")
-        .where((F.col("_upto") - F.col("_n") < F.col("_rank")) & (F.col("_rank") <= F.col("_upto")))
-        .select("_part", "_bucket", "_rank", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_inside"))
+        counts.select("_part", "_bucket", "_n", "_upto", F.explode(inside).alias("_w"))
+        .select("_part", "_bucket", "_w.rank", (F.col("_w.rank") - F.col("_upto") + F.col("_n")).alias("inside"))
         .collect()
     )
-    places = spark.createDataFrame(
-        [tuple(r) for r in found], "_part int, _bucket int, _rank bigint, _inside bigint"
+    places = _literals(["part", "bucket", "rank", "inside"], [tuple(r) for r in found])
+    ordered = Window.partitionBy("_part", "_bucket").orderBy("_hash")
+    here = F.filter(
+        places,
+        lambda w: (w["part"] == F.col("_part"))
+        & (w["bucket"] == F.col("_bucket"))
+        & (w["inside"] == F.col("_row")),
     )
-    group = Window.partitionBy("_part", "_rank")
-    ordered = group.orderBy("_hash")
     hits = (
-        bucketed.join(F.broadcast(places), ["_part", "_bucket"])
+        bucketed.where(F.col("_bucket").isin([r["_bucket"] for r in found]))
         .withColumn("_row", F.row_number().over(ordered))
         .withColumn("_next", F.lead("_hash").over(ordered))
-        .where(F.col("_row") == F.col("_inside"))
-        .select("_part", "_rank", "_hash", "_next")
+        .select("_part", "_hash", "_next", F.explode(here).alias("_w"))
+        .select("_part", "_w.rank", "_hash", "_next")
         .collect()
     )
     for hit in hits:
         if hit["_next"] == hit["_hash"]:
             raise ValueError(f"The row key of dataset {hit['_part']} does not identify its rows.")
-    return {(r["_part"], r["_rank"]): r["_hash"] for r in hits}
+    return {(r["_part"], r["rank"]): r["_hash"] for r in hits}
+
+
+def _literals(names: Sequence[str], rows: Sequence[tuple]) -> Column:
+    """A short list of driver-side tuples as an array of structs."""
+    return F.array(
+        *[F.struct(*[F.lit(int(v)).cast("bigint").alias(n) for n, v in zip(names, row, strict=True)]) for row in rows]
+    )
 
 
 @dataclass(frozen=True)
@@ -210,27 +224,23 @@ def _plan_takes(parts: Sequence[Part], counts: dict[int, int]) -> list[Take]:
     return takes
 
 
-def _copy_numbers(hash_col: Column, take: Take, thresholds: dict[int, str]) -> Column | None:
-    """``array<int>`` with one entry per copy of the row; None when each row is taken once."""
-    if take.copies == 1 and not take.extra and take.cap == take.rows:
-        return None
-    base = F.lit(take.copies)
+def _copy_numbers(hash_col: Column, take: Take, thresholds: dict[int, str]) -> Column:
+    """``array<int>`` with one entry per copy of the row."""
+    n = F.lit(take.copies)
     if take.copies and take.cap < take.rows:
-        base = F.when(hash_col <= thresholds[take.cap], take.copies).otherwise(0)
-    n = base
+        n = F.when(hash_col <= thresholds[take.cap], n).otherwise(0)
     if take.extra:
-        n = base + F.when(hash_col <= thresholds[take.extra], 1).otherwise(0)
+        n = n + F.when(hash_col <= thresholds[take.extra], 1).otherwise(0)
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def _resampled(rows: DataFrame, take: Take, thresholds: dict[int, str]) -> DataFrame:
-    numbers = _copy_numbers(F.col("_hash"), take, thresholds)
-    if numbers is None:
+    if take.target == take.cap == take.rows:
         return rows.withColumn("_copy", F.lit(0))
     if take.target <= take.cap:
         wanted = thresholds[take.extra if take.extra else take.cap]
         return rows.where(F.col("_hash") <= wanted).withColumn("_copy", F.lit(0))
-    return rows.select("*", F.explode(numbers).alias("_copy"))
+    return rows.select("*", F.explode(_copy_numbers(F.col("_hash"), take, thresholds)).alias("_copy"))
 
 
 # -- the mix --------------------------------------------------------------------
@@ -312,10 +322,11 @@ def _shuffle_hash(seed: int) -> Column:
 
 def _bucket_starts(keys, used, takes, thresholds, seed) -> DataFrame:
     """First position of each shuffle bucket: at most 65,536 rows, whatever the data size."""
-    copies = None
+    numbers = F.array().cast("array<int>")
     for i, _ in used:
-        one = _resampled(keys.where(F.col("_part") == i), takes[i], thresholds[i])
-        copies = one if copies is None else copies.unionAll(one)
+        own = _copy_numbers(F.col("_hash"), takes[i], thresholds[i])
+        numbers = F.when(F.col("_part") == i, own).otherwise(numbers)
+    copies = keys.select("_hash", "_size", F.explode(numbers).alias("_copy"))
     counted = (
         copies.groupBy(hash_bucket(_shuffle_hash(seed)).alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_amount"))

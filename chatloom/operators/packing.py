@@ -7,7 +7,7 @@ is a row's place in the shuffled order, ``start`` the number of tokens before it
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,9 +35,9 @@ def pack_wrap(df: DataFrame, length: int, columns: tuple[str, ...] = ("input_ids
 
 
 def _best_fit(length: int):
-    """UDF ``array<int> -> array<int>``: a bin number for each row length of a group."""
+    """UDF ``array<int> -> array<array<int>>``: row lengths of a group to the row numbers of each bin."""
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<array<int>>")
     def assign(groups: pa.Array) -> pa.Array:
         import bisect
 
@@ -46,10 +46,9 @@ def _best_fit(length: int):
         out = []
         for group in groups.to_pylist():
             sizes = np.asarray(group)
-            bins = [-1] * len(group)
+            bins: list[list[int]] = []
             room: list[tuple[int, int]] = []  # (free tokens, bin), sorted
-            opened = 0
-            for row in np.argsort(-sizes, kind="stable"):
+            for row in np.argsort(-sizes, kind="stable").tolist():
                 need = int(sizes[row])
                 if need == 0:
                     break
@@ -57,12 +56,12 @@ def _best_fit(length: int):
                 if at < len(room):
                     free, number = room.pop(at)
                 else:
-                    free, number = length, opened
-                    opened += 1
-                bins[row] = number
+                    free, number = length, len(bins)
+                    bins.append([])
+                bins[number].append(row)
                 bisect.insort(room, (free - need, number))
-            out.append(bins)
-        return pa.array(out, pa.list_(pa.int32()))
+            out.append([sorted(members) for members in bins])
+        return pa.array(out, pa.list_(pa.list_(pa.int32())))
 
     return assign
 
@@ -75,9 +74,10 @@ def pack_best_fit(
 ) -> DataFrame:
     """Put whole rows into bins of *length* tokens, the longest first, each where it leaves least room.
 
-    Needs ``position``. Rows are cut at *length* first. Bins are filled inside groups of *group_rows* neighbouring
-    positions, so a group is bounded and results do not depend on partitioning. Only row
-    lengths go to Python. Returns ``group``, ``bin``, the token columns and ``row_lengths``.
+    Needs ``position``. Rows are cut at *length* first; rows without tokens are left out. Bins
+    are filled inside groups of *group_rows* neighbouring positions, so a group is bounded and
+    results do not depend on partitioning. Rows move once, to their group; only their lengths go
+    to Python. Returns ``group``, ``bin``, the token columns and ``row_lengths``.
     """
     columns = tuple(c for c in columns if c in df.columns)
     cut = df.select(
@@ -86,15 +86,17 @@ def pack_best_fit(
     )
     groups = cut.groupBy("group").agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
     sizes = F.transform("_rows", lambda r: F.size(r[columns[0]]))
-    # Rows without tokens get bin -1 from the UDF and are left out below.
     binned = groups.withColumn("_bins", _best_fit(length)(sizes))
-    per_row = binned.select(
-        "group", F.explode(F.arrays_zip("_bins", "_rows")).alias("_pair")
-    ).select("group", F.col("_pair._bins").alias("bin"), F.col("_pair._rows").alias("_row")).where("bin >= 0")
-    packed = per_row.groupBy("group", "bin").agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
-    return packed.select(
-        "group",
-        F.col("bin").cast("bigint").alias("bin"),
-        *[F.flatten(F.col("_rows")[c]).alias(c) for c in columns],
-        F.transform("_rows", lambda r: F.size(r[columns[0]])).alias("row_lengths"),
-    )
+
+    def column_of(members: Column, name: str) -> Column:
+        return F.transform(members, lambda i: F.get("_rows", i)[name])
+
+    def fill(members: Column) -> Column:
+        lengths = F.transform(column_of(members, columns[0]), F.size)
+        return F.struct(
+            *[F.flatten(column_of(members, c)).alias(c) for c in columns], lengths.alias("row_lengths")
+        )
+
+    # Bins are filled before the explode: it then carries one bin per row, not the whole group.
+    filled = binned.select("group", F.posexplode(F.transform("_bins", fill)).alias("bin", "_packed"))
+    return filled.select("group", F.col("bin").cast("bigint").alias("bin"), "_packed.*")

@@ -26,7 +26,7 @@ def peak_flops(device_name: Column) -> Column:
 def previous_records(log: DataFrame, starts: DataFrame | None = None, slice_seconds: int = 3600) -> DataFrame:
     """Each record that counts, with ``prev_ts`` and ``prev_tokens`` of the record before.
 
-    Records without tokens do not count, nor does a second record at the same time (the one
+    Records without run, time or tokens do not count, nor does a second record at the same time (the one
     with the least tokens stays). *starts* ``(run, ts)`` gives the start of each run, which
     stands for zero tokens; a record at that very time does not count. Without *starts* the
     first record of a run only opens it.
@@ -41,9 +41,12 @@ def previous_records(log: DataFrame, starts: DataFrame | None = None, slice_seco
         records = records.unionByName(
             starts.select("run", F.col("ts").cast("timestamp").alias("ts"), F.lit(-1).cast("bigint").alias("tokens_seen"))
         )
-    time_slice = F.expr(f"unix_seconds(ts) div {int(slice_seconds)}")
+    # Nulls go here, so that the two uses of the records below read one and the same shuffle.
+    records = records.withColumn("_slice", F.expr(f"unix_seconds(ts) div {int(slice_seconds)}")).where(
+        F.col("run").isNotNull() & F.col("_slice").isNotNull()
+    )
     # Copies of a record meet before the shuffle (partial aggregation).
-    unique = records.groupBy("run", time_slice.alias("_slice"), "ts").agg(F.min("tokens_seen").alias("tokens_seen"))
+    unique = records.groupBy("run", "_slice", "ts").agg(F.min("tokens_seen").alias("tokens_seen"))
     in_slice = Window.partitionBy("run", "_slice").orderBy("ts")
     linked = unique.withColumn("_ts", F.lag("ts").over(in_slice)).withColumn(
         "_tokens", F.lag("tokens_seen").over(in_slice)

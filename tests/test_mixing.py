@@ -205,6 +205,13 @@ def test_max_samples_comes_before_the_weight(spark):
     assert len(counts) == 20 and sum(counts.values()) == 50 and set(counts.values()) == {2, 3}
 
 
+def test_max_samples_with_as_many_copies_as_rows(spark):
+    mix = mix_parts([Part("a", with_row_key(spark.range(40), ["id"]), 4.0, max_samples=10)], 1, position=True)
+    counts = Counter(r.id for r in mix.rows.collect())
+    assert len(counts) == 10 and set(counts.values()) == {4}
+    assert sorted(r.position for r in mix.rows.collect()) == list(range(40))
+
+
 def test_number_rows_totals(spark):
     rows = number_rows(spark.range(500).withColumn("n", F.col("id") % 7), 4, ["id"], size=F.col("n")).orderBy("position").collect()
     total = 0
