@@ -248,9 +248,14 @@ def _segments(turns: Turns, options: RenderOptions) -> Column:
         F.lit(DEFAULT_SYSTEM + options.current_date)
     )
     deliberation = "enabled" if options.enable_thinking else "disabled"
-    tools = f"\n{tool_signatures(options.tools)}" if options.tools else " disabled"
-    developer = f"{DEVELOPER}Deliberation: {deliberation}\nTool Capabilities:{tools}{END_DEVELOPER}"
-    head = F.concat(F.lit(options.bos + SYSTEM), system, F.lit(END_SYSTEM + developer))
+    tools = F.when(turns.has_tools, F.concat(F.lit("\n"), turns.tools_text)).otherwise(F.lit(" disabled"))
+    head = F.concat(
+        F.lit(options.bos + SYSTEM),
+        system,
+        F.lit(f"{END_SYSTEM}{DEVELOPER}Deliberation: {deliberation}\nTool Capabilities:"),
+        tools,
+        F.lit(END_DEVELOPER),
+    )
 
     def segment(text: Column, turn: Column) -> Column:
         return F.struct(text.alias("text"), F.lit(False).alias("train"), turn.alias("turn"))
@@ -275,4 +280,4 @@ def _segments(turns: Turns, options: RenderOptions) -> Column:
     return let(pair, body)
 
 
-register_template(Template("apertus", _segments))
+register_template(Template("apertus", _segments, print_tools=tool_signatures))

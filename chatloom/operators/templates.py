@@ -26,12 +26,16 @@ SEGMENT_TYPE = "array<struct<text:string,train:boolean,turn:int>>"
 
 @dataclass(frozen=True)
 class RenderOptions:
-    """What a chat does not carry itself."""
+    """What a chat does not carry itself.
+
+    *tools* is one tool list for all chats; *tools_column* names a column with a JSON list per chat.
+    """
 
     eos: str = "<|im_end|>"
     bos: str = ""
     add_generation_prompt: bool = False
     tools: Sequence[dict] | None = None
+    tools_column: str | None = None
     current_date: str | None = None
     enable_thinking: bool = False
     continue_assistant_message: bool = False
@@ -39,11 +43,16 @@ class RenderOptions:
 
 @dataclass(frozen=True)
 class Turns:
-    """The message column together with its element type."""
+    """The message column with its element type, and the printed tool list.
+
+    ``tools_text`` is NULL when no list is given; ``has_tools`` tells a list with entries.
+    """
 
     column: Column
     element: T.StructType
     call_texts: Column | None = None
+    tools_text: Column | None = None
+    has_tools: Column | None = None
 
     def has(self, name: str) -> bool:
         return name in self.element.fieldNames()
@@ -65,6 +74,7 @@ class Template:
     trainable: bool = False
     source: str | None = field(default=None, repr=False)
     prints_arguments: bool = False
+    print_tools: Callable[[Sequence[dict]], str] | None = None
 
 
 _TEMPLATES: Registry[Template] = Registry("chat template", replace=True)
@@ -121,7 +131,8 @@ def render_segments(
     call_texts = None
     if template.prints_arguments:
         df, call_texts = _with_call_texts(df, messages, element)
-    turns = Turns(F.col(messages), element, call_texts)
+    df, tools_text, has_tools = _with_tools(df, template, options)
+    turns = Turns(F.col(messages), element, call_texts, tools_text, has_tools)
     segments = template.segments(turns, options).cast(SEGMENT_TYPE)
 
     def broken(built: Column) -> Column:
@@ -136,7 +147,7 @@ def render_segments(
         out = df.withColumn(
             "segments", let(segments, lambda built: fail_when(broken(built), message, built))
         )
-    return out.drop("_call_texts")
+    return out.drop("_call_texts", "_tools")
 
 
 def segments_text(segments: Column | str = "segments") -> Column:
@@ -272,9 +283,10 @@ def _plain_turn(role: str, m: Column) -> Column:
     return _single(f"<|im_start|>{role}\n", m["content"], "<|im_end|>\n")
 
 
-def _default_system(turns: Turns, text: str) -> Column:
+def _default_system(turns: Turns, text: Column | str) -> Column:
+    text = F.lit(text) if isinstance(text, str) else text
     missing = ~F.exists(turns.column, lambda m: m["role"].eqNullSafe("system"))
-    return F.when(missing, F.array(_lit_segment(text, F.lit(-1)))).otherwise(_empty())
+    return F.when(missing, F.array(_segment(text, F.lit(-1)))).otherwise(_empty())
 
 
 def _assistant_turn(turns: Turns, m: Column, i: Column, calls: Column, eos: str, train: bool) -> Column:
@@ -351,21 +363,14 @@ def _tool_calls(turns: Turns, m: Column, i: Column) -> Column:
 
 
 def _instruct(turns: Turns, options: RenderOptions) -> Column:
-    tools = options.tools
-    tools_text = "" if tools is None else json.dumps(list(tools), ensure_ascii=False)
-    default = _INSTRUCT_SYSTEM + (
-        f"{_INSTRUCT_FUNCTIONS}<functions>{tools_text}</functions><|im_end|>\n"
-        if tools
-        else _INSTRUCT_NO_FUNCTIONS
-    )
+    listed = _single("<functions>", turns.tools_text, "</functions>")
+    default = F.when(
+        turns.has_tools, _single(_INSTRUCT_SYSTEM + _INSTRUCT_FUNCTIONS, listed, "<|im_end|>\n")
+    ).otherwise(F.lit(_INSTRUCT_SYSTEM + _INSTRUCT_NO_FUNCTIONS))
 
     def one(m: Column, i: Column) -> Column:
-        if tools is not None:
-            functions = F.lit(f"<functions>{tools_text}</functions>")
-        else:
-            functions = _optional(
-                turns, m, "functions", lambda f: _single(" <functions>", f, "</functions>"), ""
-            )
+        own = _optional(turns, m, "functions", lambda f: _single(" <functions>", f, "</functions>"), "")
+        functions = F.when(turns.tools_text.isNotNull(), listed).otherwise(own)
         calls = _function_calls(turns, m, _tool_calls(turns, m, i))
         return (
             F.when(
@@ -385,6 +390,36 @@ def _instruct(turns: Turns, options: RenderOptions) -> Column:
     return _framed(_default_system(turns, default), _per_turn(turns, one), prompt, turns)
 
 
+def tools_as_json(tools: Sequence[dict]) -> str:
+    return json.dumps(list(tools), ensure_ascii=False)
+
+
+def _with_tools(
+    df: DataFrame, template: Template, options: RenderOptions
+) -> tuple[DataFrame, Column | None, Column | None]:
+    """The tool list as the template prints it: once for all chats, or per chat from JSON text."""
+    printer = template.print_tools
+    if printer is None:
+        return df, None, None
+    if options.tools_column is None:
+        text = F.lit(None if options.tools is None else printer(options.tools)).cast("string")
+        return df, text, F.lit(bool(options.tools))
+
+    @F.arrow_udf("struct<text:string,n:int>")
+    def printed(batch: pa.Array) -> pa.Array:
+        import json as json_module
+
+        lists = [json_module.loads(t) if t is not None else None for t in batch.to_pylist()]
+        texts = [None if tools is None else printer(tools) for tools in lists]
+        return pa.StructArray.from_arrays(
+            [pa.array(texts, pa.string()), pa.array([len(tools or []) for tools in lists], pa.int32())],
+            names=["text", "n"],
+        )
+
+    df = df.withColumn("_tools", printed(F.col(options.tools_column)))
+    return df, F.col("_tools.text"), F.col("_tools.n") > 0
+
+
 def _with_call_texts(df: DataFrame, messages: str, element: T.StructType) -> tuple[DataFrame, Column | None]:
     """Print call arguments that come as JSON text of an object with free keys.
 
@@ -428,4 +463,8 @@ register_template(Template("chatml", _chatml))
 register_template(Template("tulu3", _tulu3))
 register_template(Template("olmo3", _olmo3(False)))
 register_template(Template("olmo3-think-sft", _olmo3(True), trainable=True))
-register_template(Template("olmo3-instruct-sft", _instruct, trainable=True, prints_arguments=True))
+register_template(
+    Template(
+        "olmo3-instruct-sft", _instruct, trainable=True, prints_arguments=True, print_tools=tools_as_json
+    )
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,6 +178,7 @@ def prepare_sft(
     if packing not in (None, "wrap", "best_fit"):
         raise ValueError(f"packing must be 'wrap', 'best_fit' or None, got '{packing}'.")
     template = require_markers(mix.chat_template)
+    places = count()
 
     def encode(rows: DataFrame, source: Source) -> DataFrame:
         rows = render_segments(rows, template, options, on_bad_row).drop("messages")
@@ -192,7 +194,7 @@ def prepare_sft(
         elif cut is not None:
             rows = rows.withColumn("n_tokens", F.least("n_tokens", F.lit(cut)))
         if staging is not None:
-            place = f"{staging}/{list(mix.sources).index(source):04d}"
+            place = f"{staging}/{next(places):04d}"
             rows.write.mode("errorifexists").parquet(place)
             rows = spark.read.parquet(place)
         return rows

@@ -148,6 +148,19 @@ def test_instruct_tools(spark):
     assert text(spark, "olmo3-instruct-sft", [("system", "s")], options=empty) == "<|im_start|>system\ns<functions>[]</functions><|im_end|>\n"
 
 
+@pytest.mark.parametrize("name", ["olmo3-instruct-sft", "apertus"])
+def test_tools_per_chat(spark, name):
+    lists = [None, [], [{"name": "f", "description": "Dö.", "parameters": {"properties": {"a": {"type": "string"}}}}]]
+    rows = [(i, [(role, "x")], None if x is None else json.dumps(x)) for i, x in enumerate(lists) for role in ("user", "system")]
+    df = spark.createDataFrame(rows, f"id int, messages {MSG}, tools string")
+    per_chat = t.RenderOptions(current_date="2025-01-31", tools_column="tools")
+    got = {(r.id, r.messages[0].role): r.text for r in t.render(df, name, per_chat).collect()}
+    for i, tools in enumerate(lists):
+        for role in ("user", "system"):
+            options = t.RenderOptions(current_date="2025-01-31", tools=tools)
+            assert got[i, role] == text(spark, name, [(role, "x")], options=options)
+
+
 def test_tool_calls(spark):
     schema = "array<struct<role:string,content:string,function_calls:string,tool_calls:array<struct<function:struct<name:string,arguments:map<string,string>>>>>>"
     calls = [(("f", {"x": 'q"\n'}),), (("g", {}),)]
