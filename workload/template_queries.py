@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from chatloom.operators import templates as t
@@ -283,6 +285,18 @@ def render_tool_calls_json(spark, sf_dir):
     return t.render(rows, "olmo3-instruct-sft", OPTIONS).select("id", "text")
 
 
+@query(
+    "render_tools_column",
+    f"WITH {TURNS}, {olmo_segments(TOOL_SYSTEM, '')} {JOINED}",
+)
+def render_tools_column(spark, sf_dir):
+    """A JSON tool list per chat; chats with their own system turn have none."""
+    facts = shapes.chat_facts(shapes.chats(spark, sf_dir))
+    tools = F.when(~F.col("has_system"), F.lit(json.dumps(TOOLS, separators=(",", ":"))))
+    options = t.RenderOptions(eos="</s>", tools_column="tools")
+    return t.render(facts.withColumn("tools", tools), "olmo3-instruct-sft", options).select("id", "text")
+
+
 def _segments(spark, sf_dir, name="olmo3-think-sft"):
     return t.render_segments(shapes.chats(spark, sf_dir), t.require_markers(name), OPTIONS)
 

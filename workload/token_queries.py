@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from chatloom.functions.basics import word_count
 from chatloom.operators import templates as t
 from chatloom.operators import tokens as k
-from chatloom.operators.mixing import Mix, Source, number_rows
+from chatloom.operators.mixing import Mix, Source, number_rows, with_row_key
 from chatloom.operators.packing import pack_best_fit, pack_wrap
+from chatloom.plans.inspect import inspect_source
 from chatloom.plans.prepare import prepare_sft
 from workload import shapes
 from workload.mix_queries import SEED
@@ -320,6 +321,39 @@ def preview_rows(spark, sf_dir):
     return k.preview_rows(rows, 3).withColumn("id", F.col("id").cast("bigint"))
 
 
+_INSPECTED = Source("chats", "unused", transform="rename_to_messages", key=("id",))
+FIRST_CHATS = "first AS (SELECT DISTINCT id FROM turns ORDER BY CAST(id AS VARCHAR) LIMIT {})"
+
+
+def _read_inspected(spark, sf_dir):
+    renamed = shapes.chats(spark, sf_dir).withColumnRenamed("messages", "conversation")
+    return lambda s, source: with_row_key(renamed, source.key)
+
+
+@query(
+    "inspect_formatted",
+    f"""WITH {TURNS}, {FIRST_CHATS.format(5)}
+SELECT id, string_agg('<|im_start|>' || role || chr(10) || content || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text
+FROM turns JOIN first USING (id) GROUP BY id""",
+)
+def inspect_formatted(spark, sf_dir):
+    shown = inspect_source(spark, _INSPECTED, "formatted", n=5, read=_read_inspected(spark, sf_dir))
+    return shown.select(F.col("_row_key").cast("bigint").alias("id"), "text")
+
+
+@query(
+    "inspect_lengths",
+    f"""WITH {TURNS}, {FIRST_CHATS.format(200)},
+counts AS (
+  SELECT id, sum(len({words("'<|im_start|>' || role || chr(10) || content || '<|im_end|>' || chr(10)")})) AS n
+  FROM turns JOIN first USING (id) GROUP BY id)
+SELECT count(*) AS sampled_rows, CAST(min(n) AS BIGINT) AS min_tokens, CAST(max(n) AS BIGINT) AS max_tokens,
+  round(avg(n), 6) AS mean_tokens FROM counts""",
+)
+def inspect_lengths(spark, sf_dir):
+    return _rounded(inspect_source(spark, _INSPECTED, "lengths", read=_read_inspected(spark, sf_dir)))
+
+
 # -- everything together ------------------------------------------------------------------------
 
 _SFT_SOURCES = (
