@@ -157,14 +157,24 @@ def list_splits(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+SMALL_BYTES_PER_CORE = 64 * 1024 * 1024
+
+
 def spread_small(df: DataFrame, *key: str) -> DataFrame:
-    """Give every core a share of an input that has fewer files than there are cores.
+    """Give every core a share of a small input that has fewer files than there are cores.
 
-    Such an input is small, but may come as a single row group, which one task reads and
-    then works on alone. Inputs of many files are left as they are.
+    A small file may be a single row group, which one task reads and then works on alone. Larger
+    inputs, and rows that do not come straight from files, are left as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= cores:
+        return df
+    conf = spark._jsc.hadoopConfiguration()
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(f) for f in files]
+    total = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+    if total > cores * SMALL_BYTES_PER_CORE:
         return df
     return df.repartition(cores, *[F.col(k) for k in key])
 

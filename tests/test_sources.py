@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from chatloom.sources import readers
 from chatloom.sources.readers import list_splits, load_dataset, map_tags, read_files, spread_small, write_prepared
 
 ROWS = [{"q": "one", "n": 1}, {"q": 'two "quoted"\nlines, here', "n": 2}]
@@ -98,6 +99,11 @@ def test_sink(spark, tmp_path):
         write_prepared(spark.range(3), None, out)
 
 
-def test_spread_small(spark, files):
+def test_spread_small(spark, files, monkeypatch):
     one = load_dataset(spark, str(files / "d.parquet"))
-    assert spread_small(one, "n").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    cores = spark.sparkContext.defaultParallelism
+    assert spread_small(one, "n").rdd.getNumPartitions() == cores
+    memory = spark.range(10).coalesce(1)
+    assert spread_small(memory, "id") is memory
+    monkeypatch.setattr(readers, "SMALL_BYTES_PER_CORE", 1)
+    assert spread_small(one, "n") is one
