@@ -34,3 +34,33 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op3_packing_mbs")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens, by minimum bin slack."""
+    from chatloom.llm.packing_mbs import pack_digests
+
+    return pack_digests(_table(spark, sf_dir, "documents"), _vocabulary(), capacity=1024)
+
+
+@query("op4_bpe_prefix_dp")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents to ids and back."""
+    from chatloom.llm.bpe import decode, encode
+
+    docs = _table(spark, sf_dir, "documents")
+    coded = docs.select("doc_id", encode(spark, "text", _vocabulary()).alias("ids"))
+    coded = coded.withColumn("decoded", decode(spark, "ids", _vocabulary()))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
