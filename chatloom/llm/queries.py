@@ -64,3 +64,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_suffix_array_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that strings of 400 bytes repeat."""
+    from chatloom.llm.suffix_dedup import remove_repeats
+
+    cut = remove_repeats(_table(spark, sf_dir, "documents"), min_bytes=400)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
