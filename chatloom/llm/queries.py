@@ -22,6 +22,8 @@ def query(name: str, sql: str | None = None):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Whole texts go to Python in Arrow batches; a batch is counted in rows, and texts may be long.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -73,3 +75,75 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cut = remove_repeats(_table(spark, sf_dir, "documents"), min_bytes=400)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_language_crf")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, learned from two thirds of them."""
+    from chatloom.llm.language_crf import fit_on, held_out, predict
+
+    docs = _table(spark, sf_dir, "documents")
+    found = predict(docs, fit_on(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def _shrunk_sql(level: str, groups: str) -> str:
+    return f"""{level}_weight AS (
+  SELECT 1 / least(greatest(coalesce(CASE WHEN sum(n * (n - 1) * parent * (1 - parent)) > 0 THEN
+      (sum((bad - n * parent) ** 2) - sum(n * parent * (1 - parent))) / sum(n * (n - 1) * parent * (1 - parent))
+    ELSE 0.0 END, 0.0), 0.001), 0.999) - 1 AS weight FROM {groups}),
+{level}_rates AS (
+  SELECT *, (bad + weight * parent) / (n + weight) AS rate FROM {groups}, {level}_weight)"""
+
+
+@query(
+    "op8_url_reputation",
+    f"""WITH judged AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*).*$', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*).*$', 2), '') AS path FROM pages),
+outcomes AS (
+  SELECT host, CAST(quality = 0 OR toxic = 1 AS DOUBLE) AS bad
+  FROM judged JOIN labels ON doc_id = TRY_CAST(regexp_extract(path, '/([0-9]+)', 1) AS BIGINT)
+  WHERE (quality = 0 OR toxic = 1) IS NOT NULL),
+hosts AS (SELECT host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
+  string_split(host, '.')[-1] AS suffix, CAST(count(*) AS DOUBLE) AS n, sum(bad) AS bad FROM outcomes GROUP BY host),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
+suffix_groups AS (SELECT *, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM suffixes) AS parent FROM suffixes),
+{_shrunk_sql("suffix", "suffix_groups")},
+domain_groups AS (SELECT d.*, s.rate AS parent FROM domains d JOIN suffix_rates s USING (suffix)),
+{_shrunk_sql("domain", "domain_groups")},
+host_groups AS (SELECT h.*, d.rate AS parent FROM hosts h JOIN domain_rates d USING (domain)),
+{_shrunk_sql("host", "host_groups")},
+bounds AS (SELECT host, rate - 1.645 * sqrt(rate * (1 - rate) / (n + weight + 1)) AS bound FROM host_rates),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM judged)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+    WHEN rule IN ('example.com/de/', 'net/') THEN 'block'
+    WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN bounds USING (host)""",
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All urls under four rules and their hosts' reputation.
+
+    A page's outcome is the label of the document whose number is in its path: bad if of low quality or toxic.
+    """
+    from chatloom.llm.url_reputation import host_and_path, judge_urls
+
+    pages = _table(spark, sf_dir, "pages")
+    host, path = host_and_path("url")
+    number = F.regexp_extract(path, "/([0-9]+)", 1).try_cast("long")
+    numbered = pages.select(host.alias("host"), number.alias("doc_id"))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    outcomes = numbered.join(labels, "doc_id").select("host", F.col("bad").cast("int").alias("bad"))
+    return judge_urls(pages, outcomes, _RULES).select("page_id", "host", "path", "rule", "verdict")
