@@ -147,3 +147,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     outcomes = numbered.join(labels, "doc_id").select("host", F.col("bad").cast("int").alias("bad"))
     return judge_urls(pages, outcomes, _RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    "op5_warc_salvage",
+    """WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+marked AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS first FROM payloads)
+SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN octet_length(payload) >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN octet_length(payload) >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM marked""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages to WARC archives in the shared folder and back."""
+    from chatloom.llm.warc import new_archive_folder, read_pages, write_pages
+
+    archives = write_pages(_table(spark, sf_dir, "pages"), new_archive_folder(spark))
+    records = read_pages(archives).where("kind <> 'gap'")
+    return records.select(
+        F.regexp_extract("record_id", "<urn:page:(-?[0-9]+)>", 1).try_cast("long").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.regexp_extract("refers_to", "<urn:page:(-?[0-9]+)>", 1).try_cast("long").alias("refers_to"),
+    )
