@@ -171,3 +171,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("kind").alias("record_type"),
         F.regexp_extract("refers_to", "<urn:page:(-?[0-9]+)>", 1).try_cast("long").alias("refers_to"),
     )
+
+
+@query("op9_simhash_blocks")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    from chatloom.llm.simhash_blocks import edited_fingerprints
+
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
