@@ -179,3 +179,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatloom.llm.simhash_blocks import edited_fingerprints
 
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@query("op7_vamana")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all embeddings for every row whose id is divisible by 20."""
+    from chatloom.llm.vamana import nearest_by_inner_product
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest_by_inner_product(vectors, vectors.where("vec_id % 20 = 0"), k=20)
