@@ -176,7 +176,7 @@ def nearest_by_inner_product(
     shards = -(-n // shard_rows)
     wanted = stored(usable_vectors(queries, id_column, vector_column).distinct(), "queries")
     # A query visits each shard: the query set is stated, and it goes in blocks of the size of a shard.
-    to_all = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long")
+    to_all = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     asked = wanted.select(to_all.alias("shard"), F.array("id").alias("ids"), "vector", F.lit(True).alias("asks"))
     held = points.select(F.pmod("hash", F.lit(shards)).alias("shard"), "ids", "vector", F.lit(False).alias("asks"))
 
