@@ -34,7 +34,8 @@ def beam_search(
 ) -> tuple[np.ndarray, np.ndarray]:
     """``(ids, distances)`` of the *beam* nearest points found for each target, nearest first; -1 fills short rows.
 
-    In each step a target opens its nearest unopened point of the beam and looks at that point's links.
+    In each step a target opens its nearest unopened point of the beam and looks at that point's links, which are all
+    different.
     """
     n, rows = len(targets), np.arange(len(targets))
     squares = (points**2).sum(1)
@@ -100,7 +101,7 @@ def build_graph(points: np.ndarray, degree: int = 32, beam: int = 64, alpha: flo
     if n == 1:
         return links, entry
     few = min(degree, n - 1)
-    links[:, :few] = (np.arange(n)[:, None] + 1 + rng.integers(0, n - 1, (n, few))) % n
+    links[:, :few] = (np.arange(n)[:, None] + 1 + rng.choice(n - 1, few, replace=False)) % n
     for _ in range(passes):
         order = rng.permutation(n)
         for start in range(0, n, _TOGETHER):
@@ -110,7 +111,10 @@ def build_graph(points: np.ndarray, degree: int = 32, beam: int = 64, alpha: flo
             # Links back; a point that gets too many is pruned again.
             source = np.repeat(batch, degree)
             target = links[batch].ravel()
-            source, target = source[target >= 0], target[target >= 0]
+            new = (target >= 0) & ~(links[target] == source[:, None]).any(1)
+            source, target = source[new], target[new]
+            if not len(target):
+                continue
             by_target = np.argsort(target, kind="stable")
             source, target = source[by_target], target[by_target]
             points_back, first = np.unique(target, return_index=True)
