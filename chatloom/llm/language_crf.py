@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
@@ -272,13 +272,14 @@ def fit_on(
     return fit([(r["label"], r["words"]) for r in sorted(sample.collect(), key=lambda r: (r["label"], r["id"], r["words"]))])
 
 
-def predict(df: DataFrame, model: Crf, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``(id, lang_pred, score)`` for each row: the label with the largest share of the words' probability, and the share.
+def language(spark: SparkSession, text: Column | str, model: Crf) -> Column:
+    """``struct(lang_pred, score)``: the label with the largest share of the words' probability, and the share.
 
     ``und`` with score 0 where the text is NULL, empty or has no letter, or nothing was learned. Equal shares give the
-    label that sorts first. Repeated rows repeat, a NULL id stays, other columns are not read.
+    label that sorts first.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    # The model's size follows from the number of labels and the bounds of the sample.
+    shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang_pred string, score double")
     def run(texts: pa.Array) -> pa.Array:
@@ -307,5 +308,10 @@ def predict(df: DataFrame, model: Crf, id_column: str = "doc_id", text_column: s
         arrays = [pa.array(out_names, pa.string()), pa.array(out_scores, pa.float64())]
         return pa.StructArray.from_arrays(arrays, ["lang_pred", "score"])
 
-    found = df.select(F.col(id_column), run(text_column).alias("found"))
+    return run(text)
+
+
+def predict(df: DataFrame, model: Crf, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``(id, lang_pred, score)`` for each row, see :func:`language`. Repeated rows repeat, a NULL id stays."""
+    found = df.select(F.col(id_column), language(df.sparkSession, text_column, model).alias("found"))
     return found.select(id_column, "found.lang_pred", "found.score")

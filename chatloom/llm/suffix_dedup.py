@@ -330,17 +330,21 @@ def remove_repeats(
     min_bytes: int = 400,
     whole_characters: bool = False,
     group_rows: int = 256,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept binary)`` for each row: its text without repeated bytes.
 
     A byte goes if a string of *min_bytes* bytes over it also starts anywhere else in the table, the same text included;
     all occurrences go, judged on the input. NULL and empty texts, and texts shorter than *min_bytes*, stay as they
     are. Copies of a row repeat each other. ``whole_characters`` keeps characters of which only a part would go, so that
-    *kept* is UTF-8. Other columns are not read.
+    *kept* is UTF-8. The columns named in *carry* come along in a struct ``carried``; others are not read.
     """
     spans = repeated_spans(df, id_column, text_column, min_bytes, group_rows)
     docs = df.select(
-        F.col(id_column).alias("id"), F.xxhash64(text_column).alias("hash"), F.col(text_column).alias("text")
+        F.col(id_column).alias("id"),
+        F.xxhash64(text_column).alias("hash"),
+        F.col(text_column).alias("text"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     )
     both = docs.join(spans, docs["id"].eqNullSafe(spans["doc"]) & (docs["hash"] == spans["text_hash"]), "left")
 
@@ -375,5 +379,6 @@ def remove_repeats(
     cut_type = pa.struct(
         [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
     )
-    done = both.select(F.col("id").alias(id_column), cut("text", "starts", "ends").alias("cut"))
-    return done.select(id_column, "cut.*")
+    more = ["carried"] if carry else []
+    done = both.select(F.col("id").alias(id_column), cut("text", "starts", "ends").alias("cut"), *more)
+    return done.select(id_column, "cut.*", *more)
