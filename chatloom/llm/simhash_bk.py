@@ -62,7 +62,7 @@ def shingle_fingerprint(text: Column | str, words: int = 3, seed: int = 42) -> C
     return run(text)
 
 
-def word_fingerprints(text: Column | str, seeds: int = 4) -> Column:
+def word_fingerprints(text: Column | str, seeds: int = 8) -> Column:
     """*seeds* independent SimHashes over words weighted with ``1 + ln(count)`` (array of long); without words 0s.
 
     An edit changes few words, so near copies stay within few bits where a shingle fingerprint moves far.
@@ -155,35 +155,37 @@ def _signed(mask: int) -> int:
 
 
 def _sharded(rows: DataFrame, radius: int, shard_rows: int, left: int, levels: int) -> DataFrame:
-    """Rows ``(shard, fp)``: each fingerprint once for each block; shards beyond *shard_rows* are cut again."""
+    """Rows ``(shard, fp, id)``: each fingerprint once for each block; shards beyond *shard_rows* are cut again."""
     out = None
     for number, mask in enumerate(_masks(left, radius + 1)):
         key = F.xxhash64("shard", F.lit(number), F.col("fp").bitwiseAND(F.lit(_signed(mask))))
-        block = rows.select(key.alias("shard"), "fp")
+        block = rows.select(key.alias("shard"), "fp", "id")
         if levels > 1:
             large = block.groupBy("shard").count().where(F.col("count") > shard_rows).select("shard")
             if not large.isEmpty():
-                finer = _sharded(block.join(large, "shard", "left_semi"), radius, shard_rows, left & ~mask, levels - 1)
-                block = block.join(large, "shard", "left_anti").union(finer)
+                finer = _sharded(block.join(large, "shard", "left_semi").select("shard", "fp", "id"), radius, shard_rows, left & ~mask, levels - 1)
+                block = block.join(large, "shard", "left_anti").select("shard", "fp", "id").union(finer)
         out = block if out is None else out.union(block)
     return out
 
 
 def link_fingerprints(fingerprints: DataFrame, radius: int = 2, shard_rows: int = 16384, levels: int = 3) -> DataFrame:
-    """``(a, b)`` links that connect all *fingerprints* ``fp`` (distinct longs) at most *radius* bits apart.
+    """``(a, b)`` links between ids that connect all fingerprints at most *radius* bits apart.
 
-    With three levels a shard of radius 2 agrees in 45 bits or more, which bounds it whatever the data.
+    *fingerprints* has ``fp``, ``id`` (longs) and ``space``; only fingerprints of one space are compared, and they are
+    distinct there. With three levels a shard of radius 2 agrees in 45 bits or more, which bounds it whatever the data.
     """
-    rows = fingerprints.select(F.lit(0).cast("long").alias("shard"), "fp")
+    rows = fingerprints.select(F.xxhash64("space").alias("shard"), "fp", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
         for group in sorted_groups(batches, "shard"):
             if group.num_rows > 1:
-                values = np.unique(group.column("fp").to_numpy()).view(np.uint64).tolist()
-                for a, b in _forest(values, radius):
-                    left.append(a)
-                    right.append(b)
+                values, at = np.unique(group.column("fp").to_numpy().view(np.uint64), return_index=True)
+                ids = dict(zip(values.tolist(), group.column("id").to_numpy()[at].tolist()))
+                for a, b in _forest(list(ids), radius):
+                    left.append(ids[a])
+                    right.append(ids[b])
             if len(left) > 10000:
                 yield _links(left, right)
                 left, right = [], []
@@ -194,8 +196,7 @@ def link_fingerprints(fingerprints: DataFrame, radius: int = 2, shard_rows: int
 
 
 def _links(left: list[int], right: list[int]) -> pa.RecordBatch:
-    arrays = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (left, right)]
-    return pa.RecordBatch.from_arrays(arrays, names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (left, right)], names=["a", "b"])
 
 
 def simhash_components(
@@ -210,7 +211,9 @@ def simhash_components(
     own = df.select(F.col(id_column).alias("id"), shingle_fingerprint(text_column, words).alias("fp"))
     own = stored(own, "fingerprints")
     distinct = stored(own.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
-    labels = connected_components(link_fingerprints(distinct.select("fp"), radius))
+    # Fingerprints stand for themselves, as ids may be NULL or repeat.
+    points = distinct.select("fp", F.col("fp").alias("id"), F.lit(0).alias("space"))
+    labels = connected_components(link_fingerprints(points, radius))
     labelled = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("label", "fp").alias("label"), "first"
     )
@@ -248,7 +251,7 @@ def near_duplicate_components(
     text_column: str = "text",
     words: int = 5,
     similarity: float = 0.8,
-    seeds: int = 4,
+    seeds: int = 8,
     radius: int = 3,
 ) -> DataFrame:
     """``(id, component)`` of near-duplicate texts: the component is the smallest id of the group.
@@ -271,15 +274,8 @@ def near_duplicate_components(
     # One id stands for a fingerprint; the others with the same fingerprint are linked to it.
     ends = prints.groupBy("seed", "fp").agg(F.min("id").alias("end"))
     same = prints.join(ends, ["seed", "fp"]).where("id <> end").select(F.col("id").alias("a"), F.col("end").alias("b"))
-    near = None
-    for seed in range(seeds):
-        of_seed = ends.where(F.col("seed") == seed)
-        links = link_fingerprints(of_seed.select("fp"), radius)
-        to_id = of_seed.select("fp", "end")
-        links = links.join(to_id.select(F.col("fp").alias("a"), F.col("end").alias("ia")), "a")
-        links = links.join(to_id.select(F.col("fp").alias("b"), F.col("end").alias("ib")), "b")
-        links = links.select(F.col("ia").alias("a"), F.col("ib").alias("b"))
-        near = links if near is None else near.union(links)
+    points = ends.select("fp", F.col("end").alias("id"), F.col("seed").alias("space"))
+    near = link_fingerprints(points, radius)
     candidates = near.union(same).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     labels = connected_components(similar_links(texts, stored(candidates, "candidates"), words, similarity))
     named = first.join(labels.withColumnRenamed("node", "first"), "first", "left")
