@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 # Fixed values of the byte-level format: the word pattern, white space, and bytes that stand for themselves.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPACES = frozenset("\t\n\v\f\r \x85\xa0     　") | {chr(c) for c in range(0x2000, 0x200B)}
+_SIGNS = "!#$%&*+,-./:;?@^_|~"
 _PLAIN = frozenset([*range(33, 127), *range(161, 173), *range(174, 256)])
 
 #: Words kept with their ids in one worker, and the longest word kept. Both bound memory, not results.
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 150_000
 _CACHED_LENGTH = 64
 
 
@@ -77,7 +78,8 @@ class Bpe:
             self._bytes[number] = name.encode()
         self._edges: tuple[dict, dict] = ({}, {})
         self._fits: dict[int, bool] = {}
-        self._words: dict[str, list[int]] = {}
+        self._signs: dict[str, bytes] = {}
+        self._four = [np.array([i], "<u4").tobytes() for i in range(len(self._bytes))]
         self._spaced: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -108,48 +110,57 @@ class Bpe:
     def word_ids(self, word: str) -> list[int]:
         """Ids of one word as the pattern cuts them."""
         line = word.encode().decode("latin-1").translate(self._letters)
-        last, size, fits = [-1] * (len(line) + 1), self._length, self._fits
+        last, fits = [-1] * (len(line) + 1), self._fits
         last[0] = -2
+        size = self._length
         for end, token in self._automaton.iter(line):
             end += 1
             if last[end] == -1:
                 before = last[end - size[token]]
-                if before == -1:
-                    continue
                 if before >= 0:
                     pair = before << 32 | token
                     fit = fits.get(pair)
                     if fit is None:
                         fit = fits[pair] = self._fit(before, token)
-                    if not fit:
-                        continue
-                last[end] = token
+                    if fit:
+                        last[end] = token
+                elif before == -2:
+                    last[end] = token
         if len(fits) > _CACHED_WORDS:
             fits.clear()
         ids, at = [], len(line)
         while at:
-            ids.append(last[at])
-            at -= size[last[at]]
-        return ids[::-1]
+            token = last[at]
+            ids.append(token)
+            at -= size[token]
+        ids.reverse()
+        return ids
+
+    def _packed(self, word: str) -> bytes:
+        four = self._four
+        return b"".join([four[i] for i in self.word_ids(word)])
 
     def _chunk(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for word in self._pieces(chunk):
-            known = self._words.get(word)
-            if known is None:
-                known = self.word_ids(word)
-                if len(word) <= _CACHED_LENGTH:
-                    if len(self._words) >= _CACHED_WORDS:
-                        self._words.clear()
-                    self._words[word] = known
-            ids += known
-        return np.array(ids, "<u4").tobytes()
+        return b"".join([self._packed(word) for word in self._pieces(chunk)])
 
     def _after_space(self, part: str) -> bytes:
         """Ids of a space and *part*."""
-        ids = self._older.get(part)
+        ids = self._spaced.get(part) or self._older.get(part)
         if ids is None:
-            ids = self._chunk(" " + part)
+            # Letters are one word, and signs after them another; only the rest needs the pattern.
+            letters = part if part.isalpha() else part.rstrip(_SIGNS)
+            if letters == part and part.isalpha():
+                ids = self._packed(" " + part)
+            elif letters.isalpha():
+                signs = part[len(letters) :]
+                tail = self._signs.get(signs)
+                if tail is None:
+                    tail = self._packed(signs)
+                    if len(self._signs) < 1000:
+                        self._signs[signs] = tail
+                ids = self._after_space(letters) + tail
+            else:
+                ids = self._chunk(" " + part)
         if len(part) <= _CACHED_LENGTH:
             if len(self._spaced) >= _CACHED_WORDS:
                 self._older, self._spaced = self._spaced, {}
@@ -163,12 +174,12 @@ class Bpe:
         unknown = [i for i, known in enumerate(ids) if known is None]
         if all(parts[i] and parts[i][0] not in _SPACES for i in unknown):
             for i in unknown:
-                ids[i] = self._spaced.get(parts[i]) or self._after_space(parts[i])
+                ids[i] = self._after_space(parts[i])
             return self._chunk(first) + b"".join(ids)
         starts = [i for i, p in enumerate(parts) if p and p[0] not in _SPACES]
         chunks = [" ".join(parts[a:b]) for a, b in zip(starts, [*starts[1:], len(parts)])]
         head = " ".join([first, *parts[: starts[0] if starts else None]])
-        return self._chunk(head) + b"".join([self._spaced.get(c) or self._after_space(c) for c in chunks])
+        return self._chunk(head) + b"".join([self._after_space(c) for c in chunks])
 
     def encode(self, text: str) -> bytes:
         """Ids of *text* as little-endian unsigned 32-bit integers; added tokens in the text keep their own id."""
@@ -185,7 +196,26 @@ class Bpe:
         return b"".join([content[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-_loaded: dict[int, Bpe] = {}
+class LibraryBpe:
+    """The same ids from the tiktoken library, for callers that need ids and not the method."""
+
+    def __init__(self, content: bytes) -> None:
+        import tiktoken
+
+        own = Bpe(content)
+        spec = json.loads(content)
+        vocab, added = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
+        ranks = {own._bytes[i]: i for token, i in vocab.items() if token not in added}
+        merged = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in spec["model"]["merges"]]
+        if merged != sorted(merged):
+            raise ValueError("The ids of this file are not in the order of its merges")
+        self._coder = tiktoken.Encoding("own", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens=added)
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self._coder.encode(text, allowed_special="all"), "<u4").tobytes()
+
+
+_loaded: dict[tuple[type, int], object] = {}
 
 
 def shared_file(spark: SparkSession, path: str):
@@ -194,11 +224,11 @@ def shared_file(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
-def loaded(content: bytes) -> Bpe:
+def loaded(content: bytes, kind: type = Bpe):
     """The coder of one tokenizer file, built once in a worker."""
-    key = hash(content)
+    key = (kind, hash(content))
     if key not in _loaded:
-        _loaded[key] = Bpe(content)
+        _loaded[key] = kind(content)
     return _loaded[key]
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.bpe import loaded, shared_file
+from chatloom.llm.bpe import LibraryBpe, loaded, shared_file
 from chatloom.llm.common import stored
 
 #: Bytes of ids in one output batch of :func:`token_pieces`.
@@ -42,7 +42,7 @@ def token_pieces(
     out_type = out_type.add("doc_tokens", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = loaded(shared.value)
+        coder = loaded(shared.value, LibraryBpe)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows, starts, ids, totals, held = [], [], [], [], 0
