@@ -94,7 +94,7 @@ def _shrunk_sql(level: str, groups: str) -> str:
     return f"""{level}_weight AS (
   SELECT 1 / least(greatest(coalesce(CASE WHEN sum(n * (n - 1) * parent * (1 - parent)) > 0 THEN
       (sum((bad - n * parent) ** 2) - sum(n * parent * (1 - parent))) / sum(n * (n - 1) * parent * (1 - parent))
-    ELSE 0.0 END, 0.0), 0.001), 0.999) - 1 AS weight FROM {groups}),
+    ELSE 0.0 END, 0.0), 0.001), 1 / 3.0::DOUBLE) - 1 AS weight FROM {groups}),
 {level}_rates AS (
   SELECT *, (bad + weight * parent) / (n + weight) AS rate FROM {groups}, {level}_weight)"""
 

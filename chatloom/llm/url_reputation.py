@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A prior is worth this many pages at least, so that one page alone decides nothing.
+_LEAST_WEIGHT = 2.0
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,7 +55,7 @@ def _strength(groups: DataFrame) -> DataFrame:
         F.sum(F.col("n") * (F.col("n") - 1) * spread).alias("scale"),
     )
     alike = F.when(F.col("scale") > 0, (F.col("seen") - F.col("chance")) / F.col("scale")).otherwise(F.lit(0.0))
-    alike = F.least(F.greatest(F.coalesce(alike, F.lit(0.0)), F.lit(0.001)), F.lit(0.999))
+    alike = F.least(F.greatest(F.coalesce(alike, F.lit(0.0)), F.lit(0.001)), F.lit(1 / (1 + _LEAST_WEIGHT)))
     return sums.select((1 / alike - 1).alias("weight"))
 
 
