@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import tempfile
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from operator import attrgetter
@@ -34,7 +33,9 @@ class Source:
     """One dataset of a mix.
 
     Give *schema* (DDL) for large JSON or CSV data: without it Spark reads everything once to
-    infer it. *key* names columns that identify a row.
+    infer it. *key* names columns that identify a row. *splittable* says that each CSV or JSON record is on a line of its
+    own, so that large files are read by many tasks. *spread* deals the rows out to that many partitions, for files that
+    are few and costly per row.
     """
 
     name: str
@@ -47,6 +48,8 @@ class Source:
     key: tuple[str, ...] = ()
     max_samples: int | None = None
     schema: str | None = None
+    splittable: bool = False
+    spread: int | None = None
 
 
 @dataclass(frozen=True)
@@ -102,33 +105,29 @@ def mix_fingerprint(sources: Iterable[Source]) -> str:
 # -- row keys -------------------------------------------------------------------
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster names a shared folder in ``spark.checkpoint.dir``; only a local session gets its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-        shared = tempfile.mkdtemp(prefix="chatloom-checkpoint-")
-    context.setCheckpointDir(shared)
+def _content(df: DataFrame, columns: Sequence[str]) -> Column:
+    """md5 of the columns' values; NULL, empty and shifted values all differ."""
+    # JSON quotes and names each value, and the option keeps NULLs.
+    return F.md5(F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"}))
 
 
 def with_row_key(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """Add a unique ``_row_key``.
+    """Add a ``_row_key``.
 
-    From *key* columns if given (they must identify a row), else from the Parquet file and
-    row number, else by numbering the rows and checkpointing them, so that a lost
-    executor cannot change the numbers.
+    From *key* columns if given (they must identify a row), else from the Parquet file and row number, else from the
+    row's content and its place among equal rows, which are interchangeable. Where rows are split between tasks
+    makes no difference to any of them.
     """
     if KEY in df.columns:
         return df
+    if len(key) == 1:
+        return df.withColumn(KEY, F.coalesce(F.col(key[0]).cast("string"), F.lit("\0")))
     if key:
-        parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
-        return df.withColumn(KEY, F.concat_ws(":", *parts))
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.withColumn(KEY, F.monotonically_increasing_id().cast("string")).checkpoint()
+        return df.withColumn(KEY, _content(df, key))
+    hashed = df.withColumn("_content", _content(df, df.columns))
+    # Only copies of a row share a group, and they are numbered as they stream by.
+    copy = F.row_number().over(Window.partitionBy("_content").orderBy(F.lit(0)))
+    return hashed.withColumn(KEY, F.concat_ws(":", "_content", copy.cast("string"))).drop("_content")
 
 
 # -- thresholds -----------------------------------------------------------------

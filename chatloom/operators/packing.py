@@ -70,19 +70,27 @@ def pack_best_fit(
     df: DataFrame,
     length: int,
     columns: tuple[str, ...] = ("input_ids", "labels"),
-    group_rows: int = 1000,
+    long_rows: str = "split",
+    group_tokens: int = 1 << 20,
 ) -> DataFrame:
     """Put whole rows into bins of *length* tokens, the longest first, each where it leaves least room.
 
-    Needs ``position``. Rows are cut at *length* first; rows without tokens are left out. Bins
-    are filled inside groups of *group_rows* neighbouring positions, so a group is bounded and
-    results do not depend on partitioning. Rows move once, to their group; only their lengths go
-    to Python. Returns ``group``, ``bin``, the token columns and ``row_lengths``.
+    Needs ``position`` and ``start``. A row longer than *length* becomes several rows (*long_rows* is ``'split'``) or
+    loses its end (``'cut'``). Rows without tokens are in no bin. Bins are filled inside groups of rows that start in the
+    same *group_tokens* tokens of the shuffled order, so a group is bounded and results do not depend on partitioning.
+    Rows move once, to their group; only their lengths go to Python. Returns ``group``, ``bin``, the token columns and
+    ``row_lengths``.
     """
+    if long_rows not in ("split", "cut"):
+        raise ValueError(f"long_rows must be 'split' or 'cut', got '{long_rows}'.")
     columns = tuple(c for c in columns if c in df.columns)
-    cut = df.select(
-        F.expr(f"position div {group_rows}").alias("group"),
-        F.struct("position", *[F.slice(c, 1, length).alias(c) for c in columns]).alias("_row"),
+    last = F.expr(f"(size({columns[0]}) - 1) div {length}") if long_rows == "split" else F.lit(0).cast("bigint")
+    pieces = F.explode(F.when(F.size(columns[0]) > 0, F.sequence(F.lit(0).cast("bigint"), last))).alias("_piece")
+    rows = df.select("position", "start", *columns, pieces)
+    skipped = (F.col("_piece") * length).cast("int")
+    cut = rows.select(
+        F.expr(f"(start + _piece * {length}) div {group_tokens}").alias("group"),
+        F.struct("position", "_piece", *[F.slice(c, skipped + 1, length).alias(c) for c in columns]).alias("_row"),
     )
     groups = cut.groupBy("group").agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
     sizes = F.transform("_rows", lambda r: F.size(r[columns[0]]))

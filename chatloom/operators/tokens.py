@@ -19,7 +19,6 @@ from chatloom.functions.basics import let, order_hash, word_count, words
 from chatloom.operators.templates import segments_text
 
 IGNORED = -100  # fixed value: label of a token that is not trained on
-MAX_TOKENIZER_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -31,10 +30,7 @@ class FileTokenizer:
     @classmethod
     def from_file(cls, path: str) -> FileTokenizer:
         with open(path, encoding="utf-8") as f:
-            text = f.read(MAX_TOKENIZER_BYTES + 1)
-        if len(text) > MAX_TOKENIZER_BYTES:
-            raise ValueError(f"Tokenizer file '{path}' is larger than {MAX_TOKENIZER_BYTES} bytes.")
-        return cls(text)
+            return cls(f.read())
 
 
 WORDS = "words"

@@ -44,7 +44,9 @@ def inspect_source(
     raw = read(spark, source)
     if stage == "facts":
         return dataset_facts(raw.drop(KEY))
-    first = raw.orderBy(KEY).limit(sample_rows if stage == "lengths" else n)
+    # Row numbers at the end of a key are numbers, not text. Each task keeps only the rows asked for.
+    number = F.regexp_extract(KEY, r"([0-9]+)$", 1).try_cast("decimal(38,0)")
+    first = raw.orderBy(F.regexp_replace(KEY, r"[0-9]+$", ""), number, KEY).limit(sample_rows if stage == "lengths" else n)
     if stage == "raw":
         return preview_rows(first.drop(KEY), n)
     if source.transform is not None:

@@ -25,7 +25,7 @@ from chatloom.operators.registry import get_transform
 from chatloom.operators.shaping import apply_transform, dpo_filter, keep_columns, sft_filter
 from chatloom.operators.templates import RenderOptions, render_segments, require_markers, train_last_turn_only
 from chatloom.operators.tokens import WORDS, FileTokenizer, segment_word_count, tokenize
-from chatloom.sources.readers import load_dataset, spread_small, write_prepared
+from chatloom.sources.readers import load_dataset, write_prepared
 
 RowFilter = Callable[[DataFrame], DataFrame] | Column
 
@@ -40,8 +40,10 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
         source.subset,
         schema=source.schema,
         row_key=not source.key,
+        splittable=source.splittable,
     )
-    return spread_small(with_row_key(df, source.key), KEY)
+    df = with_row_key(df, source.key)
+    return df.repartition(source.spread, KEY) if source.spread else df
 
 
 def shape_source(

@@ -40,8 +40,9 @@ def read_files(
     """Read data files of one format, chosen by suffix (case matters).
 
     CSV cells and top-level JSON arrays may span lines, which keeps a file in one task; pass
-    ``splittable=True`` when each record is on its own line. With *row_key*, Parquet rows get
-    a key from file and row number.
+    ``splittable=True`` when each record is on its own line. Each JSON file may be a list or lines; the files are
+    read in two groups. A broken CSV or JSON record fails the job. With *row_key*, Parquet rows get a key from file and
+    row number.
     """
     suffixes = {_suffix(p) for p in paths}
     unknown = sorted(s for s in suffixes if s not in FORMATS)
@@ -53,16 +54,25 @@ def read_files(
     if len(kinds) != 1:
         raise ValueError(f"Files of different formats in one split: {sorted(suffixes)}")
     kind = kinds.pop()
-    reader = spark.read.format(kind)
-    if schema is not None and kind != "text":
-        reader = reader.schema(schema)
+    options: dict[str, object] = {}
     if kind == "csv":
-        reader = reader.options(header=True, quote='"', escape='"', multiLine=not splittable)
-        if schema is None:
-            reader = reader.option("inferSchema", True)
-    if kind == "json" and not splittable and _starts_with_bracket(spark, paths[0]):
-        reader = reader.option("multiLine", True)
-    df = reader.load(paths)
+        options = {"header": True, "quote": '"', "escape": '"', "multiLine": not splittable, "inferSchema": schema is None}
+    if kind in ("csv", "json"):
+        options["mode"] = "FAILFAST"
+
+    def load(files: list[str], **more) -> DataFrame:
+        reader = spark.read.format(kind).options(**options, **more)
+        if schema is not None and kind != "text":
+            reader = reader.schema(schema)
+        return reader.load(files)
+
+    if kind == "json" and not splittable:
+        lists = [p for p in paths if _starts_with_bracket(spark, p)]
+        groups = [(lists, True), ([p for p in paths if p not in set(lists)], False)]
+        frames = [load(files, multiLine=is_list) for files, is_list in groups if files]
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    else:
+        df = load(paths)
     if kind == "text":
         df = df.withColumnRenamed("value", "text")
     if row_key and kind == "parquet":
@@ -72,13 +82,40 @@ def read_files(
 
 
 def _starts_with_bracket(spark: SparkSession, path: str) -> bool:
-    first = (
-        spark.read.text(path)
-        .select(F.substring(F.ltrim("value"), 1, 1).alias("c"))
-        .where(F.col("c") != "")
-        .first()
-    )
-    return first is not None and first["c"] == "["
+    """Whether the first character other than white space is ``[``; a folder is judged by its first data file."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(at).isDirectory():
+        inner = [p for p, is_dir in _visible(_list(spark, f"{path}/*")) if not is_dir]
+        return bool(inner) and _starts_with_bracket(spark, inner[0])
+    stream = files.open(at)
+    try:
+        byte = stream.read()
+        while byte in (0x20, 0x09, 0x0A, 0x0D, 0xEF, 0xBB, 0xBF):  # white space and a byte order mark
+            byte = stream.read()
+        return byte == ord("[")
+    finally:
+        stream.close()
+
+
+# Words in file and folder names, and the split they stand for.
+SPLIT_WORDS = {
+    "train": "train",
+    "training": "train",
+    "validation": "validation",
+    "valid": "validation",
+    "val": "validation",
+    "dev": "validation",
+    "test": "test",
+    "testing": "test",
+    "eval": "test",
+    "evaluation": "test",
+}
+
+
+def _split_classes(name: str) -> set[str]:
+    """The splits that a name's words stand for: ``train_sft`` is training data."""
+    return {SPLIT_WORDS[w] for w in re.split(r"[-_. ]+", name.lower()) if w in SPLIT_WORDS}
 
 
 def _stem(path: str) -> str:
@@ -92,9 +129,11 @@ def _split_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     splits: dict[str, list[str]] = {}
     for path, is_dir in _visible(_list(spark, f"{folder}/*")):
         if is_dir and _suffix(path) not in FORMATS:
-            inner = [p for p, d in _visible(_list(spark, f"{path}/*")) if _suffix(p) in FORMATS]
-            if inner:
-                splits.setdefault(basename(path), []).extend(inner)
+            for inner, _ in _visible(_list(spark, f"{path}/*")):
+                if _suffix(inner) in FORMATS:
+                    # A folder like ``data`` names no split; its files may.
+                    named = _split_classes(basename(path)) or not _split_classes(_stem(inner))
+                    splits.setdefault(basename(path) if named else _stem(inner), []).append(inner)
         elif _suffix(path) in FORMATS:
             splits.setdefault(_stem(path), []).append(path)
     return splits
@@ -112,8 +151,9 @@ def load_dataset(
 ) -> DataFrame:
     """Read one file, or one split of a dataset directory.
 
-    Directory layout: ``path/[data_dir/][subset/]`` holding ``split`` folders or
-    ``split*.suffix`` files. A folder whose files name no split is all ``train``.
+    Directory layout: ``path/[data_dir/][subset/]`` holding ``split`` folders or ``split*.suffix`` files, or a folder of
+    such files. A name that is exactly *split* comes first, else all names with a word for it, so ``train`` reads
+    ``train_sft`` and never ``test_sft``. A folder in which no name has a word for any split is all ``train``.
     """
     entries = _list(spark, path)
     if not entries:
@@ -122,9 +162,12 @@ def load_dataset(
         return read_files(spark, [path], schema, row_key, splittable)
     folder = "/".join(p.rstrip("/") for p in (path, data_dir, subset) if p)
     splits = _split_files(spark, folder)
+    classes = {name: _split_classes(name) for name in splits}
     if split in splits:
         files = splits[split]
-    elif split == "train" and splits and not set(splits) & {"test", "validation", "dev", "valid"}:
+    elif any(c == {split} for c in classes.values()):
+        files = [f for name, fs in splits.items() if classes[name] == {split} for f in fs]
+    elif split == "train" and splits and not any(classes.values()):
         files = [f for fs in splits.values() for f in fs]
     else:
         raise ValueError(f"Unknown split '{split}' in '{folder}'. Available: {sorted(splits)}")
@@ -137,8 +180,10 @@ def list_splits(spark: SparkSession, path: str) -> DataFrame:
     Files directly in the directory form the subset ``default``.
     """
     found: list[tuple[str, str, list[str]]] = []
+    own = basename(path.rstrip("/"))
     for split, files in _split_files(spark, path).items():
-        if all(basename(f.rsplit("/", 1)[0]) != split for f in files):
+        files = [f for f in files if basename(f.rsplit("/", 1)[0]) == own]
+        if files:
             found.append(("default", split, files))
     for folder, is_dir in _visible(_list(spark, f"{path}/*")):
         if is_dir and _suffix(folder) not in FORMATS:
@@ -157,28 +202,6 @@ def list_splits(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-SMALL_BYTES_PER_CORE = 64 * 1024 * 1024
-
-
-def spread_small(df: DataFrame, *key: str) -> DataFrame:
-    """Give every core a share of a small input that has fewer files than there are cores.
-
-    A small file may be a single row group, which one task reads and then works on alone. Larger
-    inputs, and rows that do not come straight from files, are left as they are.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    conf = spark._jsc.hadoopConfiguration()
-    paths = [spark._jvm.org.apache.hadoop.fs.Path(f) for f in files]
-    total = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
-    if total > cores * SMALL_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, *[F.col(k) for k in key])
-
-
 def map_tags(
     df: DataFrame, columns: Mapping[str, str], tags: Mapping[str, str], on_bad_row: str = "fail"
 ) -> DataFrame:

@@ -32,7 +32,7 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 
 
 class RunRates(StatefulProcessor):
-    """Last time and last token count per run; records at or behind the state are skipped."""
+    """Last time and last token count per run. A record behind the state comes out without rates, so none is lost."""
 
     def __init__(self, world_size: int, flops_per_token: float | None, peak: float | None):
         self.world_size = world_size
@@ -55,6 +55,8 @@ class RunRates(StatefulProcessor):
         out = []
         for us, tokens in zip(times[order].tolist(), counts[order].tolist(), strict=True):
             if last is not None:
+                if us < last[0]:
+                    out.append((key[0], us, tokens, None, None, None))
                 if us <= last[0]:
                     continue
                 rate = (tokens - last[1]) / ((us - last[0]) / 1e6)
@@ -67,6 +69,8 @@ class RunRates(StatefulProcessor):
         frame = pd.DataFrame(out, columns=[f.name for f in RATES_SCHEMA.fields])
         frame["ts"] = pd.to_datetime(frame["ts"], unit="us")
         frame["mfu"] = frame["mfu"].astype("float64")
+        for name in ("tokens_per_sec", "tokens_per_gpu_per_sec"):
+            frame[name] = frame[name].astype("Int64")
         yield frame
 
     def close(self) -> None:
@@ -82,8 +86,9 @@ def stream_rates(
 ) -> DataFrame:
     """Rates of a streaming log ``(run, ts, tokens_seen)``.
 
-    Same rules as the batch form: records without tokens are skipped and do not move the state,
-    nor do late ones. *starts* is a batch table ``(run, ts)`` of run starts.
+    Same rules as the batch form: records without tokens are skipped and do not move the state. A record that comes after
+    a later one of its run was worked on has NULL rates and does not move the state either; count those to see whether
+    the source is in order. *starts* is a batch table ``(run, ts)`` of run starts.
     """
     use_rocksdb_state(log.sparkSession)
     keyed = (

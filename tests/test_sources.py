@@ -3,8 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.sources import readers
-from chatloom.sources.readers import list_splits, load_dataset, map_tags, read_files, spread_small, write_prepared
+from chatloom.sources.readers import list_splits, load_dataset, map_tags, read_files, write_prepared
 
 ROWS = [{"q": "one", "n": 1}, {"q": 'two "quoted"\nlines, here', "n": 2}]
 
@@ -99,11 +98,37 @@ def test_sink(spark, tmp_path):
         write_prepared(spark.range(3), None, out)
 
 
-def test_spread_small(spark, files, monkeypatch):
-    one = load_dataset(spark, str(files / "d.parquet"))
-    cores = spark.sparkContext.defaultParallelism
-    assert spread_small(one, "n").rdd.getNumPartitions() == cores
-    memory = spark.range(10).coalesce(1)
-    assert spread_small(memory, "id") is memory
-    monkeypatch.setattr(readers, "SMALL_BYTES_PER_CORE", 1)
-    assert spread_small(one, "n") is one
+def test_split_words(spark, tmp_path):
+    for i, name in enumerate(["data/train-00000.jsonl", "data/test-00000.jsonl", "b/train_sft.jsonl", "b/test_sft.jsonl", "c/part-0.jsonl"]):
+        path = tmp_path / ("a/" + name if name.startswith("data") else name)
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps({"n": i}))
+    read = lambda *a: [r.n for r in load_dataset(spark, *a).collect()]
+    assert read(str(tmp_path / "a")) == [0] and read(str(tmp_path / "a"), "test") == [1]
+    assert read(str(tmp_path / "b")) == [2] and read(str(tmp_path / "b"), "test") == [3]
+    assert read(str(tmp_path / "b"), "test_sft") == [3] and read(str(tmp_path / "c")) == [4]
+    with pytest.raises(ValueError, match="Unknown split 'validation'"):
+        read(str(tmp_path / "a"), "validation")
+
+
+def test_json_lists_beside_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"n": 1}, {"n": 2}]))
+    (tmp_path / "b.jsonl").write_text("\n".join(json.dumps({"n": i, "m": "x"}) for i in range(3, 8)))
+    rows = load_dataset(spark, str(tmp_path)).collect()
+    assert sorted(r.n for r in rows) == [1, 2, 3, 4, 5, 6, 7] and sum(r.m is None for r in rows) == 2
+
+
+def test_broken_records_fail(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"n": 1}\n{"n": \n{"n": 3}\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_dataset(spark, str(tmp_path / "a.jsonl"), schema="n bigint").collect()
+
+
+def test_row_keys(spark):
+    from chatloom.operators.mixing import KEY, with_row_key
+
+    rows = [("a:b", "c"), ("a", "b:c"), (None, ""), ("", None), ("x", "y"), ("x", "y")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    assert with_row_key(df, ["p", "q"]).select(KEY).distinct().count() == 5
+    keys = [{r[KEY] for r in with_row_key(df.repartition(n)).collect()} for n in (1, 5)]
+    assert len(keys[0]) == 6 and keys[0] == keys[1]

@@ -87,13 +87,6 @@ def test_real_vocabulary(spark):
         assert got[i] == (None if x is None else direct.encode(x, add_special_tokens=False).ids)
 
 
-def test_tokenizer_size_is_checked(tmp_path, monkeypatch):
-    monkeypatch.setattr(k, "MAX_TOKENIZER_BYTES", 10)
-    (tmp_path / "t.json").write_text("{" + " " * 20 + "}")
-    with pytest.raises(ValueError, match="larger than"):
-        k.FileTokenizer.from_file(str(tmp_path / "t.json"))
-
-
 def test_truncate(spark):
     df = spark.createDataFrame([([1, 2, 3], [-100, 2, 3])], "input_ids array<int>, labels array<int>")
     assert tuple(k.truncate(df, 2).first()) == ([1, 2], [-100, 2])
@@ -143,18 +136,27 @@ def brute_force_bins(lengths, size):
     return sorted(sorted(b) for b in bins)
 
 
+def test_best_fit_splits_long_rows(spark):
+    packed = pack_best_fit(token_rows(spark, [25, 3, 0, 10]), 10).collect()
+    assert sorted(x for r in packed for x in r.input_ids) == list(range(38))
+    assert sorted(sorted(r.row_lengths) for r in packed) == [[3, 5], [10], [10], [10]]
+    with pytest.raises(ValueError, match="'split' or 'cut'"):
+        pack_best_fit(token_rows(spark, [1]), 10, long_rows="drop")
+
+
 def test_best_fit(spark):
     import random
 
     lengths = [random.Random(i).randint(0, 14) for i in range(70)] + [0, 12]
-    packed = pack_best_fit(token_rows(spark, lengths), 10, group_rows=30).collect()
-    starts = {}
+    packed = pack_best_fit(token_rows(spark, lengths), 10, long_rows="cut", group_tokens=150).collect()
+    starts, group_of = {}, {}
     at = 0
     for i, n in enumerate(lengths):
         starts[at if n else None] = i
+        group_of[i] = at // 150
         at += n
-    for group in range(3):
-        cut = {i: min(n, 10) for i, n in enumerate(lengths) if i // 30 == group and n}
+    for group in range(max(group_of.values()) + 1):
+        cut = {i: min(n, 10) for i, n in enumerate(lengths) if group_of[i] == group and n}
         expected = brute_force_bins(list(cut.values()), 10)
         names = list(cut)
         found = []
@@ -179,7 +181,7 @@ def test_packing_does_not_depend_on_partitions(spark):
     for parts in (1, 5):
         rows = number_rows(df.repartition(parts), 2, ["id"], size=F.size("input_ids"), partitions=parts)
         wrapped = sorted((r.bin, tuple(r.input_ids)) for r in pack_wrap(rows, 16).collect())
-        fitted = sorted((r.group, r.bin, tuple(r.input_ids)) for r in pack_best_fit(rows, 16, group_rows=100).collect())
+        fitted = sorted((r.group, r.bin, tuple(r.input_ids)) for r in pack_best_fit(rows, 16, group_tokens=400).collect())
         results.append((wrapped, fitted))
     assert results[0] == results[1]
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import functions as F
 
+from chatloom.functions.folders import new_path
 from chatloom.operators.training_logs import peak_flops, throughput, utilization
 from chatloom.sources.run_folders import map_runs
 from chatloom.streaming.log_rates import stream_rates
@@ -66,7 +65,7 @@ _PARAMS, _PEAK = 70_000_000_000, 312e12
     "mfu",
     f"""WITH {LOG}, {RECORDS}
 SELECT run, epoch_us(ts) AS ts_us, tokens AS tokens_seen,
-  round(rate / 4 * 6 * {float(_PARAMS)!r}::DOUBLE / {_PEAK!r}::DOUBLE, 3) AS mfu FROM rates""",
+  round_even(rate / 4 * 6 * {float(_PARAMS)!r}::DOUBLE / {_PEAK!r}::DOUBLE, 4) AS mfu FROM rates""",
 )
 def mfu_query(spark, sf_dir):
     values = utilization(
@@ -76,7 +75,6 @@ def mfu_query(spark, sf_dir):
         shapes.run_starts(spark, sf_dir),
         world_size=4,
         slice_seconds=86400,
-        digits=3,
     )
     return values.select("run", F.unix_micros("ts").alias("ts_us"), "tokens_seen", "mfu")
 
@@ -113,7 +111,7 @@ def throughput_stream(spark, sf_dir):
         F.expr("CASE WHEN event_type <> 'error' THEN event_id * 1000 + CAST(value AS BIGINT) END").alias("tokens_seen"),
     )
     rates = stream_rates(log, shapes.run_starts(spark, sf_dir), world_size=4)
-    out = _work_folder(spark)
+    out = new_path(spark, "stream")
     running = (
         rates.writeStream.format("parquet")
         .option("path", f"{out}/rates")
@@ -127,15 +125,6 @@ def throughput_stream(spark, sf_dir):
     )
 
 
-def _work_folder(spark) -> str:
-    """A new folder under the cluster's shared checkpoint folder; a temporary one for local sessions."""
-    from chatloom.operators.mixing import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    base = spark.sparkContext.getCheckpointDir()
-    return f"{base}/stream-{uuid4().hex}"
-
-
 @query(
     "run_map",
     """WITH named AS (

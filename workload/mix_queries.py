@@ -16,7 +16,7 @@ from chatloom.operators.shaping import (
     sft_filter,
 )
 from chatloom.plans.prepare import prepare_mix, prepare_preferences, row_outcomes
-from chatloom.sources.readers import list_splits, map_tags
+from chatloom.sources.readers import list_splits, load_dataset, map_tags
 from workload import shapes
 from workload.transform_queries import FACTS, RELABELED, TURNS, merged
 
@@ -112,8 +112,8 @@ def mix_capped(spark, sf_dir):
 @query(
     "resample_to_size",
     f"""WITH ranked AS (
-  SELECT conv_id, turn, row_number() OVER (ORDER BY md5(concat_ws(':', {SEED}, conv_id, turn))) AS rk,
-         count(*) OVER () AS n
+  SELECT conv_id, turn, row_number() OVER (ORDER BY md5(concat_ws(':', {SEED},
+           md5('{{"conv_id":' || conv_id || ',"turn":' || turn || '}}')))) AS rk, count(*) OVER () AS n
   FROM conversations)
 SELECT conv_id, turn FROM (SELECT *, unnest(generate_series(0, CAST(800 // n AS BIGINT))) AS copy FROM ranked) WHERE copy * n + rk <= 800""",
 )
@@ -122,6 +122,25 @@ def resample_to_size(spark, sf_dir):
     return sample_exact(turns, 800, SEED, ["conv_id", "turn"])
 
 
+@query(
+    "resample_without_key",
+    f"""WITH copies AS (
+  SELECT quality, toxic, md5('{{"quality":' || quality || ',"toxic":' || toxic || '}}') AS content FROM labels),
+keyed AS (SELECT *, content || ':' || row_number() OVER (PARTITION BY content) AS row_key FROM copies),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', {SEED}, row_key))) AS rk, count(*) OVER () AS n FROM keyed)
+SELECT quality, toxic FROM (SELECT *, unnest(generate_series(0, CAST(300 // n AS BIGINT))) AS copy FROM ranked)
+WHERE copy * n + rk <= 300""",
+)
+def resample_without_key(spark, sf_dir):
+    return sample_exact(shapes.table(spark, sf_dir, "labels").select("quality", "toxic"), 300, SEED)
+
+
+@query("load_split", "SELECT doc_id, lang, n_chars FROM documents")
+def load_split(spark, sf_dir):
+    return load_dataset(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+
+
 @query(
     "shuffle_position",
     f"""SELECT doc_id AS id, row_number() OVER (ORDER BY md5(concat_ws(':', 'shuffle', {SEED},

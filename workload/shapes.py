@@ -9,29 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.sources.readers import spread_small
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-MAX_TURNS = 1_000_000
-
-
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, messages)``: one row per conversation, turns in order.
-
-    Turns are numbered from 0, so the number itself bounds a chat: one that cannot be a row
-    fails here instead of filling a task.
-    """
-    number = F.when(
-        F.col("turn") >= MAX_TURNS, F.raise_error(F.lit("a chat has too many turns for one row"))
-    ).otherwise(F.col("turn"))
+    """``(id, messages)``: one row per conversation, turns in order."""
     gathered = (
         table(spark, sf_dir, "conversations")
         .groupBy(F.col("conv_id").alias("id"))
-        .agg(F.sort_array(F.collect_list(F.struct(number.alias("turn"), "role", "text"))).alias("t"))
+        .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
     )
     turns = F.transform("t", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content")))
     return gathered.select("id", turns.alias("messages"))
@@ -58,8 +45,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents for work that is heavy per row."""
-    return spread_small(documents(spark, sf_dir), "id")
+    """Documents for work that is heavy per row, dealt out evenly: the sample files are single row groups."""
+    return documents(spark, sf_dir).repartition("id")
 
 
 def labeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

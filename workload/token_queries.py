@@ -190,11 +190,11 @@ def pack_best_fit_query(spark, sf_dir):
 
 @query(
     "pack_best_fit_totals",
-    f"""WITH {DOC_COUNTS} SELECT count(*) AS n_rows, CAST(sum(least(n, 512)) AS BIGINT) AS n_tokens, true AS fits
+    f"""WITH {DOC_COUNTS} SELECT CAST(sum((n + 511) // 512) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_tokens, true AS fits
 FROM counts WHERE n > 0""",
 )
 def pack_best_fit_totals(spark, sf_dir):
-    """What any correct packing shares: every row once, no token lost, no bin too long."""
+    """What any correct packing shares: every piece once, no token lost, no bin too long."""
     packed = pack_best_fit(_numbered_documents(spark, sf_dir), 512)
     return packed.agg(
         F.sum(F.size("row_lengths")).alias("n_rows"),
@@ -322,7 +322,7 @@ def preview_rows(spark, sf_dir):
 
 
 _INSPECTED = Source("chats", "unused", transform="rename_to_messages", key=("id",))
-FIRST_CHATS = "first AS (SELECT DISTINCT id FROM turns ORDER BY CAST(id AS VARCHAR) LIMIT {})"
+FIRST_CHATS = "first AS (SELECT DISTINCT id FROM turns ORDER BY id LIMIT {})"
 
 
 def _read_inspected(spark, sf_dir):
