@@ -220,3 +220,64 @@ def prepare_sft(
     elif packing == "best_fit":
         rows = pack_best_fit(rows, max_length)
     return Prepared(rows, mixed.manifest, mix_fingerprint(mix.sources))
+
+
+def count_tokens(
+    spark: SparkSession,
+    mix: Mix,
+    *,
+    options: RenderOptions | None = None,
+    on_bad_row: str = "fail",
+    read: Callable[[SparkSession, Source], DataFrame] = read_source,
+) -> DataFrame:
+    """``(dataset, n_rows, n_tokens)`` of the mixed chats, repeated rows counted each time.
+
+    Chats are rendered and their words counted; only that number goes on to the mix.
+    """
+
+    def count_words(rows: DataFrame, source: Source) -> DataFrame:
+        rendered = render_segments(rows, mix.chat_template, options, on_bad_row)
+        return rendered.select(KEY, segment_word_count(F.col("segments")).alias("n_tokens"))
+
+    mixed = prepare_mix(
+        spark,
+        mix,
+        row_filter=sft_filter,
+        keep=["messages"],
+        enforce_schema=True,
+        on_bad_row=on_bad_row,
+        read=read,
+        finish=count_words,
+    )
+    return mixed.rows.groupBy(F.col("_dataset").alias("dataset")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("n_tokens").cast("bigint").alias("n_tokens")
+    )
+
+
+def prepare_dpo(
+    spark: SparkSession,
+    mix: Mix,
+    *,
+    tokenizer: str | FileTokenizer = WORDS,
+    options: RenderOptions | None = None,
+    max_length: int = 2048,
+    on_bad_row: str = "fail",
+    partitions: int | None = None,
+    read: Callable[[SparkSession, Source], DataFrame] = read_source,
+) -> Prepared:
+    """Preference pairs up to tokens: shape, render both sides, encode, cut at *max_length*, mix.
+
+    Rows keep their columns except ``chosen`` and ``rejected``, which become ``<side>_input_ids`` and ``<side>_labels``.
+    """
+
+    def encode(rows: DataFrame, source: Source) -> DataFrame:
+        for side in ("chosen", "rejected"):
+            rows = render_segments(rows, mix.chat_template, options, on_bad_row, messages=side).drop(side)
+            rows = tokenize(rows, tokenizer, max_length)
+            rows = rows.withColumnsRenamed({"input_ids": f"{side}_input_ids", "labels": f"{side}_labels"})
+        return rows
+
+    mixed = prepare_preferences(
+        spark, mix, on_bad_row=on_bad_row, partitions=partitions, read=read, finish=encode
+    )
+    return Prepared(mixed.rows, mixed.manifest, mix_fingerprint(mix.sources))

@@ -13,7 +13,7 @@ from chatloom.operators import tokens as k
 from chatloom.operators.mixing import Mix, Source, number_rows, with_row_key
 from chatloom.operators.packing import pack_best_fit, pack_wrap
 from chatloom.plans.inspect import inspect_source
-from chatloom.plans.prepare import prepare_sft
+from chatloom.plans.prepare import count_tokens, prepare_dpo, prepare_sft
 from workload import shapes
 from workload.mix_queries import SEED
 from workload.template_queries import NO_FUNCTIONS, OPTIONS, THINK_SYSTEM, olmo_segments
@@ -407,3 +407,38 @@ def prepare_sft_query(spark, sf_dir):
     return packed.select("bin", *_weighted("input_ids"), trained.alias("n_trained"))
 
 
+@query(
+    "count_mix_tokens",
+    f"""{SEGMENTS}, {CHAT_WORDS}, {FACTS}, {SFT_ORDER}
+SELECT CASE WHEN has_system THEN 'system' ELSE 'plain' END AS dataset, count(DISTINCT position) AS n_rows, count(*) AS n_tokens
+FROM mixed JOIN tokens USING (id) JOIN facts USING (id) GROUP BY ALL""",
+)
+def count_mix_tokens(spark, sf_dir):
+    mix = Mix(_SFT_SOURCES, SEED, "olmo3-think-sft")
+    return count_tokens(spark, mix, options=OPTIONS, read=lambda s, source: _read_by_opening(s, source, sf_dir))
+
+
+def _read_pairs(spark, sf_dir):
+    """The whole chat is the chosen side, its first two turns are the rejected one."""
+    return shapes.chats(spark, sf_dir).select(
+        "id", F.col("messages").alias("chosen"), F.slice("messages", 1, 2).alias("rejected")
+    )
+
+
+@query(
+    "prepare_dpo",
+    f"""{SEGMENTS}, {CHAT_WORDS},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn, part, word_no) AS place FROM tokens),
+chosen AS (
+  SELECT id, count(*) AS n_chosen, count(*) FILTER (train) AS n_trained,
+    CAST(sum(token * place) AS BIGINT) AS weighted_sum FROM numbered WHERE place <= 128 GROUP BY id)
+SELECT id, n_chosen, n_trained, weighted_sum FROM chosen""",
+)
+def prepare_dpo_query(spark, sf_dir):
+    mix = Mix((Source("pairs", "unused", key=("id",)),), SEED, "olmo3-think-sft")
+    rows = prepare_dpo(
+        spark, mix, options=OPTIONS, max_length=128, read=lambda s, source: _read_pairs(s, sf_dir)
+    ).rows
+    n, weighted = _weighted("chosen_input_ids")
+    trained = F.size(F.filter("chosen_labels", lambda x: x != k.IGNORED)).cast("bigint")
+    return rows.select("id", n.alias("n_chosen"), trained.alias("n_trained"), weighted)
