@@ -255,6 +255,9 @@ def fit_on(
     known = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("label"))
     known = known.where(F.col("label").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
     order = known.select("id", "label", F.xxhash64("id", F.length("text")).alias("rank"))
+    # First within parts of a label, so that one task never gets the candidates of all others.
+    parts = Window.partitionBy("label", F.pmod("rank", F.lit(64))).orderBy("rank", "id")
+    order = order.withColumn("_n", F.row_number().over(parts)).where(F.col("_n") <= rows_per_label)
     least = Window.partitionBy("label").orderBy("rank", "id")
     chosen = order.withColumn("_n", F.row_number().over(least)).where(F.col("_n") <= rows_per_label)
     chosen = chosen.select("id", "rank").distinct()

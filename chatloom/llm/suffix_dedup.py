@@ -302,7 +302,8 @@ def repeated_spans(
         F.count("*").alias("n"), F.min("doc").alias("doc"), F.min_by("place", "doc").alias("place")
     )
     contexts = stored(contexts, "contexts")
-    many = contexts.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
+    # Stored, so that the join is one of two plain shuffles, of which Spark can split the skewed partitions.
+    many = stored(contexts.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1"), "many")
     wanted = contexts.join(many, "anchor")
     bodies = stored(_context_rows(docs.drop("text_hash"), wanted.drop("m"), min_bytes), "bodies")
     hot = many.where(F.col("m") > group_rows).select("anchor")
