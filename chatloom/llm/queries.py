@@ -188,3 +188,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = _table(spark, sf_dir, "embeddings")
     return nearest_by_inner_product(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query("op2_training_order")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences in fixed-stride shards in training order, read back: a row for each sequence."""
+    from chatloom.functions.folders import new_path
+    from chatloom.llm.training_order import materialise, read_in_training_order
+
+    docs = _table(spark, sf_dir, "documents")
+    shards = materialise(docs, _vocabulary(), new_path(spark, "training"), key=42, shard_records=16384)
+    return read_in_training_order(shards).select(
+        "slot",
+        F.col("id").alias("doc_id"),
+        "start",
+        (F.octet_length("tokens") / 2).cast("long").alias("length"),
+        F.crc32("tokens").alias("tokens_crc32"),
+    )
