@@ -306,7 +306,8 @@ def mix_parts(
             one = one.withColumn("_size", part.size.cast("bigint"))
         mixed = one if mixed is None else mixed.unionByName(one, allowMissingColumns=True)
     if shuffle:
-        mixed = _shuffled(mixed, seed, starts, partitions)
+        rows = sum(t.target for t in takes if t.target > 0)
+        mixed = _shuffled(mixed, seed, starts, partitions or shuffle_partitions(spark, rows))
     manifest = spark.createDataFrame(
         [(p.name, float(p.weight), t.rows, max(t.target, 0)) for p, t in zip(parts, takes, strict=True)],
         "dataset string, weight double, rows_before bigint, rows_after bigint",
@@ -315,6 +316,16 @@ def mix_parts(
     return Mixed(mixed.drop("_hash", KEY), manifest, targets)
 
 
+#: Rows that one partition of the final shuffle gets at most, while there are hash buckets left.
+ROWS_PER_PARTITION = 200_000
+
+
+def shuffle_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions of the final shuffle: the session's number, or more where the counted rows need them."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(HASH_BUCKETS, max(least, -(-rows // ROWS_PER_PARTITION)))
+
+
 def _shuffle_hash(seed: int) -> Column:
     return order_hash("shuffle", seed, F.col("_hash"), F.col("_copy"))
 

@@ -270,3 +270,12 @@ def test_parquet_key_is_file_and_row(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "train"))
     rows = read_source(spark, Source("a", str(tmp_path)))
     assert rows.select("_row_key").distinct().count() == 10
+
+
+def test_partitions_follow_the_rows(spark):
+    from chatloom.operators.mixing import HASH_BUCKETS, ROWS_PER_PARTITION, shuffle_partitions
+
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert shuffle_partitions(spark, 10) == least
+    assert shuffle_partitions(spark, 1000 * ROWS_PER_PARTITION + 1) == 1001
+    assert shuffle_partitions(spark, 10**15) == HASH_BUCKETS
