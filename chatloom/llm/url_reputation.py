@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.llm.common import stored
+
 #: A prior is worth this many pages at least, so that one page alone decides nothing.
 _LEAST_WEIGHT = 2.0
 
@@ -46,23 +48,17 @@ def _suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def _strength(groups: DataFrame) -> DataFrame:
-    """One row: the prior's weight in pages, from ``n``, ``bad`` and ``parent`` (the rate expected) of each group."""
+def _shrunk(groups: DataFrame) -> tuple[DataFrame, float]:
+    """Adds ``rate``, shrunk to ``parent`` (the rate expected), to groups of ``n`` and ``bad``; also the prior's weight in pages."""
     spread = F.col("parent") * (1 - F.col("parent"))
-    sums = groups.agg(
-        F.sum((F.col("bad") - F.col("n") * F.col("parent")) ** 2).alias("seen"),
-        F.sum(F.col("n") * spread).alias("chance"),
-        F.sum(F.col("n") * (F.col("n") - 1) * spread).alias("scale"),
-    )
-    alike = F.when(F.col("scale") > 0, (F.col("seen") - F.col("chance")) / F.col("scale")).otherwise(F.lit(0.0))
-    alike = F.least(F.greatest(F.coalesce(alike, F.lit(0.0)), F.lit(0.001)), F.lit(1 / (1 + _LEAST_WEIGHT)))
-    return sums.select((1 / alike - 1).alias("weight"))
-
-
-def _shrunk(groups: DataFrame) -> DataFrame:
-    rate = (F.col("bad") + F.col("weight") * F.col("parent")) / (F.col("n") + F.col("weight"))
-    # One row on the right side.
-    return groups.crossJoin(F.broadcast(_strength(groups))).withColumn("rate", rate)
+    seen, chance, scale = groups.agg(
+        F.sum((F.col("bad") - F.col("n") * F.col("parent")) ** 2),
+        F.sum(F.col("n") * spread),
+        F.sum(F.col("n") * (F.col("n") - 1) * spread),
+    ).first()
+    alike = (seen - chance) / scale if scale else 0.0
+    weight = 1 / min(max(alike, 0.001), 1 / (1 + _LEAST_WEIGHT)) - 1
+    return groups.withColumn("rate", (F.col("bad") + weight * F.col("parent")) / (F.col("n") + weight)), weight
 
 
 def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
@@ -76,15 +72,16 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
         F.count("*").cast("double").alias("n"), F.sum(F.col("bad").cast("double")).alias("bad")
     )
     hosts = hosts.select("host", _domain(F.col("host")).alias("domain"), _suffix(F.col("host")).alias("suffix"), "n", "bad")
+    hosts = stored(hosts, "hosts")
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
-    overall = suffixes.agg(*sums).select(((F.col("bad") + 1) / (F.col("n") + 2)).alias("parent"))
-    suffixes = _shrunk(suffixes.crossJoin(F.broadcast(overall))).select("suffix", F.col("rate").alias("parent"))
-    domains = _shrunk(domains.join(suffixes, "suffix")).select("domain", F.col("rate").alias("parent"))
-    found = _shrunk(hosts.join(domains, "domain"))
-    total = F.col("n") + F.col("weight")
-    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (total + 1))
+    n, bad = hosts.agg(*sums).first()
+    overall = ((bad or 0) + 1) / ((n or 0) + 2)
+    suffixes, _ = _shrunk(suffixes.withColumn("parent", F.lit(overall)))
+    domains, _ = _shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("parent")), "suffix"))
+    found, weight = _shrunk(hosts.join(domains.select("domain", F.col("rate").alias("parent")), "domain"))
+    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + weight + 1))
     return found.select("host", "n", "bad", "rate", (F.col("rate") - z * deviation).alias("bound"))
 
 
