@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.folders import new_path
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """*df* written to the shared folder and read back: work done once, lineage cut, safe against lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

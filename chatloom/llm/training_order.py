@@ -25,6 +25,8 @@ _HEAD = np.dtype([("id", "<i8"), ("start", "<i8"), ("length", "<u4")])
 _NO_ID = -(1 << 63)
 _ROUNDS = 4
 _READ_RECORDS = 4096
+#: Offsets go to all tasks up to so many (16 bytes each); beyond, they are joined by a shuffle.
+_SENT_PARTS = 1 << 18
 
 
 def _mixed(half: np.ndarray, key: int, round_number: int, mask: int) -> np.ndarray:
@@ -103,7 +105,9 @@ def write_in_training_order(
     # One row for each task that wrote the sequences, in one running sum.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", F.coalesce(F.sum(F.col("last") + 1).over(before), F.lit(0)).alias("before"))
-    size = counts.agg(F.sum(F.col("last") + 1)).first()[0] or 0
+    size, parts = counts.agg(F.coalesce(F.sum(F.col("last") + 1), F.lit(0)), F.count("*")).first()
+    if parts <= _SENT_PARTS:
+        offsets = F.broadcast(offsets)
     stride = _HEAD.itemsize + sequence_tokens * token_bytes
 
     @F.arrow_udf("long")
@@ -203,7 +207,7 @@ def materialise(
     NULL and empty texts have no sequence, a NULL id stays NULL, repeated rows have sequences of their own, and an empty
     table gives no shard. Other columns are not read.
     """
-    sequences = stored(token_sequences(df, tokenizer, sequence_tokens, token_bytes, id_column, text_column), "sequences")
+    sequences = stored(token_sequences(df, tokenizer, sequence_tokens, token_bytes, id_column, text_column), "sequences", compression="zstd")
     shards = write_in_training_order(sequences, folder, key, sequence_tokens, token_bytes, shard_records)
     forget(sequences)
     return shards
