@@ -194,3 +194,29 @@ def test_near_duplicates_of_edited_texts(spark):
             expected[base * 10 + copy] = base * 10
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"]: r["component"] for r in near_duplicate_components(df).collect()} == expected
+
+
+def shingles_by_hand(text, words=5):
+    tokens = text.encode().lower().split()
+    return {tuple(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))}
+
+
+def test_near_duplicates_of_block_edits(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))
+    rows, likeness = [], []
+    for pair in range(240):
+        words = [word() for _ in range(rng.randrange(60, 400))]
+        share = rng.uniform(0.82, 0.95)
+        extra = [word() for _ in range(int(len(words) * (1 / share - 1)))]
+        at = rng.randrange(len(words))
+        cut = int(len(words) * (1 - share))
+        start = rng.randrange(cut, len(words) - cut)
+        edited = [words + extra, extra + words, words[:at] + extra + words[at:], words[:-cut], words[cut:], words[:start] + words[start + cut :]][pair % 6]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(edited))]
+        p, q = shingles_by_hand(rows[-1][1]), shingles_by_hand(rows[-2][1])
+        likeness.append(len(p & q) / len(p | q))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["component"] for r in near_duplicate_components(df).collect()}
+    assert sum(0.8 <= x < 0.85 for x in likeness) > 40 and sum(x >= 0.85 for x in likeness) > 100
+    assert [found[2 * i + 1] == 2 * i for i in range(len(likeness))] == [x >= 0.8 for x in likeness]
