@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import connected_components, sorted_groups, stored
+from chatloom.llm.common import connected_components, forget, sorted_groups, stored
 
 #: Term hashes that are turned into votes at once; bounds the memory of one very long text.
 _VOTES_AT_ONCE = 1 << 18
 #: Shingle hashes that are multiplied at once, for the same reason.
 _HASHES_AT_ONCE = 1 << 10
+#: Groups of so many members are compared pair by pair.
+_FEW = 4
 
 
 def _majority(hashes: np.ndarray, weights: np.ndarray | None = None) -> int:
@@ -252,10 +254,44 @@ def similar_links(docs: DataFrame, links: DataFrame, words: int = 5, similarity:
 
 
 def _verified(texts: DataFrame, members: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links ``(a, b)`` between *members* ``(id, size, key)`` of one key, of which the texts are similar."""
-    ends = members.groupBy("key").agg(F.min("id").alias("end"))
-    candidates = members.join(ends, "key").where("id <> end").select(F.col("id").alias("a"), F.col("end").alias("b"))
-    return similar_links(texts, stored(candidates.distinct(), "candidates"), words, similarity)
+    """Links ``(a, b)`` that connect all *members* ``(id, size, key)`` of one key whose texts are similar.
+
+    Only links that passed connect. In each round some members of a key become centres, and all members of the key that are
+    not yet connected to a centre are tested against it. A key is done when its members that never were centres are all
+    connected, so in the end each pair of a key is connected or has been tested. Centres grow eightfold each round from one.
+    """
+    groups = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("end"), F.max("id").alias("last"))
+    groups = stored(groups.where("end <> last").drop("last"), "band-groups")
+    rest = members.join(groups, "key").withColumns({"label": F.col("id"), "was": F.lit(False)})
+    rest = stored(rest, "band-members")
+    links = tested = None
+    centres = 1
+    while links is None or not rest.isEmpty():
+        # Members of small groups are all centres. Drawn by the hash of the id, a centre is one in all keys and later rounds.
+        centre = F.col("was") | (F.col("id") == F.col("end")) | (F.col("n") <= max(centres, _FEW))
+        if centres > 1:
+            centre = centre | (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) * F.col("n") < centres * (1 << 30))
+        now = rest.withColumn("centre", centre)
+        ends = now.where("centre AND NOT was")
+        ends = ends.select("key", F.col("id").alias("b"), F.col("size").alias("_size"), F.col("label").alias("_label"))
+        pairs = now.join(ends, "key").where("id <> b AND label <> _label")
+        # Sets that differ more in size are not similar.
+        pairs = pairs.where(F.least("size", "_size") >= similarity * F.greatest("size", "_size"))
+        pairs = pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "candidates")
+        passed = stored(similar_links(texts, pairs, words, similarity).distinct(), "similar")
+        tested = pairs if tested is None else tested.union(pairs)
+        links = passed if links is None else links.union(passed)
+        labels = connected_components(links).withColumnRenamed("node", "id").withColumnRenamed("label", "_label")
+        now = now.join(labels, "id", "left").withColumns({"label": F.coalesce("_label", "id"), "was": F.col("centre")})
+        now = now.select(rest.columns)
+        apart = now.where("NOT was").groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        last, rest = rest, stored(now.join(apart.select("key"), "key", "left_semi"), "band-members")
+        forget(last)
+        centres *= 8
+    return links
 
 
 def near_duplicate_components(

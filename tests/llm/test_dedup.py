@@ -220,3 +220,19 @@ def test_near_duplicates_of_block_edits(spark):
     found = {r["doc_id"]: r["component"] for r in near_duplicate_components(df).collect()}
     assert sum(0.8 <= x < 0.85 for x in likeness) > 40 and sum(x >= 0.85 for x in likeness) > 100
     assert [found[2 * i + 1] == 2 * i for i in range(len(likeness))] == [x >= 0.8 for x in likeness]
+
+
+def test_a_link_is_not_lost_behind_a_failed_one(spark):
+    from chatloom.llm.simhash_bk import _verified
+
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(200)]
+    other = rng.sample(words, 200)
+    edited = [*words[:100], "edit", *words[101:]]
+    df = spark.createDataFrame([(1, " ".join(other)), (2, " ".join(words)), (3, " ".join(edited))], "doc_id long, text string")
+    assert {r["doc_id"]: r["component"] for r in near_duplicate_components(df).collect()} == {1: 1, 2: 2, 3: 2}
+    # One key for all: nine groups of texts, of which each id meets all the others first.
+    texts = [(i, " ".join(f"g{i % 9}w{k}" if k != i else "edit" for k in range(100))) for i in range(90)]
+    texts = spark.createDataFrame(texts, "id long, text string")
+    links = _verified(texts, texts.selectExpr("id", "96 AS size", "7L AS key"), 5, 0.8)
+    assert {r["node"]: r["label"] for r in connected_components(links).collect()} == {i: i % 9 for i in range(90)}
