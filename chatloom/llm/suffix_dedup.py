@@ -173,9 +173,10 @@ def _anchor_rows(docs: DataFrame, min_bytes: int) -> DataFrame:
 
 
 def _context_rows(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
-    """``(anchor, context, n, before, body)`` for each *wanted* ``(doc, place, anchor, context, n)``."""
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("place", "anchor", "context", "n")).alias("wanted"))
-    both = docs.join(lists, docs["doc"].eqNullSafe(lists["doc"])).select("text", "wanted")
+    """``(anchor, context, n, before, body)`` for each *wanted* ``(doc, text_hash, place, anchor, context, n)``."""
+    lists = wanted.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("place", "anchor", "context", "n")).alias("wanted"))
+    same = docs["doc"].eqNullSafe(lists["doc"]) & (docs["text_hash"] == lists["text_hash"])
+    both = docs.join(lists, same).select("text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = _Anchors(min_bytes)
@@ -185,7 +186,7 @@ def _context_rows(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFra
                 data = text.as_py().encode()
                 for w in wanted.as_py():
                     before, body = finder.context(data, w["place"])
-                    # Documents that share an id may differ in their text.
+                    # Different texts may, if hardly ever, share a hash.
                     if _context_hash(before, body) == w["context"]:
                         out.append((w["anchor"], w["context"], w["n"], before, body))
                 if len(out) > 10000:
@@ -299,13 +300,17 @@ def repeated_spans(
     anchors = stored(_anchor_rows(docs, min_bytes), "anchors")
     finder_width = min_bytes - max(1, min_bytes // 8) + 1
     contexts = anchors.groupBy("anchor", "context").agg(
-        F.count("*").alias("n"), F.min("doc").alias("doc"), F.min_by("place", "doc").alias("place")
+        F.count("*").alias("n"),
+        F.min("text_hash").alias("text_hash"),
+        # By the hash of the text, which is never NULL as ids may be: equal texts have equal places.
+        F.min_by("doc", "text_hash").alias("doc"),
+        F.min_by("place", "text_hash").alias("place"),
     )
     contexts = stored(contexts, "contexts")
     # Stored, so that the join is one of two plain shuffles, of which Spark can split the skewed partitions.
     many = stored(contexts.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1"), "many")
     wanted = contexts.join(many, "anchor")
-    bodies = stored(_context_rows(docs.drop("text_hash"), wanted.drop("m"), min_bytes), "bodies")
+    bodies = stored(_context_rows(docs, wanted.drop("m"), min_bytes), "bodies")
     hot = many.where(F.col("m") > group_rows).select("anchor")
     extents = _extents_in_groups(bodies.join(hot, "anchor", "left_anti"), min_bytes)
     if not hot.isEmpty():

@@ -236,3 +236,16 @@ def test_a_link_is_not_lost_behind_a_failed_one(spark):
     texts = spark.createDataFrame(texts, "id long, text string")
     links = _verified(texts, texts.selectExpr("id", "96 AS size", "7L AS key"), 5, 0.8)
     assert {r["node"]: r["label"] for r in connected_components(links).collect()} == {i: i % 9 for i in range(90)}
+
+
+@pytest.mark.parametrize("group_rows", [256, 1])
+def test_repeats_of_rows_without_id(spark, group_rows):
+    rng = random.Random(9)
+    random_text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    one, two = random_text(300), random_text(300)
+    texts = [random_text(80) + one + random_text(90), random_text(70) + one + random_text(60), random_text(50) + two, two + random_text(75)]
+    ids = [None, None, None, 1]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    rows = remove_repeats(df, min_bytes=100, group_rows=group_rows).collect()
+    got = sorted((r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in rows)
+    assert got == sorted(cut_by_hand(texts, 100))
