@@ -9,8 +9,10 @@ or version line from which a record can be read, goes on there and logs the byte
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,7 +26,9 @@ _MEMBER, _VERSION, _LINE, _END = b"\x1f\x8b\x08", b"WARC/1.", b"\r\n", b"\r\n\r\
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _READ_BYTES = 1 << 20
-_HEADER_BYTES = 1 << 16
+
+#: Bytes that no header has; reading on for the end of a header stops there.
+_BROKEN = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]|(?<!\r)\n|\r(?!\n|\Z)")
 
 RECORD_TYPE = (
     "path string, offset long, kind string, record_id string, refers_to string, target string, digest string, "
@@ -131,7 +135,7 @@ class _Window:
 
 def _parsed(raw: bytes) -> tuple[dict[str, str], int] | None:
     """``(fields, length of the header)`` of the record that starts *raw*, else None."""
-    end = raw.find(_END, 0, _HEADER_BYTES)
+    end = raw.find(_END)
     if not raw.startswith(_VERSION) or end < 0:
         return None
     try:
@@ -165,8 +169,15 @@ def _row(fields: dict[str, str], body: bytes) -> dict | None:
 
 def _plain_record(window: _Window, at: int) -> tuple[dict, int] | None:
     """``(row, end)`` of the uncompressed record at *at*."""
-    window.fill(at + _HEADER_BYTES)
-    found = _parsed(window.data[at - window.start :][:_HEADER_BYTES])
+    # A header may have any length, as urls do.
+    seen = at
+    while (stop := window.data.find(_END, max(at, seen - len(_END)) - window.start)) < 0:
+        if _BROKEN.search(window.data, max(at, seen - 1) - window.start):
+            return None
+        seen = window.start + len(window.data)
+        if not window.fill(max(seen + 1, 2 * seen - at)) and window.start + len(window.data) == seen:
+            return None
+    found = _parsed(window.data[at - window.start : stop + len(_END)])
     if found is None:
         return None
     fields, header = found
@@ -243,9 +254,11 @@ def salvage(stream) -> Iterator[tuple[int, int, dict | None]]:
         yield gap, at, None
 
 
-def read_warc(paths: DataFrame) -> DataFrame:
+def read_warc(paths: DataFrame, whole: bool = False) -> DataFrame:
     """All records of the archives in column ``path``, one task after another taking a file; gaps have kind ``gap``.
 
+    With *whole*, an archive with a gap or with another number of records than in column ``records`` is an error.
+
     Columns as in :data:`RECORD_TYPE`. A gap's ``offset`` is its first byte and its ``payload_bytes`` says how many it has.
     ``payload_bytes`` of a revisit is the length of the payload that it stands for. An empty archive gives no row.
     """
@@ -258,21 +271,26 @@ def read_warc(paths: DataFrame) -> DataFrame:
             ]
         )
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist() if whole else repeat(None)):
                 files, at = _file_system(path)
-                rows, size = [], 0
+                rows, size, count = [], 0, 0
                 with files.open_input_stream(at, compression=None) as stream:
                     for start, end, record in salvage(stream):
                         if record is None:
+                            if whole:
+                                raise ValueError(f"{path}: no record can be read from byte {start} to {end}")
                             record = {"kind": "gap", "payload_bytes": end - start}
+                        count += 1
                         rows.append({"path": path, "offset": start, **record})
                         size += len(record.get("payload") or b"")
                         if size > 4 << 20:
                             yield pa.RecordBatch.from_pylist(rows, schema)
                             rows, size = [], 0
+                if whole and count != expected:
+                    raise ValueError(f"{path}: {count} records instead of {expected}")
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return paths.select("path").mapInArrow(run, RECORD_TYPE)
+    return paths.select("path", *(["records"] if whole else [])).mapInArrow(run, RECORD_TYPE)
 
 
 def page_records(
@@ -314,11 +332,14 @@ def write_pages(df: DataFrame, folder: str, **options) -> DataFrame:
     return stored(write_warc(page_records(df, **options), folder), "archives")
 
 
-def read_pages(archives: DataFrame) -> DataFrame:
-    """The records of *archives* ``(path, ...)``; revisits get the payload length that their header names."""
+def read_pages(archives: DataFrame, whole: bool = False) -> DataFrame:
+    """The records of *archives* ``(path, records, ...)``; revisits get the payload length that their header names.
+
+    *whole* as in :func:`read_warc`.
+    """
     # One file at a time: as many tasks as files, up to a bound for the scheduler.
-    files = archives.select("path").repartition(min(10000, max(1, archives.count())))
-    return read_warc(files)
+    files = archives.select("path", "records").repartition(min(10000, max(1, archives.count())))
+    return read_warc(files, whole)
 
 
 def new_archive_folder(spark: SparkSession) -> str:

@@ -93,6 +93,29 @@ def test_pages_to_archives_and_back(spark):
     assert none.count() == 0 and warc.read_pages(none).count() == 0
 
 
+@pytest.mark.parametrize("compressed", [True, False])
+def test_long_urls(compressed):
+    parts = []
+    urls = ["data:text/html," + "x%20y" * 100_000, "http://h/" + "q" * 65_500, "http://h/" + "z" * (3 << 20), "http://h/"]
+    for i, url in enumerate(urls):
+        raw = warc.record_bytes("response", f"<urn:page:{i}>", None, url, hashlib.sha1(b"body").hexdigest(), b"body")
+        coder = zlib.compressobj(6, wbits=31)
+        parts.append(coder.compress(raw) + coder.flush() if compressed else raw)
+    assert [r and r["target"] for _, _, r in warc.salvage(io.BytesIO(b"".join(parts)))] == urls
+    # A header without end stops where no header goes on, and the next record is found.
+    found = list(warc.salvage(io.BytesIO(b"WARC/1.1\r\nname: " + b"n" * (2 << 20) + b"\x00" + parts[0] + parts[3])))
+    assert [r and r["target"] for _, _, r in found] == [None, urls[0], urls[3]]
+
+
+def test_pages_with_long_urls(spark):
+    rows = [(1, "data:," + "x" * 300_000, "h" * 2000), (2, "http://h/", "h" * 2000), (3, "http://h/" + "y" * 300_000, "h" * 2000)]
+    archives = warc.write_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), new_path(spark, "warc-test"))
+    kinds = {r["record_id"]: r["kind"] for r in warc.read_pages(archives, whole=True).collect()}
+    assert kinds == {"<urn:page:1>": "revisit", "<urn:page:2>": "revisit", "<urn:page:3>": "response"}
+    with pytest.raises(Exception, match="records instead of"):
+        warc.read_pages(archives.selectExpr("path", "records + 1 AS records"), whole=True).collect()
+
+
 # -- URLs ------------------------------------------------------------------------
 
 
