@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import sorted_groups, stored
+from chatloom.llm.common import stored
 
 _TOGETHER = 512
 
@@ -147,6 +147,64 @@ def usable_vectors(df: DataFrame, id_column: str, vector_column: str) -> DataFra
     return rows.where(F.coalesce(finite, F.lit(False)) & F.exists("vector", lambda x: x != 0))
 
 
+def _columns(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, list[list[int]]]:
+    table = pa.Table.from_batches(batches)
+    vectors = table.column("vector").combine_chunks().flatten().to_numpy()
+    return vectors.reshape(table.num_rows, -1), table.column("ids").to_pylist()
+
+
+def answers(
+    batches: Iterator[pa.RecordBatch], longest: float, k: int, degree: int, beam: int, query_beam: int
+) -> Iterator[pa.RecordBatch]:
+    """``(query_id, id, score)`` from rows ``(shard, ids, vector, asks)`` sorted by shard, its points before its queries.
+
+    A shard's graph is built when its first query comes. Held are the points of one shard and at most 512 queries.
+    """
+    shard, held, graph = None, [], None
+    for batch in batches:
+        keys = batch.column("shard").to_numpy()
+        asks = batch.column("asks").to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (asks[1:] != asks[:-1])) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+            if start == end:
+                continue
+            if keys[start] != shard:
+                shard, held, graph = keys[start], [], None
+            if not asks[start]:
+                held.append(batch.slice(start, end - start))
+                continue
+            if graph is None:
+                if not held:
+                    continue
+                own, own_ids = _columns(held)
+                lifted = _lifted(own, longest)
+                held, graph = [], build_graph(lifted, degree, beam)
+            links, entry = graph
+            for at in range(start, end, _TOGETHER):
+                part, target_ids = _columns([batch.slice(at, min(_TOGETHER, end - at))])
+                aims = np.concatenate([part, np.zeros((len(part), 1))], 1).astype(np.float32)
+                found, _ = beam_search(lifted, links, entry, aims, min(query_beam, len(own)))
+                # The points found are scored again in double precision, of them the best k + 1 are enough.
+                scores = np.einsum("qbd,qd->qb", own[found], part)
+                scores[found < 0] = -np.inf
+                out: dict[str, list] = {"query_id": [], "id": [], "score": []}
+                for row, (query,) in enumerate(target_ids):
+                    order = np.argsort(-scores[row], kind="stable")
+                    least = scores[row][order[min(k, len(order) - 1)]]
+                    near = [
+                        (-scores[row][c], i)
+                        for c in order
+                        if scores[row][c] >= least and found[row][c] >= 0
+                        for i in own_ids[found[row][c]]
+                        if i != query
+                    ]
+                    for score, i in sorted(near)[:k]:
+                        out["query_id"].append(query)
+                        out["id"].append(i)
+                        out["score"].append(-score)
+                yield pa.RecordBatch.from_pydict(out, pa.schema({"query_id": pa.int64(), "id": pa.int64(), "score": pa.float64()}))
+
+
 def nearest_by_inner_product(
     df: DataFrame,
     queries: DataFrame,
@@ -179,49 +237,15 @@ def nearest_by_inner_product(
         return spark.createDataFrame([], out_type).select("query_id", F.lit(0).alias("rank"), F.col("id").alias(id_column), "score")
     shards = -(-n // shard_rows)
     wanted = stored(usable_vectors(queries, id_column, vector_column).distinct(), "queries")
-    # A query visits each shard: the query set is stated, and it goes in blocks of the size of a shard.
+    # A query visits each shard: the query set is stated, and streams past the shard's graph.
     to_all = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     asked = wanted.select(to_all.alias("shard"), F.array("id").alias("ids"), "vector", F.lit(True).alias("asks"))
     held = points.select(F.pmod("hash", F.lit(shards)).alias("shard"), "ids", "vector", F.lit(False).alias("asks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, "shard"):
-            asks = group.column("asks").to_numpy(zero_copy_only=False)
-            vectors = group.column("vector").combine_chunks()
-            width = len(vectors.flatten()) // len(vectors)
-            vectors = vectors.flatten().to_numpy().reshape(-1, width)
-            ids = group.column("ids").to_pylist()
-            own, own_ids = vectors[~asks], [i for i, a in zip(ids, asks) if not a]
-            targets, target_ids = vectors[asks], [i[0] for i, a in zip(ids, asks) if a]
-            if not len(own) or not len(targets):
-                continue
-            lifted = _lifted(own, longest)
-            links, entry = build_graph(lifted, degree, beam)
-            for start in range(0, len(targets), _TOGETHER):
-                part = targets[start : start + _TOGETHER]
-                aims = np.concatenate([part, np.zeros((len(part), 1))], 1).astype(np.float32)
-                found, _ = beam_search(lifted, links, entry, aims, min(query_beam, len(own)))
-                # The points found are scored again in double precision, of them the best k + 1 are enough.
-                scores = np.einsum("qbd,qd->qb", own[found], part)
-                scores[found < 0] = -np.inf
-                out: dict[str, list] = {"query_id": [], "id": [], "score": []}
-                for row, query in enumerate(target_ids[start : start + _TOGETHER]):
-                    order = np.argsort(-scores[row], kind="stable")
-                    least = scores[row][order[min(k, len(order) - 1)]]
-                    near = [
-                        (-scores[row][c], i)
-                        for c in order
-                        if scores[row][c] >= least and found[row][c] >= 0
-                        for i in own_ids[found[row][c]]
-                        if i != query
-                    ]
-                    for score, i in sorted(near)[:k]:
-                        out["query_id"].append(query)
-                        out["id"].append(i)
-                        out["score"].append(-score)
-                yield pa.RecordBatch.from_pydict(out)
+        return answers(batches, longest, k, degree, beam, query_beam)
 
-    together = held.union(asked).repartition(shards, "shard").sortWithinPartitions("shard")
+    together = held.union(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
     found = together.mapInArrow(run, out_type)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -193,6 +193,36 @@ def test_nearest_on_odd_rows(spark):
     assert [r["vec_id"] for r in rows] == [0, 1, 2, 3, 4]
 
 
+def test_queries_stream_past_a_shard():
+    import pyarrow as pa
+
+    from chatloom.llm.vamana import answers
+
+    rng = np.random.default_rng(1)
+    points, targets = rng.normal(size=(2, 40, 8)), rng.normal(size=(2000, 8))
+    pulled = []
+
+    def rows(shard, ids, vectors, asks):
+        columns = {"shard": [shard] * len(ids), "ids": [[i] for i in ids], "vector": vectors.tolist(), "asks": [asks] * len(ids)}
+        pulled.append(shard)
+        return pa.RecordBatch.from_pydict(columns)
+
+    def batches():
+        for shard in (0, 1):
+            yield rows(shard, range(40 * shard, 40 * shard + 40), points[shard], False)
+            for at in range(0, 2000, 100):
+                yield rows(shard, range(1000 + at, 1100 + at), targets[at : at + 100], True)
+
+    longest, found = float((points**2).sum(2).max()), {}
+    for number, out in enumerate(answers(batches(), longest, 1, 32, 64, 96)):
+        # No more than the batch that is answered has been read.
+        assert len(pulled) == number + 2 + (number >= 20) and out.num_rows == 100
+        for r in out.to_pylist():
+            found[r["query_id"]] = max(found.get(r["query_id"], (-np.inf, 0)), (r["score"], r["id"]))
+    best = (targets @ points.reshape(80, 8).T).argmax(1)
+    assert np.mean([found[1000 + i][1] == b for i, b in enumerate(best)]) > 0.99
+
+
 # -- fingerprints in functions ---------------------------------------------------
 
 
