@@ -11,6 +11,9 @@ Conventions:
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -223,19 +226,32 @@ def perfectblend(schema: T.StructType, on_bad_row: str) -> Column:
     ).otherwise(no_turns())
 
 
+def _is_json_list(text: Column) -> Column:
+    """Whether all of *text* is one JSON list, of any size, as ``json.loads`` takes it."""
+
+    @F.arrow_udf("boolean")
+    def run(texts: pa.Array) -> pa.Array:
+        def valid(value: str | None) -> bool:
+            try:
+                return value is not None and isinstance(json.loads(value), list)
+            except (ValueError, RecursionError):
+                return False
+
+        return pa.array([valid(t.as_py()) for t in texts], pa.bool_())
+
+    return run(text)
+
+
 @register_transform("orca_agentinstruct_1m")
 def orca_agentinstruct_1m(schema: T.StructType, on_bad_row: str) -> Column:
     text = F.col("messages")
-    # The parser stops after the first value. As an object's value and as an array's element, only
-    # a text that is one value all the way through parses.
-    whole = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
-    whole = whole & F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
-    valid = F.coalesce(F.rlike(text, F.lit(r"\A[ \t\r\n]*\[")) & whole, F.lit(False))
-    parsed = F.from_json(text, "array<struct<content:string,role:string>>")
+    valid = F.coalesce(_is_json_list(text), F.lit(False))
+    options = {"maxStringLen": str((1 << 31) - 1), "maxNestingDepth": str((1 << 31) - 1)}
+    parsed = F.from_json(text, "array<struct<content:string,role:string>>", options)
     return let(
-        parsed,
+        F.when(valid, parsed),
         lambda turns: fail_when(
-            ~valid | turns.isNull(), "messages is not a JSON list of turns", turns, on_bad_row
+            turns.isNull(), "messages is not a JSON list of turns", turns, on_bad_row
         ),
     )
 

@@ -124,6 +124,17 @@ def test_orca_json(spark):
         fails(spark, "orca_agentinstruct_1m", "messages string", (broken,))
 
 
+def test_orca_json_as_python_reads_it(spark):
+    rows = [
+        ('[{"role": "user", "content": "a", "content": "b"}]',),
+        ('[{"role": "user", "content": "a", "x": 1, "x": 2, "y": NaN, "z": -Infinity}]',),
+        ('[{"role": "user", "content": "' + "a" * 30_000_000 + '"}]',),
+    ]
+    found = messages_of(spark, "orca_agentinstruct_1m", "messages string", rows, on_bad_row="drop")
+    assert found[:2] == [[("user", "b")], [("user", "a")]]
+    assert found[2] and len(found[2][0][1]) == 30_000_000
+
+
 def test_hh_rlhf(spark):
     rows = [
         (f"\n\nHuman: hi{NBSP}\n\nAssistant: yes\n\nAssistant: more\n\nHuman: say Assistant: inside\n",),
