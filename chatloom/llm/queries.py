@@ -206,3 +206,62 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length("tokens") / 2).cast("long").alias("length"),
         F.crc32("tokens").alias("tokens_crc32"),
     )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(
+    "op13_source_stripes",
+    rf"""WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+words AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counted AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+every AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, count(*) OVER (PARTITION BY lang, source) AS v,
+    sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total,
+    sum(coalesce(n, 0)) OVER (PARTITION BY lang, term) AS lang_n, sum(coalesce(n, 0)) OVER (PARTITION BY lang) AS lang_total
+  FROM groups JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v)::HUGEINT AS q FROM every),
+apart AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ, and by which terms."""
+    from chatloom.llm.source_divergence import source_divergence
+
+    return source_divergence(_table(spark, sf_dir, "documents"), least_documents=30, top_terms=50)
+
+
+@query("op12_piece_prefix_table")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents to the ids of a SentencePiece file and back."""
+    import public_tokenizers
+
+    from chatloom.llm.piece_bpe import decode_pieces, encode_pieces
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents")
+    coded = docs.select("doc_id", encode_pieces(spark, "text", model).alias("ids"))
+    coded = coded.withColumn("decoded", decode_pieces(spark, "ids", model))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
