@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.folders import new_path
 
-def stored(df: DataFrame, name: str, **options) -> DataFrame:
-    """*df* written to the shared folder and read back: work done once, lineage cut, safe against lost executors."""
+
+def stored(df: DataFrame, name: str, partition_by: str | None = None, **options) -> DataFrame:
+    """*df* written to the shared folder and read back: work done once, lineage cut, safe against lost executors.
+
+    With *partition_by*, the last column, each of its values has a folder of its own.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.options(**options).parquet(path)
+    df.write.options(**options).parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -25,6 +29,8 @@ def forget(df: DataFrame) -> None:
     files = df.inputFiles()
     if files:
         folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        while "=" in folder.getName():
+            folder = folder.getParent()
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

@@ -265,3 +265,40 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op11_phrase_itemsets",
+    rf"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+phrases AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM lists, (VALUES (1), (2), (3)) AS lengths(k) WHERE len(w) >= k),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+cuts AS (
+  SELECT lang, phrase, k, f AS a, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS head,
+    array_to_string(string_split(phrase, ' ')[cut + 1:k], ' ') AS rest
+  FROM counts, (VALUES (1), (2)) AS places(cut) WHERE f >= 10 AND cut < k),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.cut, h.f AS l, t.f AS r,
+    (1000000::HUGEINT * c.a * c.a) // (h.f::HUGEINT * t.f) AS score
+  FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = c.head JOIN counts t ON t.lang = c.lang AND t.phrase = c.rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS f FROM (
+    SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase
+    FROM best WHERE k = 3) GROUP BY lang, phrase),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longer x ON x.lang = b.lang AND x.phrase = b.phrase WHERE x.f IS NULL OR 100 * x.f < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    from chatloom.llm.phrase_mining import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"), max_words=3, threshold=10, top=2000, covered=50)
