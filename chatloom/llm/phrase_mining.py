@@ -74,8 +74,11 @@ def _blocks(data: bytes, overlap: int, size: int) -> Iterator[tuple[list[bytes],
 class Scan:
     """One scan of a shard: counts the phrases that are active in it."""
 
-    def __init__(self, step: int, shards: int, reached: list[np.ndarray], bits: int, block: int = _BLOCK) -> None:
-        self.step, self.shards, self.reached, self.bits, self.block = step, shards, reached, bits, block
+    def __init__(
+        self, step: int, shards: int, max_words: int, reached: list[np.ndarray], bits: int, block: int = _BLOCK
+    ) -> None:
+        self.step, self.shards, self.max_words, self.reached = step, shards, max_words, reached
+        self.bits, self.block = bits, block
 
     def _slots(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes * _MIX) >> np.uint64(64 - self.bits)).astype(np.int32)
@@ -94,11 +97,13 @@ class Scan:
             number = np.bincount(place[before:], minlength=several) * word
             found = np.flatnonzero(number)
             yield _counted(lang, 1, [texts[i] for i in found.tolist()], slots[found], number[found])
+        if self.max_words == 1:
+            return
         # For each place: when the phrase of this length that starts there had reached the threshold.
         since = np.where(word, self.reached[0][slots], _NEVER)[place].astype(np.int16)
         hashes = hashes[place]
         phrase = hashes
-        for length in range(2, len(self.reached) + 1):
+        for length in range(2, self.max_words + 1):
             since = np.maximum(since[:-1], since[1:]) + 1
             phrase = phrase[:-1] * _STEP + hashes[length - 1 :]
             begun = np.flatnonzero(since <= self.step)
@@ -115,9 +120,10 @@ class Scan:
                 columns = [place[at[first] + more].tolist() for more in range(length)]
                 phrases = [b" ".join([texts[i] for i in row]) for row in zip(*columns)]
                 yield _counted(lang, length, phrases, begun_slots[active][first], number)
-            later = np.full(len(since), _NEVER, np.int16)
-            later[begun] = self.reached[length - 1][begun_slots]
-            since = later
+            if length < self.max_words:
+                later = np.full(len(since), _NEVER, np.int16)
+                later[begun] = self.reached[length - 1][begun_slots]
+                since = later
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -138,11 +144,30 @@ class Scan:
             yield from self._flush(lang, texts)
 
     def _flush(self, lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        for tokens, before in _blocks(_EDGE.join(texts), len(self.reached) - 1, self.block):
+        for tokens, before in _blocks(_EDGE.join(texts), self.max_words - 1, self.block):
             if tokens:
                 yield from self.count(lang, tokens, before)
 
 
+class Reached:
+    """The slots' steps as they are sent to the tasks: packed, and unpacked once in a worker."""
+
+    def __init__(self, reached: list[np.ndarray]) -> None:
+        self._packed = [zlib.compress(each, 1) for each in reached]
+        self._arrays = None
+
+    def __getstate__(self):
+        return self._packed
+
+    def __setstate__(self, packed) -> None:
+        self._packed, self._arrays = packed, None
+
+    def arrays(self) -> list[np.ndarray]:
+        if self._arrays is None:
+            self._arrays = [np.frombuffer(zlib.decompress(each), np.uint8) for each in self._packed]
+        return self._arrays
+
+
 def _counted(lang: str, length: int, phrases: list[bytes], slots: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     n = len(phrases)
     columns = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32))]
@@ -151,22 +176,20 @@ def _counted(lang: str, length: int, phrases: list[bytes], slots: np.ndarray, co
 
 
 def _add_slots(counted: DataFrame, totals: list[np.ndarray], threshold: int) -> None:
-    """Add a step's counts to the slots' totals, which stop at *threshold*. Four slots come to the driver in one row."""
+    """Add a step's counts to the slots' totals, which stop at *threshold*. Eight slots come to the driver in one row."""
     total = F.least(F.sum("count"), F.lit(threshold))
-    shift = F.expr("cast((slot & 3) * 16 as int)")
     slots = counted.groupBy("words", "slot").agg(total.alias("total"))
-    packed = slots.groupBy("words", F.expr("slot >> 2").alias("four")).agg(
-        F.bit_or(F.call_function("shiftleft", "total", shift)).alias("packed")
+    packed = slots.groupBy("words", F.expr("slot >> 3").alias("eight")).agg(
+        F.bit_or(F.expr("shiftleft(total, (slot & 7) * 8)")).alias("packed")
     )
     rows = packed.toArrow()
-    words, four = rows["words"].to_numpy(), rows["four"].to_numpy()
-    parts = rows["packed"].to_numpy().astype(np.int64).view(np.uint64)
+    words, eight = rows["words"].to_numpy(), rows["eight"].to_numpy()
+    parts = np.ascontiguousarray(rows["packed"].to_numpy(), "<i8").view(np.uint8).reshape(-1, 8)
     for length, each in enumerate(totals, 1):
         own = words == length
-        for i in range(4):
-            more = (parts[own] >> np.uint64(16 * i)) & np.uint64(0xFFFF)
-            at = four[own].astype(np.int64) * 4 + i
-            each[at] = np.minimum(each[at].astype(np.int64) + more.astype(np.int64), threshold)
+        by_eight = each.reshape(-1, 8)
+        more = by_eight[eight[own]].astype(np.int16) + parts[own]
+        by_eight[eight[own]] = np.minimum(more, threshold)
 
 
 def _reached_only(reached: list[np.ndarray]) -> Callable:
@@ -191,10 +214,10 @@ def phrase_counts(
     Phrases lie within a piece, and their occurrences may overlap. Counts are exact and by language; a NULL language is
     ``und``, a NULL text empty. Repeated rows count as often as they are there. An empty table gives no rows.
 
-    *threshold* is 65,535 at most, *shards* 60 and *slot_bits* 4 to 28. More slots let fewer rare phrases be counted in vain; each takes
+    *threshold* is 255 at most, *shards* 60 and *slot_bits* 4 to 28. More slots let fewer rare phrases be counted in vain; each takes
     a byte for each length in a task. Results do not depend on *shards* or *slot_bits*.
     """
-    if not 1 <= threshold <= 65_535 or not 1 <= shards <= 60 or not 4 <= slot_bits <= 28 or max_words not in (1, 2, 3, 4):
+    if not 1 <= threshold <= 255 or not 1 <= shards <= 60 or not 4 <= slot_bits <= 28 or max_words not in (1, 2, 3, 4):
         raise ValueError("threshold, shards, slot_bits or max_words out of range")
     spark = docs.sparkSession
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
@@ -203,36 +226,36 @@ def phrase_counts(
     part = F.expr(f"pmod(spark_partition_id() + (monotonically_increasing_id() & 8589934591) div 512, {shards})")
     dealt = stored(docs.select(lang, text, part.cast("int").alias("shard")), "shards", partition_by="shard")
     reached = [np.full(1 << slot_bits, _NEVER, np.uint8) for _ in range(max_words)]
-    totals = [np.zeros(1 << slot_bits, np.min_scalar_type(threshold)) for _ in range(max_words)]
+    totals = [np.zeros(1 << slot_bits, np.uint8) for _ in range(max_words)]
     counted: list[DataFrame] = []
     step = 0
     while step < shards or any(step <= _last(each) + shards for each in reached[:-1]):
-        sent = spark.sparkContext.broadcast(reached)
+        sent = spark.sparkContext.broadcast(Reached(reached[:-1]))
 
         def scan(batches, step=step, sent=sent):
-            yield from Scan(step, shards, sent.value, slot_bits)(batches)
+            yield from Scan(step, shards, max_words, sent.value.arrays(), slot_bits)(batches)
 
         shard = dealt.where(F.col("shard") == step % shards).select("lang", "text")
         counted.append(stored(shard.mapInArrow(scan, _COUNTED), "counted", compression="zstd"))
         _add_slots(counted[-1], totals, threshold)
         for each, total in zip(reached, totals):
             each[(each == _NEVER) & (total >= threshold)] = step
-        sent.unpersist()
+        sent.destroy()
         step += 1
     forget(dealt)
     every = counted[0]
     for more in counted[1:]:
         every = every.unionByName(more)
-    last = spark.sparkContext.broadcast(reached)
+    sent = spark.sparkContext.broadcast(Reached(reached))
 
     def reached_only(batches):
-        yield from _reached_only(last.value)(batches)
+        yield from _reached_only(sent.value.arrays())(batches)
 
     # A phrase whose slot stayed below the threshold did so itself.
     frequent = every.mapInArrow(reached_only, _COUNTED).groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
     frequent = stored(frequent.where(F.col("count") >= threshold), "phrases")
     sizes = stored(every.where("words = 1").groupBy("lang").agg(F.sum("count").alias("n")), "sizes")
-    last.unpersist()
+    sent.destroy()
     for each in counted:
         forget(each)
     return frequent, sizes
