@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ _LETTERS = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256)).l
 _STRIPE = "lang string, term string, df long, sources array<string>, counts array<long>"
 _SHARE = "lang string, source string, part string, item string, value long"
 #: Stripe entries that a task holds before it hands them on. Bounds memory, not results.
-HELD_ENTRIES = 400_000
+HELD_ENTRIES = 1_000_000
 _UNIT = 1_000_000_000
 
 
@@ -85,13 +86,30 @@ def _folded(held_entries: int):
     return fold
 
 
+def _starts(batch: pa.RecordBatch) -> np.ndarray:
+    """Whether each row has another key than the one before it; the first row counts as new."""
+    lang, term = batch.column(0), batch.column(1)
+    new = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1]))
+    return np.concatenate([[True], new.to_numpy(zero_copy_only=False)])
+
+
 def _merged(least_documents: int):
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Stripes that arrive sorted by (lang, term), one for each key; those of rare terms end here."""
         key, df, stripe = None, 0, Counter()
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = _starts(batch)
+            starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+            frequency = np.add.reduceat(batch.column(2).to_numpy(), starts)
+            terms = batch.column(1)
+            # The first group may go on from the batch before and the last one into the next.
+            wanted = (frequency >= least_documents) | (pc.equal(terms, "").to_numpy(zero_copy_only=False)[starts])
+            wanted[[0, -1]] = True
+            kept = np.flatnonzero(wanted[group])
+            columns = [c.to_pylist() for c in batch.take(pa.array(kept)).columns]
             rows = []
-            columns = [batch.column(i).to_pylist() for i in range(5)]
             for lang, term, n, sources, counts in zip(*columns):
                 if (lang, term) != key:
                     if key is not None and (df >= least_documents or not key[1]):
