@@ -206,7 +206,7 @@ def _reached_only(reached: list[np.ndarray]) -> Callable:
 
 
 def phrase_counts(
-    docs: DataFrame, max_words: int = 3, threshold: int = 10, shards: int = 3, slot_bits: int = 24
+    docs: DataFrame, max_words: int = 3, threshold: int = 10, shards: int = 2, slot_bits: int = 24
 ) -> tuple[DataFrame, DataFrame]:
     """``(lang, words, phrase, count)`` for phrases with a count of *threshold* or more, and ``(lang, n)``, all words.
 
@@ -224,7 +224,7 @@ def phrase_counts(
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     # Which rows make a shard does not matter, only that it stays so: the shards are written once.
     part = F.expr(f"pmod(spark_partition_id() + (monotonically_increasing_id() & 8589934591) div 512, {shards})")
-    dealt = stored(docs.select(lang, text, part.cast("int").alias("shard")), "shards", partition_by="shard")
+    dealt = stored(docs.select(lang, text, part.cast("int").alias("shard")), "shards", partition_by="shard", compression="zstd")
     reached = [np.full(1 << slot_bits, _NEVER, np.uint8) for _ in range(max_words)]
     totals = [np.zeros(1 << slot_bits, np.uint8) for _ in range(max_words)]
     counted: list[DataFrame] = []
@@ -268,7 +268,7 @@ def _last(reached: np.ndarray) -> int:
 
 
 def collocations(
-    docs: DataFrame, max_words: int = 3, threshold: int = 10, top: int = 2000, covered: int = 50, shards: int = 3, slot_bits: int = 24
+    docs: DataFrame, max_words: int = 3, threshold: int = 10, top: int = 2000, covered: int = 50, shards: int = 2, slot_bits: int = 24
 ) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the *top* phrases of each language by their weakest cut.
 

@@ -1,4 +1,9 @@
-"""Training-log rates on a stream, with one small state per run."""
+"""Training-log rates on a stream whose records may come late and out of order.
+
+A run is cut into time slices, and (run, slice) is the key, so one run with most of the records uses many tasks. A slice
+keeps its records until the watermark has passed its end; then they are in order, and each but the first has its rate. What
+stands between slices takes one small row a slice: its first and its last record go to the run, which links them.
+"""
 
 from __future__ import annotations
 
@@ -22,56 +27,159 @@ RATES_SCHEMA = T.StructType(
         T.StructField("tokens_per_sec", T.LongType()),
         T.StructField("tokens_per_gpu_per_sec", T.LongType()),
         T.StructField("mfu", T.DoubleType()),
+        T.StructField("late", T.BooleanType()),
     ]
 )
+_RECORD = T.StructType([T.StructField("us", T.LongType()), T.StructField("tokens", T.LongType())])
+_EDGES_SCHEMA = T.StructType(
+    [T.StructField("run", T.StringType())]
+    + [T.StructField(name, T.LongType()) for name in ("first_us", "first_tokens", "last_us", "last_tokens")]
+)
+#: The token count that marks the start of a run. It is the least at its time, so it wins there.
+_START = -1
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keyed processors keep their state in RocksDB."""
+    """Keyed processors keep their state in RocksDB; :func:`stream_rates` asks for this setting."""
     spark.conf.set(STATE_STORE, ROCKSDB)
 
 
-class RunRates(StatefulProcessor):
-    """Last time and last token count per run. A record behind the state comes out without rates, so none is lost."""
+def _in_order(times: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Records by time; of several at one time the one with the least tokens."""
+    order = np.lexsort((tokens, times))
+    times, tokens = times[order], tokens[order]
+    first = np.concatenate([[True], times[1:] != times[:-1]]) if len(times) else np.zeros(0, bool)
+    return times[first], tokens[first]
+
 
-    def __init__(self, world_size: int, flops_per_token: float | None, peak: float | None):
+class _Rates:
+    """Rates of records, given the record before each."""
+
+    def __init__(self, world_size: int, flops_per_token: float | None, peak: float | None) -> None:
         self.world_size = world_size
         self.flops_share = flops_per_token / peak if flops_per_token and peak else None
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        state = T.StructType([T.StructField("us", T.LongType()), T.StructField("tokens", T.LongType())])
-        self.last = handle.getValueState("last", state)
+    def frame(self, run: str, times, tokens, before_times, before_tokens) -> pd.DataFrame:
+        """A start as the record before counts as zero tokens; a start itself has no row."""
+        real = tokens >= 0
+        times, tokens, before_times = times[real], tokens[real], before_times[real]
+        rate = (tokens - np.maximum(before_tokens[real], 0)) / ((times - before_times) / 1e6)
+        each = rate / self.world_size
+        mfu = np.full(len(each), np.nan) if self.flops_share is None else np.round(each * self.flops_share, 4)
+        return _rows(run, times, tokens, np.rint(rate), np.rint(each), mfu, False)
+
+
+def _rows(run: str, times, tokens, rate, each, mfu, late: bool) -> pd.DataFrame:
+    frame = pd.DataFrame({"run": run, "ts": pd.to_datetime(times, unit="us"), "tokens_seen": tokens})
+    frame["tokens_per_sec"] = pd.array(rate, "Int64") if rate is not None else pd.array([None] * len(frame), "Int64")
+    frame["tokens_per_gpu_per_sec"] = pd.array(each, "Int64") if each is not None else frame["tokens_per_sec"]
+    frame["mfu"] = mfu if mfu is not None else np.full(len(frame), np.nan)
+    # NULL, not NaN, where there is no utilization.
+    frame["mfu"] = frame["mfu"].astype("object").where(frame["mfu"].notna(), None)
+    frame["late"] = late
+    return frame
+
+
+class _Slice(StatefulProcessor):
+    """What a slice does with its records, and when it ends. Keys are (run, slice)."""
+
+    def __init__(self, slice_ms: int) -> None:
+        self.slice_ms = slice_ms
+
+    def _end(self, key) -> int:
+        return (int(key[1]) + 1) * self.slice_ms
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.last.update((int(initialState["us"].iloc[0]), 0))
+        self._keep(initialState["us"].to_numpy(np.int64), np.full(len(initialState), _START))
+        self.handle.registerTimer(self._end(key))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # Two numbers per record of one run in one micro-batch; the trigger bounds the batch.
-        chunks = [(f["us"].to_numpy(np.int64), f["tokens_seen"].to_numpy(np.int64)) for f in rows]
-        times = np.concatenate([c[0] for c in chunks])
-        counts = np.concatenate([c[1] for c in chunks])
-        order = np.lexsort((counts, times))
-        last = self.last.get() if self.last.exists() else None
-        out = []
-        for us, tokens in zip(times[order].tolist(), counts[order].tolist(), strict=True):
-            if last is not None:
-                if us < last[0]:
-                    out.append((key[0], us, tokens, None, None, None))
-                if us <= last[0]:
-                    continue
-                rate = (tokens - last[1]) / ((us - last[0]) / 1e6)
-                per_device = rate / self.world_size
-                mfu = None if self.flops_share is None else round(per_device * self.flops_share, 4)
-                out.append((key[0], us, tokens, round(rate), round(per_device), mfu))
-            last = (us, tokens)
-        if last is not None:
-            self.last.update(last)
-        frame = pd.DataFrame(out, columns=[f.name for f in RATES_SCHEMA.fields])
-        frame["ts"] = pd.to_datetime(frame["ts"], unit="us")
-        frame["mfu"] = frame["mfu"].astype("float64")
-        for name in ("tokens_per_sec", "tokens_per_gpu_per_sec"):
-            frame[name] = frame[name].astype("Int64")
-        yield frame
+        # Records of one slice in one micro-batch; records without tokens only move the watermark.
+        end, ended = self._end(key), timerValues.getCurrentWatermarkInMs()
+        kept = False
+        for frame in rows:
+            frame = frame[frame["tokens_seen"].notna()]
+            if not len(frame):
+                continue
+            times, tokens = frame["us"].to_numpy(np.int64), frame["tokens_seen"].to_numpy(np.int64)
+            if end <= ended:
+                yield from self._late(key[0], times, tokens)
+            else:
+                self._keep(times, tokens)
+                kept = True
+        if kept:
+            self.handle.registerTimer(end)
+
+    def close(self) -> None:
+        pass
+
+
+class SliceRates(_Slice):
+    """Keeps a slice's records; at its end gives the rates of all but the first. Late records come out at once, marked."""
+
+    def __init__(self, slice_ms: int, rates: _Rates) -> None:
+        super().__init__(slice_ms)
+        self.rates = rates
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.records = handle.getListState("records", _RECORD)
+
+    def _keep(self, times, tokens) -> None:
+        self.records.appendList(list(zip(times.tolist(), tokens.tolist())))
+
+    def _late(self, run, times, tokens) -> Iterator[pd.DataFrame]:
+        yield _rows(run, times, tokens, None, None, None, True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        kept = np.array([tuple(r) for r in self.records.get()], np.int64).reshape(-1, 2)
+        self.records.clear()
+        times, tokens = _in_order(kept[:, 0], kept[:, 1])
+        yield self.rates.frame(key[0], times[1:], tokens[1:], times[:-1], tokens[:-1])
+
+
+class SliceEdges(_Slice):
+    """Keeps the first and the last record of a slice and gives them at its end."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        names = ("first_us", "first_tokens", "last_us", "last_tokens")
+        self.edges = handle.getValueState("edges", T.StructType([T.StructField(n, T.LongType()) for n in names]))
+
+    def _keep(self, times, tokens) -> None:
+        if self.edges.exists():
+            first_us, first_tokens, last_us, last_tokens = self.edges.get()
+            times = np.concatenate([times, [first_us, last_us]])
+            tokens = np.concatenate([tokens, [first_tokens, last_tokens]])
+        times, tokens = _in_order(times, tokens)
+        self.edges.update((int(times[0]), int(tokens[0]), int(times[-1]), int(tokens[-1])))
+
+    def _late(self, run, times, tokens) -> Iterator[pd.DataFrame]:
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        edges = self.edges.get() if self.edges.exists() else None
+        self.edges.clear()
+        if edges is not None:
+            yield pd.DataFrame([(key[0], *map(int, edges))], columns=_EDGES_SCHEMA.names)
+
+
+class RunLinks(StatefulProcessor):
+    """The rate of each slice's first record, from the last record of the slice before. Slices come in order of time."""
+
+    def __init__(self, rates: _Rates) -> None:
+        self.rates = rates
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", _RECORD)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        edges = pd.concat(rows).sort_values("first_us").to_numpy()[:, 1:].astype(np.int64)
+        if self.last.exists():
+            us, tokens = self.last.get()
+            edges = np.vstack([[us, tokens, us, tokens], edges])
+        self.last.update((int(edges[-1, 2]), int(edges[-1, 3])))
+        yield self.rates.frame(key[0], edges[1:, 0], edges[1:, 1], edges[:-1, 2], edges[:-1, 3])
 
     def close(self) -> None:
         pass
@@ -83,34 +191,50 @@ def stream_rates(
     world_size: int = 1,
     num_params: int | None = None,
     peak: float | None = None,
+    delay: str = "1 hour",
+    slice_seconds: int = 3600,
 ) -> DataFrame:
-    """Rates of a streaming log ``(run, ts, tokens_seen)``.
+    """Rates of a streaming log ``(run, ts, tokens_seen)``, with the rules of the batch form, and a mark ``late``.
+
+    Records may come in any order within *delay* of the latest one seen. A record's rate comes out once the watermark has
+    passed the end of its slice of *slice_seconds*. A record whose slice had ended before its micro-batch comes out at
+    once with ``late`` and without rates, and changes no other rate; count those to see whether *delay* is long
+    enough. A record without tokens moves the watermark and nothing else, so it can close a log; records
+    without run or time are left out. *starts* is a batch table ``(run, ts)`` of run starts, which stand for zero tokens.
 
-    Same rules as the batch form: records without tokens are skipped and do not move the state. A record that comes after
-    a later one of its run was worked on has NULL rates and does not move the state either; count those to see whether
-    the source is in order. *starts* is a batch table ``(run, ts)`` of run starts.
+    The state of a slice is its records; that of a run is one record. The session must keep state in RocksDB
+    (:func:`use_rocksdb_state`).
     """
-    use_rocksdb_state(log.sparkSession)
-    keyed = (
-        log.where(F.col("tokens_seen").isNotNull())
-        .select(
-            F.col("run").cast("string").alias("run"),
-            F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-            F.col("tokens_seen").cast("bigint").alias("tokens_seen"),
+    spark = log.sparkSession
+    if spark.conf.get(STATE_STORE, "") != ROCKSDB:
+        raise ValueError(f"Set {STATE_STORE} to {ROCKSDB} (use_rocksdb_state) before starting the stream.")
+    slice_us = slice_seconds * 1_000_000
+
+    def keyed(df: DataFrame, *columns):
+        us = F.unix_micros("ts")
+        slice_no = F.expr(f"(unix_micros(ts) - pmod(unix_micros(ts), {slice_us})) div {slice_us}")
+        return df.select("run", slice_no.alias("slice"), us.alias("us"), *columns).groupBy("run", "slice")
+
+    columns = [F.col("run").cast("string").alias("run"), F.col("ts").cast("timestamp").alias("ts")]
+    records = log.select(*columns, F.col("tokens_seen").cast("bigint").alias("tokens_seen"))
+    records = records.where("run IS NOT NULL AND ts IS NOT NULL")
+    opening = None if starts is None else starts.select(*columns).where("run IS NOT NULL AND ts IS NOT NULL")
+    rates = _Rates(world_size, None if num_params is None else 6.0 * num_params, peak)
+
+    def sliced(processor: _Slice, schema: T.StructType) -> DataFrame:
+        # The time goes on as a number: no record is dropped as late before the slice has seen it. Each branch
+        # has a watermark of its own, since a shared one would move in one of them only.
+        return keyed(records.withWatermark("ts", delay), "tokens_seen").transformWithStateInPandas(
+            statefulProcessor=processor,
+            outputStructType=schema,
+            outputMode="append",
+            timeMode="EventTime",
+            initialState=None if opening is None else keyed(opening),
         )
-        .groupBy("run")
-    )
-    opening = None
-    if starts is not None:
-        opening = starts.select(
-            F.col("run").cast("string").alias("run"),
-            F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-        ).groupBy("run")
-    flops = None if num_params is None else 6.0 * num_params
-    return keyed.transformWithStateInPandas(
-        statefulProcessor=RunRates(world_size, flops, peak),
-        outputStructType=RATES_SCHEMA,
-        outputMode="append",
-        timeMode="None",
-        initialState=opening,
+
+    inner = sliced(SliceRates(slice_seconds * 1000, rates), RATES_SCHEMA)
+    edges = sliced(SliceEdges(slice_seconds * 1000), _EDGES_SCHEMA)
+    links = edges.groupBy("run").transformWithStateInPandas(
+        statefulProcessor=RunLinks(rates), outputStructType=RATES_SCHEMA, outputMode="append", timeMode="None"
     )
+    return inner.unionByName(links)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.training_logs import peak_flops, previous_records, throughput, utilization
 from chatloom.sources.run_folders import read_run_map, run_name
-from chatloom.streaming.log_rates import stream_rates
+from chatloom.streaming.log_rates import STATE_STORE, stream_rates, use_rocksdb_state
 
 ZERO = datetime(2025, 1, 1, tzinfo=timezone.utc)
 LOG = "run string, ts timestamp, tokens_seen bigint"
@@ -97,40 +97,52 @@ def test_peaks(spark):
     assert [r[0] for r in rows] == [989e12, 989e12, 312e12, None, None, 989e12]
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    records = generated(9, hot=60)
-    frame(spark, records).coalesce(1).write.parquet(str(tmp_path / "log"))
-    stream = spark.readStream.schema(LOG).parquet(str(tmp_path / "log"))
-    starts = spark.createDataFrame([("a", at(-10)), ("b", at(-20))], "run string, ts timestamp")
-    rates = stream_rates(stream, starts, world_size=2, num_params=10**9, peak=989e12)
+def streamed(spark, tmp_path, files, starts=None, **options):
+    """Rates of a stream that reads one file a micro-batch and ends when all are read."""
+    use_rocksdb_state(spark)
+    for rows in files:
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    log = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
     running = (
-        rates.writeStream.format("parquet")
+        stream_rates(log, starts, **options)
+        .writeStream.format("parquet")
         .option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "state"))
         .trigger(availableNow=True)
         .start()
     )
     running.awaitTermination()
-    out = spark.read.parquet(str(tmp_path / "out"))
+    return spark.read.parquet(str(tmp_path / "out"))
+
+
+CLOSING = [("close", 10**6, None)]
+
+
+def test_interleaved_files_equal_batch(spark, tmp_path):
+    records = generated(9, hot=60)
+    halves = [[r for i, r in enumerate(records) if i % 2 == half] for half in (0, 1)]
+    starts = spark.createDataFrame([("a", at(-10)), ("b", at(-20))], "run string, ts timestamp")
+    out = streamed(
+        spark, tmp_path, [*halves, CLOSING], starts, world_size=2, num_params=10**9, peak=989e12, delay="1 day", slice_seconds=10
+    )
     assert rates_of(out) == expected_rates(records, {"a": -10, "b": -20})
-    assert out.where("mfu is null").count() == 0
-
-
-def test_stream_keeps_state_between_batches(spark, tmp_path):
-    batches = [[("a", 0, 0), ("a", 10, 100)], [("a", 5, 70), ("a", 20, 400)]]
-    for i, batch in enumerate(batches):
-        frame(spark, batch).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
-        running = (
-            stream_rates(spark.readStream.schema(LOG).parquet(str(tmp_path / "log")))
-            .writeStream.format("parquet")
-            .option("path", str(tmp_path / "out"))
-            .option("checkpointLocation", str(tmp_path / "state"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        running.awaitTermination()
-    # The late record at second 5 has no rate.
-    assert rates_of(spark.read.parquet(str(tmp_path / "out"))) == {("a", 5): None, ("a", 10): 10, ("a", 20): 30}
+    assert out.where("mfu IS NULL OR late").count() == 0
+
+
+def test_late_records_come_out_marked(spark, tmp_path):
+    options = {"delay": "20 seconds", "slice_seconds": 10}
+    streamed(spark, tmp_path, [[("a", 0, 0), ("a", 10, 100)], [("a", 5, 70), ("a", 60, 400)]], **options)
+    # The stream goes on from its state. Second 5 was in time, 7 is not; a run of its own is not too late.
+    out = streamed(spark, tmp_path, [[("a", 7, 80), ("b", 55, 1), ("b", 57, 11), ("a", 62, 440)], CLOSING], **options)
+    late = out.where("late").collect()
+    assert [(r.run, r.tokens_seen, r.tokens_per_sec, r.mfu) for r in late] == [("a", 80, None, None)]
+    assert rates_of(out.where("NOT late")) == {("a", 5): 14, ("a", 10): 6, ("a", 60): 6, ("a", 62): 20, ("b", 57): 5}
+
+
+def test_stream_needs_its_state_store(spark):
+    spark.conf.unset(STATE_STORE)
+    with pytest.raises(ValueError, match="RocksDB"):
+        stream_rates(frame(spark, []))
 
 
 def test_run_names(spark):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from chatloom.functions.folders import new_path
 from chatloom.operators.training_logs import peak_flops, throughput, utilization
 from chatloom.sources.run_folders import map_runs
-from chatloom.streaming.log_rates import stream_rates
+from chatloom.streaming.log_rates import stream_rates, use_rocksdb_state
 from workload import shapes
 
 QUERIES = {}
@@ -95,22 +98,42 @@ def peak_flops_query(spark, sf_dir):
     return counted.withColumn("peak", peak_flops(F.col("device")))
 
 
+def _late_files(spark, sf_dir):
+    """The log as five files that a stream reads one by one, and the longest time a record is behind.
+
+    A third of the records of each quarter of the time come with the next quarter; a record without tokens closes the log.
+    """
+    log = shapes.training_log(spark, sf_dir).drop("event_type").where("ts IS NOT NULL")
+    first, last = log.agg(F.min("ts"), F.max("ts")).first()
+    quarter = (last - first) / 4 + timedelta(seconds=1)
+    own = F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(first))) / (quarter / timedelta(microseconds=1)))
+    behind = F.when(F.xxhash64("run", "ts", "tokens_seen") % 3 == 0, 1).otherwise(0)
+    folder = new_path(spark, "log")
+    for i in range(5):
+        log.where(own + behind == i).coalesce(1).write.mode("append").parquet(folder)
+    closing = log.limit(1).select("run", F.lit(last + 10 * quarter).alias("ts"), F.lit(None).cast("bigint").alias("tokens_seen"))
+    closing.write.mode("append").parquet(folder)
+    return log.schema, folder, 2 * quarter
+
+
 @query(
     "throughput_stream",
     f"""WITH {LOG}, {RECORDS}
 SELECT CAST(run AS VARCHAR) AS run, epoch_us(ts) AS ts_us, tokens AS tokens_seen, {_round("rate")} AS tokens_per_sec,
-  {_round("rate / 4")} AS tokens_per_gpu_per_sec FROM rates""",
+  {_round("rate / 4")} AS tokens_per_gpu_per_sec, false AS late FROM rates""",
 )
 def throughput_stream(spark, sf_dir):
-    """The same rates from a stream: one state per run, all input available now."""
-    schema = shapes.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    log = events.select(
-        F.col("user_id").alias("run"),
-        "ts",
-        F.expr("CASE WHEN event_type <> 'error' THEN event_id * 1000 + CAST(value AS BIGINT) END").alias("tokens_seen"),
+    """The same rates from a stream of files that overlap in time, one a micro-batch."""
+    use_rocksdb_state(spark)
+    schema, folder, delay = _late_files(spark, sf_dir)
+    log = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    rates = stream_rates(
+        log,
+        shapes.run_starts(spark, sf_dir),
+        world_size=4,
+        delay=f"{math.ceil(delay.total_seconds())} seconds",
+        slice_seconds=30 * 86400,
     )
-    rates = stream_rates(log, shapes.run_starts(spark, sf_dir), world_size=4)
     out = new_path(spark, "stream")
     running = (
         rates.writeStream.format("parquet")
@@ -121,7 +144,7 @@ def throughput_stream(spark, sf_dir):
     )
     running.awaitTermination()
     return spark.read.parquet(f"{out}/rates").select(
-        "run", F.unix_micros("ts").alias("ts_us"), "tokens_seen", "tokens_per_sec", "tokens_per_gpu_per_sec"
+        "run", F.unix_micros("ts").alias("ts_us"), "tokens_seen", "tokens_per_sec", "tokens_per_gpu_per_sec", "late"
     )
 
 
