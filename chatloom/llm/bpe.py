@@ -9,6 +9,7 @@ back-pointers from the end of the word gives the exact ids, in time linear in it
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -196,13 +197,21 @@ class Bpe:
         return b"".join([content[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
+#: Runs that the library cannot work on, or only in quadratic time, and the length from which a text can hold one.
+_LONG = 100_000
+_LONG_RUN = re.compile(rf"\s{{{_LONG}}}|\S{{{_LONG}}}")
+
+
 class LibraryBpe:
-    """The same ids from the tiktoken library, for callers that need ids and not the method."""
+    """The same ids from the tiktoken library, for callers that need ids and not the method.
+
+    The library's word pattern ends with an error on a very long run of blanks; a text with one goes to :class:`Bpe`.
+    """
 
     def __init__(self, content: bytes) -> None:
         import tiktoken
 
-        own = Bpe(content)
+        own = self._own = Bpe(content)
         spec = json.loads(content)
         vocab, added = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {own._bytes[i]: i for token, i in vocab.items() if token not in added}
@@ -212,6 +221,8 @@ class LibraryBpe:
         self._coder = tiktoken.Encoding("own", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens=added)
 
     def encode(self, text: str) -> bytes:
+        if len(text) >= _LONG and _LONG_RUN.search(text):
+            return self._own.encode(text)
         return np.array(self._coder.encode(text, allowed_special="all"), "<u4").tobytes()
 
 

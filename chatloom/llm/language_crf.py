@@ -44,7 +44,10 @@ def _word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     """``(buckets, first, names)``: the n-gram buckets of all words, where each word's begin, and a hash of each word."""
     line = "\x02" + "\x02".join(words) + "\x02"
     codes = np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64)
-    ends = np.flatnonzero(codes == 2)
+    # Ends are known by their places: a word may hold any sign.
+    ends = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])]).astype(np.int64)
+    end = np.zeros(len(codes), bool)
+    end[ends] = True
     parts, owners = [], []
     place = np.searchsorted(ends, np.arange(len(codes)), side="right") - 1
     for order in _ORDERS:
@@ -55,11 +58,11 @@ def _word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
             value *= np.uint64(0x9E3779B97F4A7C15)
         value ^= value >> np.uint64(29)
         # An n-gram belongs to one word: no end mark inside it, and not an end mark alone.
-        marks = np.concatenate(([0], np.cumsum(codes == 2)))
+        marks = np.concatenate(([0], np.cumsum(end)))
         inside = marks[order - 1 : order - 1 + n] - marks[1 : n + 1] if order > 2 else np.zeros(n, np.int64)
-        good = (inside <= 0) if order > 1 else codes != 2
+        good = (inside <= 0) if order > 1 else ~end
         if order == 2:
-            good = ~((codes[:-1] == 2) & (codes[1:] == 2))
+            good = ~(end[:-1] & end[1:])
         kept = np.flatnonzero(good)
         parts.append((value[kept] & np.uint64(_BUCKETS - 1)).astype(np.int64))
         owners.append(place[kept])

@@ -133,8 +133,13 @@ def build_graph(points: np.ndarray, degree: int = 32, beam: int = 64, alpha: flo
     return links, entry
 
 
-def _lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
-    """One more component, after which the nearest vector is that with the largest inner product."""
+def _lifted(vectors: np.ndarray, scale: float, longest: float) -> np.ndarray:
+    """One more component, after which the nearest vector is that with the largest inner product.
+
+    *scale* is the largest component of all vectors and *longest* the largest squared length at that scale, so that single
+    precision holds them whatever their size.
+    """
+    vectors = vectors / scale
     rest = np.sqrt(np.maximum(longest - (vectors**2).sum(1), 0))
     return np.concatenate([vectors, rest[:, None]], 1).astype(np.float32)
 
@@ -154,7 +159,7 @@ def _columns(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, list[list[int]]
 
 
 def answers(
-    batches: Iterator[pa.RecordBatch], longest: float, k: int, degree: int, beam: int, query_beam: int
+    batches: Iterator[pa.RecordBatch], scale: float, longest: float, k: int, degree: int, beam: int, query_beam: int
 ) -> Iterator[pa.RecordBatch]:
     """``(query_id, id, score)`` from rows ``(shard, ids, vector, asks)`` sorted by shard, its points before its queries.
 
@@ -177,13 +182,21 @@ def answers(
                 if not held:
                     continue
                 own, own_ids = _columns(held)
-                lifted = _lifted(own, longest)
+                lifted = _lifted(own, scale, longest)
                 held, graph = [], build_graph(lifted, degree, beam)
             links, entry = graph
             for at in range(start, end, _TOGETHER):
                 part, target_ids = _columns([batch.slice(at, min(_TOGETHER, end - at))])
-                aims = np.concatenate([part, np.zeros((len(part), 1))], 1).astype(np.float32)
-                found, _ = beam_search(lifted, links, entry, aims, min(query_beam, len(own)))
+                # Only a query's direction counts.
+                aims = part / np.abs(part).max(1, keepdims=True)
+                aims = np.concatenate([aims, np.zeros((len(part), 1))], 1).astype(np.float32)
+                found, _ = beam_search(lifted, links, entry, aims, min(max(query_beam, k + 1), len(own)))
+                # A search that was cut off from most of the graph looks at all points of the shard.
+                short = np.flatnonzero((found >= 0).sum(1) < min(k + 1, len(own)))
+                if len(short):
+                    products = (own / scale) @ part[short].T
+                    most = np.argsort(-products, axis=0, kind="stable")[: found.shape[1]].T
+                    found[short] = most
                 # The points found are scored again in double precision, of them the best k + 1 are enough.
                 scores = np.einsum("qbd,qd->qb", own[found], part)
                 scores[found < 0] = -np.inf
@@ -230,11 +243,12 @@ def nearest_by_inner_product(
     few = keyed.withColumn("_n", F.row_number().over(smallest)).where(F.col("_n") <= k + 1)
     points = few.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector"))
     points = stored(points.select("ids", "vector", F.xxhash64("key").alias("hash")), "points")
-    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    n, longest = points.agg(F.count("*"), F.max(squares)).first()
+    n, scale = points.agg(F.count("*"), F.max(F.array_max(F.transform("vector", F.abs)))).first()
     out_type = "query_id long, id long, score double"
     if not n:
         return spark.createDataFrame([], out_type).select("query_id", F.lit(0).alias("rank"), F.col("id").alias(id_column), "score")
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.lit(scale)) * (x / F.lit(scale)))
+    longest = points.agg(F.max(squares)).first()[0]
     shards = -(-n // shard_rows)
     wanted = stored(usable_vectors(queries, id_column, vector_column).distinct(), "queries")
     # A query visits each shard: the query set is stated, and streams past the shard's graph.
@@ -243,9 +257,10 @@ def nearest_by_inner_product(
     held = points.select(F.pmod("hash", F.lit(shards)).alias("shard"), "ids", "vector", F.lit(False).alias("asks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return answers(batches, longest, k, degree, beam, query_beam)
+        return answers(batches, scale, longest, k, degree, beam, query_beam)
 
-    together = held.union(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+    # One task for each shard; a hash of the number would put several into one.
+    together = held.union(asked).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "asks")
     found = together.mapInArrow(run, out_type)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

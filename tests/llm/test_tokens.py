@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chatloom.llm.bpe import Bpe, LibraryBpe, decode, encode
 from chatloom.llm.packing_mbs import fullest, minimum_slack_plan, pack_digests, pack_documents
@@ -137,3 +138,33 @@ def test_packing_odd_rows(spark, odd_docs, no_docs, vocabulary, library):
         if row["doc_id"] not in (1, None):
             ids[row["doc_id"]] = ids.get(row["doc_id"], b"") + bytes(row["ids"])
     assert all(packed == library(texts[i] or "") + b"\0\0\0\0" for i, packed in ids.items())
+
+
+CONTROLS = "".join(map(chr, [*range(32), 0x7F, 0x85, 0xA0, 0x2028, 0xFEFF]))
+HARD = [
+    f"hello\x02 the cat {CONTROLS} sat",
+    *(f"a {c} b{c}c" for c in CONTROLS),
+    *(sign * 1_000_001 for sign in " \t\n\u2003"),
+    "x" * 300_000,
+    "-" * 150_000,
+]
+
+
+@pytest.mark.parametrize("kind", [Bpe, LibraryBpe])
+def test_hard_texts_equal_the_library(kind, vocabulary):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary)
+    with open(vocabulary, "rb") as file:
+        coder = kind(file.read())
+    for text in HARD:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text[:40]
+
+
+def test_hard_texts_are_packed_whole(spark, vocabulary):
+    from chatloom.llm.packing_mbs import pack_digests
+
+    docs = spark.createDataFrame(list(enumerate(HARD)), "doc_id long, text string")
+    packed = pack_digests(docs, vocabulary, capacity=1024).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all"))
+    rows = packed.collect()
+    assert len(rows) == len(HARD) and all(r.n == r["all"] for r in rows)

@@ -214,7 +214,7 @@ def test_queries_stream_past_a_shard():
                 yield rows(shard, range(1000 + at, 1100 + at), targets[at : at + 100], True)
 
     longest, found = float((points**2).sum(2).max()), {}
-    for number, out in enumerate(answers(batches(), longest, 1, 32, 64, 96)):
+    for number, out in enumerate(answers(batches(), 1.0, longest, 1, 32, 64, 96)):
         # No more than the batch that is answered has been read.
         assert len(pulled) == number + 2 + (number >= 20) and out.num_rows == 100
         for r in out.to_pylist():
@@ -342,3 +342,48 @@ def test_pipeline_keeps_single_documents(spark, sf_dir):
         texts.setdefault(r["text"], []).append(r["doc_id"])
     kept = {r["doc_id"] for r in rows}
     assert all(len(kept & set(ids)) <= 1 for ids in texts.values()) and len(kept) > 0.8 * len(texts)
+
+
+def test_language_of_texts_with_control_signs(spark):
+    """Any sign may stand inside a word."""
+    from pyspark.sql import functions as F
+
+    signs = "".join(map(chr, [*range(1, 32), 0x7F]))
+    rows = [(i, "the cat and the dog" if i % 2 else "le chat et le chien", "en" if i % 2 else "fr", "s", 1) for i in range(60)]
+    rows += [(100 + i, f"hello{sign} the{sign}cat {sign}and the dog", "en", "s", 1) for i, sign in enumerate(signs)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = language_crf.predict(docs, language_crf.fit_on(docs)).where(F.col("doc_id") >= 100).collect()
+    assert len(found) == len(signs) and {r.lang_pred for r in found} == {"en"}
+
+
+@pytest.mark.parametrize("factor", [1e20, 1e-25, 1e150])
+def test_nearest_of_very_long_and_short_vectors(spark, factor):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 8)) * factor
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    rows = nearest_by_inner_product(df, df.where("vec_id % 20 = 0"), k=20).collect()
+    assert len(rows) == 300
+    products = vectors[::20] @ vectors.T
+    hits = 0
+    for q in range(15):
+        products[q, q * 20] = -np.inf
+        best = set(np.argsort(-products[q])[:20].tolist())
+        hits += len(best & {r.vec_id for r in rows if r.query_id == q * 20})
+    assert hits >= 285
+
+
+def test_a_search_that_is_cut_off_is_still_whole():
+    """Two far groups: whatever the links, each query gets its k points."""
+    import pyarrow as pa
+
+    from chatloom.llm.vamana import answers
+
+    rng = np.random.default_rng(4)
+    points = np.concatenate([rng.normal(size=(40, 4)) * 1e-9 + 1, rng.normal(size=(40, 4)) * 1e-9 - 1])
+    rows = [(0, [i], p.tolist(), False) for i, p in enumerate(points)] + [(0, [1000 + i], p.tolist(), True) for i, p in enumerate(points)]
+    schema = pa.schema({"shard": pa.int64(), "ids": pa.list_(pa.int64()), "vector": pa.list_(pa.float64()), "asks": pa.bool_()})
+    batch = pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+    scale = float(np.abs(points).max())
+    longest = float(((points / scale) ** 2).sum(1).max())
+    out = pa.Table.from_batches(list(answers(iter([batch]), scale, longest, 20, 2, 4, 4)))
+    assert out.num_rows == 80 * 20
