@@ -15,8 +15,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable, Sequence
+import math
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from fractions import Fraction
 from operator import attrgetter
 
 from pyspark import StorageLevel
@@ -124,10 +127,32 @@ def with_row_key(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
         return df.withColumn(KEY, F.coalesce(F.col(key[0]).cast("string"), F.lit("\0")))
     if key:
         return df.withColumn(KEY, _content(df, key))
-    hashed = df.withColumn("_content", _content(df, df.columns))
-    # Only copies of a row share a group, and they are numbered as they stream by.
-    copy = F.row_number().over(Window.partitionBy("_content").orderBy(F.lit(0)))
-    return hashed.withColumn(KEY, F.concat_ws(":", "_content", copy.cast("string"))).drop("_content")
+    return _numbered_copies(df)
+
+
+#: Copies of one row that are written out in one place; more of them are dealt out first.
+_COPIES_AT_ONCE = 10_000
+
+
+def _numbered_copies(df: DataFrame) -> DataFrame:
+    """*df* with a key from each row's content and its number among equal rows.
+
+    Copies meet in partial aggregation, so a task sends one row for all copies that it has, and what moves is
+    distinct rows with their counts. The copies are written out again where their keys are made; those of a row with
+    very many are dealt out in runs first, so no task has them all.
+    """
+    columns = df.columns
+    hashed = df.select(_content(df, columns).alias("_content"), F.struct(*[F.col(c) for c in columns]).alias("_row"))
+    distinct = hashed.groupBy("_content").agg(F.any_value("_row").alias("_row"), F.count(F.lit(1)).alias("_n"))
+    few = distinct.where(F.col("_n") <= _COPIES_AT_ONCE).withColumn("_from", F.lit(1).cast("bigint"))
+    runs = F.sequence(F.lit(1).cast("bigint"), "_n", F.lit(_COPIES_AT_ONCE).cast("bigint"))
+    many = distinct.where(F.col("_n") > _COPIES_AT_ONCE).withColumn("_from", F.explode(runs))
+    # A given number of partitions stays, however few bytes the runs have before they are written out.
+    many = many.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_content", "_from")
+    upto = F.least(F.col("_from") + (_COPIES_AT_ONCE - 1), F.col("_n"))
+    each = few.unionByName(many).select("_content", "_row", F.explode(F.sequence("_from", upto)).alias("_copy"))
+    key = F.concat_ws(":", "_content", F.col("_copy").cast("string"))
+    return each.select(*[F.col("_row")[c].alias(c) for c in columns], key.alias(KEY))
 
 
 # -- thresholds -----------------------------------------------------------------
@@ -223,13 +248,21 @@ def _plan_takes(parts: Sequence[Part], counts: dict[int, int]) -> list[Take]:
     return takes
 
 
-def _copy_numbers(hash_col: Column, take: Take, thresholds: dict[int, str]) -> Column:
-    """``array<int>`` with one entry per copy of the row."""
+def _copies(hash_col: Column, take: Take, thresholds: dict[int, str]) -> Column:
+    """How often a row is in the mix."""
+    if take.target <= 0:
+        return F.lit(0)
     n = F.lit(take.copies)
     if take.copies and take.cap < take.rows:
         n = F.when(hash_col <= thresholds[take.cap], n).otherwise(0)
     if take.extra:
         n = n + F.when(hash_col <= thresholds[take.extra], 1).otherwise(0)
+    return n
+
+
+def _copy_numbers(hash_col: Column, take: Take, thresholds: dict[int, str]) -> Column:
+    """``array<int>`` with one entry per copy of the row."""
+    n = _copies(hash_col, take, thresholds)
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
@@ -254,6 +287,81 @@ class Mixed:
     targets: dict[str, int]
 
 
+def _hashed(parts: Sequence[Part], seed: int) -> dict[int, DataFrame]:
+    """The parts that are read, each row with the hash that is its place in its part."""
+    return {i: p.rows.withColumn("_hash", order_hash(seed + i, F.col(KEY))) for i, p in enumerate(parts) if p.weight > 0}
+
+
+@contextmanager
+def _keys(parts: Sequence[Part], hashed: dict[int, DataFrame]) -> Iterator[DataFrame]:
+    """Part, hash and size of each row, kept on disk while they are looked at."""
+    keys = None
+    for i, rows in hashed.items():
+        amount = F.lit(0) if parts[i].size is None else parts[i].size
+        one = rows.select(F.lit(i).alias("_part"), "_hash", amount.cast("bigint").alias("_size"))
+        keys = one if keys is None else keys.unionAll(one)
+    keys = keys.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield keys
+    finally:
+        keys.unpersist()
+
+
+def _planned(parts: Sequence[Part], keys: DataFrame) -> tuple[list[Take], dict[int, dict[int, str]]]:
+    """How often each part is taken, and the hashes up to which its rows are."""
+    counts = {r["_part"]: r["n"] for r in keys.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    takes = _plan_takes(parts, counts)
+    if sum(t.target for t in takes) <= 0:
+        raise ValueError("No rows left: the weights and filters leave nothing to take.")
+    wanted = [(i, r) for i, t in enumerate(takes) if t.target > 0 for r in t.ranks()]
+    found = hash_at_rank(keys, wanted)
+    return takes, {i: {r: h for (d, r), h in found.items() if d == i} for i in range(len(parts))}
+
+
+def mix_stats(parts: Sequence[Part], seed: int) -> DataFrame:
+    """Statistics of the parts' *size* over the mix, which is neither made nor moved.
+
+    ``(dataset, n_rows, total, mean, min, max, std)``, a row for each part with rows in the mix and one of NULL name for all.
+    A row's number of copies is its weight in sums, sums of squares and counts, which are exact; the
+    deviation is that of a sample and NULL for one row. A NULL size counts as a row of no size.
+    """
+    check_weights(parts)
+    hashed = _hashed(parts, seed)
+    with _keys(parts, hashed) as keys:
+        takes, thresholds = _planned(parts, keys)
+        copies, name = F.lit(0), F.lit(None).cast("string")
+        for i in hashed:
+            copies = F.when(F.col("_part") == i, _copies(F.col("_hash"), takes[i], thresholds[i])).otherwise(copies)
+            name = F.when(F.col("_part") == i, F.lit(parts[i].name)).otherwise(name)
+        size, wide = F.col("_size").cast("decimal(19, 0)"), "decimal(38, 0)"
+        taken = keys.withColumn("_copies", copies.cast("decimal(10, 0)")).where(F.col("_copies") > 0)
+        sums = taken.groupBy("_part").agg(
+            F.sum("_copies").cast(wide).alias("n"),
+            F.sum(F.col("_copies") * F.coalesce(size, F.lit(0))).cast(wide).alias("total"),
+            F.sum((F.col("_copies") * F.coalesce(size * size, F.lit(0))).cast(wide)).cast(wide).alias("squares"),
+            F.min("_size").alias("min"),
+            F.max("_size").alias("max"),
+        )
+        # A row for each part is left; those come to the driver, as the keys go.
+        rows = [tuple(r) for r in sums.select(name.alias("dataset"), *sums.columns[1:]).collect()]
+    spark = parts[0].rows.sparkSession
+    order = {p.name: i for i, p in enumerate(parts)}
+    each = [_moments(r[0], [r]) for r in sorted(rows, key=lambda r: order[r[0]])]
+    return spark.createDataFrame(
+        [*each, _moments(None, rows)],
+        "dataset string, n_rows bigint, total bigint, mean double, min bigint, max bigint, std double",
+    )
+
+
+def _moments(name: str | None, rows: Sequence[tuple]) -> tuple:
+    """Merged counts, sums and sums of squares as statistics; the sums are whole numbers, so nothing cancels out."""
+    n, total, squares = (sum(int(r[i]) for r in rows) for i in (1, 2, 3))
+    least = [r[4] for r in rows if r[4] is not None]
+    most = [r[5] for r in rows if r[5] is not None]
+    std = math.sqrt(Fraction(n * squares - total * total, n * (n - 1))) if n > 1 else None
+    return name, n, total, total / n, min(least, default=None), max(most, default=None), std
+
+
 def mix_parts(
     parts: Sequence[Part],
     seed: int,
@@ -274,30 +382,13 @@ def mix_parts(
     """
     check_weights(parts)
     spark = parts[0].rows.sparkSession
-    live = [(i, p) for i, p in enumerate(parts) if p.weight > 0]
-    hashed = {
-        i: p.rows.withColumn("_hash", order_hash(seed + i, F.col(KEY))) for i, p in live
-    }
-    keys = None
-    for i, _ in live:
-        amount = F.lit(0) if parts[i].size is None else parts[i].size
-        one = hashed[i].select(F.lit(i).alias("_part"), "_hash", amount.cast("bigint").alias("_size"))
-        keys = one if keys is None else keys.unionAll(one)
-    keys = keys.persist(StorageLevel.DISK_ONLY)
-    try:
-        counts = {r["_part"]: r["n"] for r in keys.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
-        takes = _plan_takes(parts, counts)
-        if sum(t.target for t in takes) <= 0:
-            raise ValueError("No rows left: the weights and filters leave nothing to take.")
-        wanted = [(i, r) for i, t in enumerate(takes) if t.target > 0 for r in t.ranks()]
-        found = hash_at_rank(keys, wanted)
-        thresholds = {i: {r: h for (d, r), h in found.items() if d == i} for i in range(len(parts))}
-        used = [(i, p) for i, p in live if takes[i].target > 0]
+    hashed = _hashed(parts, seed)
+    with _keys(parts, hashed) as keys:
+        takes, thresholds = _planned(parts, keys)
+        used = [(i, p) for i, p in enumerate(parts) if i in hashed and takes[i].target > 0]
         starts = None
         if position and shuffle:
             starts = _bucket_starts(keys, used, takes, thresholds, seed)
-    finally:
-        keys.unpersist()
 
     mixed = None
     for i, part in used:

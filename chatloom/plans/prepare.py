@@ -18,6 +18,7 @@ from chatloom.operators.mixing import (
     check_weights,
     mix_fingerprint,
     mix_parts,
+    mix_stats,
     with_row_key,
 )
 from chatloom.operators.packing import pack_best_fit, pack_wrap
@@ -98,6 +99,26 @@ def prepare_mix(
     *finish* adds row-wise work per dataset before the mix (rows that are then repeated
     need it once); *size* is a column of the finished rows to total up, see :func:`mix_parts`.
     """
+    parts = mix_sources(
+        spark, mix, row_filter=row_filter, keep=keep, enforce_schema=enforce_schema, on_bad_row=on_bad_row,
+        read=read, finish=finish, size=size,
+    )
+    return mix_parts(parts, mix.seed, position=position, partitions=partitions)
+
+
+def mix_sources(
+    spark: SparkSession,
+    mix: Mix,
+    *,
+    row_filter: RowFilter | None = None,
+    keep: Sequence[str] | None = None,
+    enforce_schema: bool = False,
+    on_bad_row: str = "fail",
+    read: Callable[[SparkSession, Source], DataFrame] = read_source,
+    finish: Callable[[DataFrame, Source], DataFrame] | None = None,
+    size: Column | None = None,
+) -> list[Part]:
+    """The datasets of a mix, read and shaped, with what :func:`mix_parts` needs to mix them."""
     check_weights(mix.sources)
     parts = []
     for source in mix.sources:
@@ -115,7 +136,7 @@ def prepare_mix(
         if finish is not None:
             rows = finish(rows, source)
         parts.append(Part(source.name, rows, source.weight, source.max_samples, size))
-    return mix_parts(parts, mix.seed, position=position, partitions=partitions)
+    return parts
 
 
 def row_outcomes(spark: SparkSession, mix: Mix, read=read_source) -> DataFrame:
@@ -222,24 +243,27 @@ def prepare_sft(
     return Prepared(rows, mixed.manifest, mix_fingerprint(mix.sources))
 
 
-def count_tokens(
+def mix_token_stats(
     spark: SparkSession,
     mix: Mix,
     *,
+    tokenizer: str | FileTokenizer = WORDS,
     options: RenderOptions | None = None,
     on_bad_row: str = "fail",
     read: Callable[[SparkSession, Source], DataFrame] = read_source,
 ) -> DataFrame:
-    """``(dataset, n_rows, n_tokens)`` of the mixed chats, repeated rows counted each time.
+    """Rows, total, mean, least, most and sample deviation of the tokens of the mixed chats, see :func:`mix_stats`.
 
-    Chats are rendered and their words counted; only that number goes on to the mix.
+    Chats are rendered and their tokens counted, once; no row of the mix is made.
     """
 
-    def count_words(rows: DataFrame, source: Source) -> DataFrame:
+    def count_each(rows: DataFrame, source: Source) -> DataFrame:
         rendered = render_segments(rows, mix.chat_template, options, on_bad_row)
-        return rendered.select(KEY, segment_word_count(F.col("segments")).alias("n_tokens"))
+        if not isinstance(tokenizer, FileTokenizer):
+            return rendered.select(KEY, segment_word_count(F.col("segments")).alias("n_tokens"))
+        return tokenize(rendered, tokenizer, None).select(KEY, F.size("input_ids").alias("n_tokens"))
 
-    mixed = prepare_mix(
+    parts = mix_sources(
         spark,
         mix,
         row_filter=sft_filter,
@@ -247,13 +271,20 @@ def count_tokens(
         enforce_schema=True,
         on_bad_row=on_bad_row,
         read=read,
-        finish=count_words,
+        finish=count_each,
+        size=F.col("n_tokens"),
     )
-    return mixed.rows.groupBy(F.col("_dataset").alias("dataset")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("n_tokens").cast("bigint").alias("n_tokens")
+    return mix_stats(parts, mix.seed).withColumnsRenamed(
+        {c: f"{c}_tokens" for c in ("total", "mean", "min", "max", "std")}
     )
 
 
+def count_tokens(spark: SparkSession, mix: Mix, **options) -> DataFrame:
+    """``(dataset, n_rows, n_tokens)`` of the mixed chats, repeated rows counted each time."""
+    stats = mix_token_stats(spark, mix, **options).where(F.col("dataset").isNotNull())
+    return stats.select("dataset", "n_rows", F.col("total_tokens").alias("n_tokens"))
+
+
 def prepare_dpo(
     spark: SparkSession,
     mix: Mix,

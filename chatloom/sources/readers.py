@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from posixpath import basename
 
@@ -40,8 +41,8 @@ def read_files(
     """Read data files of one format, chosen by suffix (case matters).
 
     CSV cells and top-level JSON arrays may span lines, which keeps a file in one task; pass
-    ``splittable=True`` when each record is on its own line. Each JSON file may be a list or lines; the files are
-    read in two groups. A broken CSV or JSON record fails the job. With *row_key*, Parquet rows get a key from file and
+    ``splittable=True`` when each record is on its own line. Each JSON file may be a list or lines, also those of one
+    folder; the files are read in two groups. A broken CSV or JSON record fails the job. With *row_key*, Parquet rows get a key from file and
     row number.
     """
     suffixes = {_suffix(p) for p in paths}
@@ -67,10 +68,17 @@ def read_files(
         return reader.load(files)
 
     if kind == "json" and not splittable:
-        lists = [p for p in paths if _starts_with_bracket(spark, p)]
-        groups = [(lists, True), ([p for p in paths if p not in set(lists)], False)]
-        frames = [load(files, multiLine=is_list) for files, is_list in groups if files]
-        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        files = [f for p in paths for f in _data_files(spark, p)]
+        with ThreadPoolExecutor(_OPEN_AT_ONCE) as pool:
+            is_list = list(pool.map(lambda f: _starts_with_bracket(spark, f), files))
+        if len(set(is_list)) < 2:
+            df = load(paths, multiLine=any(is_list))
+        else:
+            # Folders like ``day=1`` below the one that was asked for still give a column.
+            base = {"basePath": paths[0]} if len(paths) == 1 else {}
+            groups = [[f for f, found in zip(files, is_list, strict=True) if found is kind] for kind in (True, False)]
+            frames = [load(group, multiLine=kind, **base) for group, kind in zip(groups, (True, False), strict=True)]
+            df = frames[0].unionByName(frames[1], allowMissingColumns=True)
     else:
         df = load(paths)
     if kind == "text":
@@ -81,13 +89,22 @@ def read_files(
     return df
 
 
+#: Files whose first bytes are looked at together.
+_OPEN_AT_ONCE = 32
+
+
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    """*path* if it is a file, else all files below it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return [path]
+    return [f for inner, _ in _visible(_list(spark, f"{path}/*")) for f in _data_files(spark, inner)]
+
+
 def _starts_with_bracket(spark: SparkSession, path: str) -> bool:
-    """Whether the first character other than white space is ``[``; a folder is judged by its first data file."""
+    """Whether the first character of a file other than white space is ``[``."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.getFileStatus(at).isDirectory():
-        inner = [p for p, is_dir in _visible(_list(spark, f"{path}/*")) if not is_dir]
-        return bool(inner) and _starts_with_bracket(spark, inner[0])
     stream = files.open(at)
     try:
         byte = stream.read()

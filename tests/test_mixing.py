@@ -1,3 +1,4 @@
+import statistics
 from collections import Counter
 
 import pytest
@@ -11,6 +12,7 @@ from chatloom.operators.mixing import (
     check_weights,
     mix_fingerprint,
     mix_parts,
+    mix_stats,
     number_rows,
     sample_exact,
     target_rows,
@@ -279,3 +281,42 @@ def test_partitions_follow_the_rows(spark):
     assert shuffle_partitions(spark, 10) == least
     assert shuffle_partitions(spark, 1000 * ROWS_PER_PARTITION + 1) == 1001
     assert shuffle_partitions(spark, 10**15) == HASH_BUCKETS
+
+
+def test_statistics_over_a_mix_equal_the_mixed_rows(spark):
+    def part(name, n, weight, cap=None):
+        rows = spark.range(n).select(F.col("id").cast("string").alias("_row_key"), (F.col("id") * 7 % 31).alias("len"))
+        return Part(name, rows, weight, cap, F.col("len"))
+
+    parts = [part("thin", 200, 0.37), part("twice", 90, 2.4), part("capped", 300, 1.5, 40), part("none", 5, 0.0)]
+    lengths = mix_parts(parts, 9).rows.select("_dataset", "len").collect()
+    stats = {r.dataset: r for r in mix_stats(parts, 9).collect()}
+    assert set(stats) == {"thin", "twice", "capped", None}
+    for name, row in stats.items():
+        own = [r.len for r in lengths if name in (None, r._dataset)]
+        assert (row.n_rows, row.total, row.min, row.max) == (len(own), sum(own), min(own), max(own))
+        assert row.mean == pytest.approx(statistics.mean(own)) and row.std == pytest.approx(statistics.stdev(own))
+
+
+def test_statistics_of_one_row_and_of_large_sizes(spark):
+    rows = spark.createDataFrame([("a", 4_000_000_000), ("b", 4_000_000_001)], "_row_key string, len bigint")
+    both = mix_stats([Part("x", rows, size=F.col("len"))], 1).first()
+    assert both.std == pytest.approx(0.5**0.5, rel=1e-12) and both.total == 8_000_000_001
+    one = mix_stats([Part("x", rows.limit(1), size=F.col("len"))], 1).first()
+    assert one.n_rows == 1 and one.std is None
+
+
+def test_many_copies_of_a_row_without_key(spark, monkeypatch):
+    monkeypatch.setattr("chatloom.operators.mixing._COPIES_AT_ONCE", 40)
+    hot = spark.range(1000).select(F.lit("same").alias("text"), F.lit(None).cast("int").alias("n"))
+    rows = hot.union(spark.range(100).select(F.col("id").cast("string"), F.col("id").cast("int")))
+    keyed = with_row_key(rows)
+    assert keyed.count() == 1100 and keyed.select("_row_key").distinct().count() == 1100
+    assert keyed.where("text = 'same' AND n IS NULL").count() == 1000
+    # The runs of the hot row lie in several partitions.
+    places = keyed.where("text = 'same'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert places > 1
+    sample = sample_exact(rows, 300, 5)
+    again = sample_exact(rows.repartition(7), 300, 5)
+    assert sample.count() == 300
+    assert sorted(map(str, sample.collect())) == sorted(map(str, again.collect()))

@@ -132,3 +132,15 @@ def test_row_keys(spark):
     assert with_row_key(df, ["p", "q"]).select(KEY).distinct().count() == 5
     keys = [{r[KEY] for r in with_row_key(df.repartition(n)).collect()} for n in (1, 5)]
     assert len(keys[0]) == 6 and keys[0] == keys[1]
+
+
+def test_a_folder_of_json_lists_and_lines(spark, tmp_path):
+    folder = tmp_path / "set" / "train.json"
+    (folder / "day=1").mkdir(parents=True)
+    (folder / "a.json").write_text('[{"x": 1}, {"x": 2}]')
+    (folder / "b.json").write_text("".join(f'{{"x": {i}}}\n' for i in range(3, 8)))
+    (folder / "_SUCCESS").write_text("")
+    df = read_files(spark, [str(folder)])
+    assert sorted(r.x for r in df.collect()) == [1, 2, 3, 4, 5, 6, 7]
+    (folder / "a.json").write_text("")
+    assert sorted(r.x for r in read_files(spark, [str(folder)]).collect()) == [3, 4, 5, 6, 7]

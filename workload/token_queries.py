@@ -13,7 +13,7 @@ from chatloom.operators import tokens as k
 from chatloom.operators.mixing import Mix, Source, number_rows, with_row_key
 from chatloom.operators.packing import pack_best_fit, pack_wrap
 from chatloom.plans.inspect import inspect_source
-from chatloom.plans.prepare import count_tokens, prepare_dpo, prepare_sft
+from chatloom.plans.prepare import count_tokens, mix_token_stats, prepare_dpo, prepare_sft
 from workload import shapes
 from workload.mix_queries import SEED
 from workload.template_queries import NO_FUNCTIONS, OPTIONS, THINK_SYSTEM, olmo_segments
@@ -418,6 +418,23 @@ def count_mix_tokens(spark, sf_dir):
     return count_tokens(spark, mix, options=OPTIONS, read=lambda s, source: _read_by_opening(s, source, sf_dir))
 
 
+@query(
+    "mix_token_stats",
+    f"""{SEGMENTS}, {CHAT_WORDS}, {FACTS}, {SFT_ORDER},
+lengths AS (
+  SELECT CASE WHEN has_system THEN 'system' ELSE 'plain' END AS dataset, position, count(*) AS n
+  FROM mixed JOIN tokens USING (id) JOIN facts USING (id) GROUP BY ALL)
+SELECT dataset, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS total_tokens, round(avg(n), 6) AS mean_tokens, min(n) AS min_tokens,
+  max(n) AS max_tokens, round(stddev_samp(n), 6) AS std_tokens
+FROM lengths GROUP BY GROUPING SETS ((dataset), ())""",
+)
+def mix_token_stats_query(spark, sf_dir):
+    """Token statistics of a mix that repeats one dataset and thins the other."""
+    mix = Mix(_SFT_SOURCES, SEED, "olmo3-think-sft")
+    stats = mix_token_stats(spark, mix, options=OPTIONS, read=lambda s, source: _read_by_opening(s, source, sf_dir))
+    return stats.withColumns({c: F.round(c, 6) for c in ("mean_tokens", "std_tokens")})
+
+
 def _read_pairs(spark, sf_dir):
     """The whole chat is the chosen side, its first two turns are the rejected one."""
     return shapes.chats(spark, sf_dir).select(
