@@ -233,8 +233,8 @@ def _extents_in_groups(contexts: DataFrame, min_bytes: int) -> DataFrame:
     return rows.mapInArrow(run, "anchor long, context long, left long, right long")
 
 
-def _extents_by_counting(contexts: DataFrame, min_bytes: int, width: int) -> DataFrame:
-    """``(anchor, context, left, right)`` for anchors with very many contexts.
+def _extents_by_counting(contexts: DataFrame, min_bytes: int, width: int, held: list[DataFrame]) -> DataFrame:
+    """``(anchor, context, left, right)`` for anchors with very many contexts. Tables that it still reads go to *held*.
 
     A string through the anchor is named by *o*, the bytes it has before the anchor. A block of neighbouring *o* is covered
     if all its bytes occur twice, and not looked into if not even the bytes common to its strings do.
@@ -247,10 +247,15 @@ def _extents_by_counting(contexts: DataFrame, min_bytes: int, width: int) -> Dat
     high = F.least(F.lit(width - 1), F.col("before"))
     # Repeated rows of one document must not count as two contexts.
     once = stored(contexts.dropDuplicates(["anchor", "context"]), "hot-contexts")
-    open_blocks = once.select("anchor", "context", "n", F.explode(F.sequence(F.lit(0), F.lit(width - 1), F.lit(size))).alias("o"))
-    found = None
+    held.append(once)
+    every = F.explode(F.sequence(F.lit(0), F.lit(width - 1), F.lit(size)))
+    open_blocks = found = None
     while True:
-        rows = open_blocks.join(once.select("anchor", "context", "before", "body"), ["anchor", "context"])
+        # At first each context has all blocks; later only those with open blocks meet their bytes again.
+        if open_blocks is None:
+            rows = once.select("anchor", "context", "n", "before", "body", every.alias("o"))
+        else:
+            rows = open_blocks.join(once.select("anchor", "context", "before", "body"), ["anchor", "context"])
         rows = rows.withColumns({"low": low, "high": high}).where((F.col("o") <= F.col("high")) & (F.col("o") + size > F.col("low")))
         inner = F.substring("body", F.col("before") - F.col("o") + 1, F.lit(min_bytes - size + 1))
         outer = F.substring("body", F.col("before") - F.col("o") - size + 2, F.lit(min_bytes + size - 1))
@@ -265,6 +270,8 @@ def _extents_by_counting(contexts: DataFrame, min_bytes: int, width: int) -> Dat
         outers = rows.where("outer IS NOT NULL").groupBy("anchor", "o", "outer").agg((F.sum("n") > 1).alias("all"))
         known = rows.join(inners.where("some").drop("some"), ["anchor", "o", "inner"], "left_semi")
         known = stored(known.join(outers.where("all"), ["anchor", "o", "outer"], "left"), "known-blocks")
+        forget(rows)
+        held.append(known)
         covered = known.where("all").select("anchor", "context", F.col("o").alias("least"), (F.col("o") + size - 1).alias("most"))
         found = covered if found is None else found.union(covered)
         if size == 1:
@@ -312,16 +319,18 @@ def repeated_spans(
     wanted = contexts.join(many, "anchor")
     bodies = stored(_context_rows(docs, wanted.drop("m"), min_bytes), "bodies")
     hot = many.where(F.col("m") > group_rows).select("anchor")
+    held = [contexts, many, bodies]
     extents = _extents_in_groups(bodies.join(hot, "anchor", "left_anti"), min_bytes)
     if not hot.isEmpty():
-        extents = extents.union(_extents_by_counting(bodies.join(hot, "anchor", "left_semi"), min_bytes, finder_width))
+        extents = extents.union(_extents_by_counting(bodies.join(hot, "anchor", "left_semi"), min_bytes, finder_width, held))
     # A context that occurs twice is covered whole.
     whole = contexts.where("n > 1").select(
         "anchor", "context", F.lit(finder_width - 1).cast("long").alias("left"), F.lit(min_bytes).cast("long").alias("right")
     )
     extents = whole.union(extents).groupBy("anchor", "context").agg(F.max("left").alias("left"), F.max("right").alias("right"))
     extents = stored(extents, "extents")
-    forget(bodies)
+    for table in held:
+        forget(table)
     spans = anchors.join(extents, ["anchor", "context"])
     start = F.greatest(F.lit(0).cast("long"), F.col("place") - F.col("left"))
     spans = spans.select("doc", "text_hash", start.alias("start"), (F.col("place") + F.col("right")).alias("end"))
@@ -337,13 +346,14 @@ def remove_repeats(
     whole_characters: bool = False,
     group_rows: int = 256,
     carry: tuple[str, ...] = (),
+    min_words: int = 0,
 ) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept binary)`` for each row: its text without repeated bytes.
 
     A byte goes if a string of *min_bytes* bytes over it also starts anywhere else in the table, the same text included;
     all occurrences go, judged on the input. NULL and empty texts, and texts shorter than *min_bytes*, stay as they
     are. Copies of a row repeat each other. ``whole_characters`` keeps characters of which only a part would go, so that
-    *kept* is UTF-8. The columns named in *carry* come along in a struct ``carried``; others are not read.
+    *kept* is UTF-8. A run of fewer than *min_words* words, between white space, stays. The columns named in *carry* come along in a struct ``carried``; others are not read.
     """
     spans = repeated_spans(df, id_column, text_column, min_bytes, group_rows)
     docs = df.select(
@@ -374,7 +384,7 @@ def remove_repeats(
                         start += 1
                     while end > start and end < len(data) and data[end] & 0xC0 == 0x80:
                         end -= 1
-                if start < end:
+                if start < end and (not min_words or len(data[start:end].split()) >= min_words):
                     pieces.append(data[at:start])
                     at, spans = end, spans + 1
             pieces.append(data[at:])
