@@ -258,14 +258,18 @@ def _verified(texts: DataFrame, members: DataFrame, words: int, similarity: floa
 
     Only links that passed connect. In each round some members of a key become centres, and all members of the key that are
     not yet connected to a centre are tested against it. A key is done when its members that never were centres are all
-    connected, so in the end each pair of a key is connected or has been tested. Centres grow eightfold each round from one.
+    connected, so in the end each pair of a key is connected or has been tested. Centres grow eightfold from one.
+
+    The first centres are worked off in three rounds: each member is tested against the smallest of its keys' centres, then
+    against four, then against the rest. Members of one group mostly share their smallest centre, so the first round
+    connects them and a large group costs a pair for each member and not for each member and key.
     """
     groups = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("end"), F.max("id").alias("last"))
     groups = stored(groups.where("end <> last").drop("last"), "band-groups")
     rest = members.join(groups, "key").withColumns({"label": F.col("id"), "was": F.lit(False)})
     rest = stored(rest, "band-members")
     links = tested = None
-    centres = 1
+    centres, most = 1, [1, 4]
     while links is None or not rest.isEmpty():
         # Members of small groups are all centres. Drawn by the hash of the id, a centre is one in all keys and later rounds.
         centre = F.col("was") | (F.col("id") == F.col("end")) | (F.col("n") <= max(centres, _FEW))
@@ -280,17 +284,26 @@ def _verified(texts: DataFrame, members: DataFrame, words: int, similarity: floa
         pairs = pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        # A list holds one centre for each key of a member at most.
+        part = most.pop(0) if most else None
+        if part is not None:
+            own = pairs.groupBy("a").agg(F.slice(F.array_sort(F.collect_set("b")), 1, part).alias("some"))
+            pairs = own.select("a", F.explode("some").alias("b"))
         pairs = stored(pairs, "candidates")
         passed = stored(similar_links(texts, pairs, words, similarity).distinct(), "similar")
         tested = pairs if tested is None else tested.union(pairs)
         links = passed if links is None else links.union(passed)
         labels = connected_components(links).withColumnRenamed("node", "id").withColumnRenamed("label", "_label")
-        now = now.join(labels, "id", "left").withColumns({"label": F.coalesce("_label", "id"), "was": F.col("centre")})
+        was = F.col("centre") if part is None else F.col("was")
+        now = now.join(labels, "id", "left").withColumns({"label": F.coalesce("_label", "id"), "was": was})
         now = now.select(rest.columns)
         apart = now.where("NOT was").groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
         last, rest = rest, stored(now.join(apart.select("key"), "key", "left_semi"), "band-members")
         forget(last)
-        centres *= 8
+        if part is None:
+            centres *= 8
+    forget(groups)
+    forget(rest)
     return links
 
 
