@@ -260,8 +260,8 @@ def _verified(texts: DataFrame, members: DataFrame, words: int, similarity: floa
     not yet connected to a centre are tested against it. A key is done when its members that never were centres are all
     connected, so in the end each pair of a key is connected or has been tested. Centres grow eightfold from one.
 
-    The first centres are worked off in three rounds: each member is tested against the smallest of its keys' centres, then
-    against four, then against the rest. Members of one group mostly share their smallest centre, so the first round
+    The first centres are worked off in two rounds: each member is tested against the smallest of its keys' centres, then
+    against the rest. Members of one group mostly share their smallest centre, so the first round
     connects them and a large group costs a pair for each member and not for each member and key.
     """
     groups = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("end"), F.max("id").alias("last"))
@@ -269,7 +269,7 @@ def _verified(texts: DataFrame, members: DataFrame, words: int, similarity: floa
     rest = members.join(groups, "key").withColumns({"label": F.col("id"), "was": F.lit(False)})
     rest = stored(rest, "band-members")
     links = tested = None
-    centres, most = 1, [1, 4]
+    centres, most = 1, [1]
     while links is None or not rest.isEmpty():
         # Members of small groups are all centres. Drawn by the hash of the id, a centre is one in all keys and later rounds.
         centre = F.col("was") | (F.col("id") == F.col("end")) | (F.col("n") <= max(centres, _FEW))
