@@ -177,11 +177,11 @@ def _counted(lang: str, length: int, phrases: list[bytes], slots: np.ndarray, co
 
 def _add_slots(counted: DataFrame, totals: list[np.ndarray], threshold: int) -> None:
     """Add a step's counts to the slots' totals, which stop at *threshold*. Eight slots come to the driver in one row."""
-    total = F.least(F.sum("count"), F.lit(threshold))
-    slots = counted.groupBy("words", "slot").agg(total.alias("total"))
-    packed = slots.groupBy("words", F.expr("slot >> 3").alias("eight")).agg(
-        F.bit_or(F.expr("shiftleft(total, (slot & 7) * 8)")).alias("packed")
-    )
+    # One sum for each of the eight, so that a single shuffle of sums does.
+    sums = [F.sum(F.expr(f"IF((slot & 7) = {i}, count, 0)")).alias(f"s{i}") for i in range(8)]
+    parts = " | ".join(f"shiftleft(least(s{i}, {threshold}), {8 * i})" for i in range(8))
+    packed = counted.groupBy("words", F.expr("slot >> 3").alias("eight")).agg(*sums)
+    packed = packed.select("words", "eight", F.expr(parts).alias("packed"))
     rows = packed.toArrow()
     words, eight = rows["words"].to_numpy(), rows["eight"].to_numpy()
     parts = np.ascontiguousarray(rows["packed"].to_numpy(), "<i8").view(np.uint8).reshape(-1, 8)
