@@ -12,10 +12,10 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.functions.basics import let, order_hash, word_count, words
+from chatloom.functions.basics import hash_bucket, let, order_hash, word_count, words
 from chatloom.operators.templates import segments_text
 
 IGNORED = -100  # fixed value: label of a token that is not trained on
@@ -285,6 +285,35 @@ def order_by_length(df: DataFrame, n_tokens: Column, width: int, seed: int, key:
     )
 
 
+def number_by_length(df: DataFrame, n_tokens: Column, width: int, seed: int, key: Sequence[str]) -> DataFrame:
+    """The order of :func:`order_by_length` as numbers: adds ``length_bucket`` and ``position`` from 0, without gaps.
+
+    Rows are counted by length bucket and the first 16 bits of their order hash; sums of these counts tell where such a
+    cell starts, and rows are ranked inside their cell. So neither a sort of all rows is needed nor a task for a whole
+    length bucket, even if most rows have one length. Rows of equal *key* in a length bucket are ordered by content. A
+    NULL length is a bucket of its own, the first one. Columns of the names used here are replaced.
+    """
+    content = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in df.columns])
+    rows = df.withColumns({"length_bucket": length_bucket(n_tokens, width), "_ties": content})
+    rows = rows.withColumn("_order", order_hash(seed, *[F.col(k) for k in key]))
+    rows = rows.withColumn("_cell", hash_bucket(F.col("_order")))
+    counts = rows.groupBy("length_bucket", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("length_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("length_bucket").agg(F.sum("_n").alias("_n"))
+    totals = totals.select("length_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shorter"))
+    inside = Window.partitionBy("length_bucket").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = counts.select("length_bucket", "_cell", F.coalesce(F.sum("_n").over(inside), F.lit(0)).alias("_earlier"))
+    same = cells["length_bucket"].eqNullSafe(totals["length_bucket"])
+    starts = cells.join(totals, same).select(
+        cells["length_bucket"].alias("_length"), F.col("_cell").alias("_at"), (F.col("_shorter") + F.col("_earlier")).alias("_first")
+    )
+    rank = Window.partitionBy("length_bucket", "_cell").orderBy("_order", "_ties")
+    ranked = rows.withColumn("_rank", F.row_number().over(rank))
+    placed = ranked.join(starts, F.col("length_bucket").eqNullSafe(F.col("_length")) & (F.col("_cell") == F.col("_at")))
+    position = (F.col("_first") + F.col("_rank") - 1).alias("position")
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("length_bucket", "position")], "length_bucket", position)
+
+
 # -- previews -----------------------------------------------------------------------
 
 

@@ -221,6 +221,20 @@ def test_order_by_length(spark):
     assert [r.id for r in rows] != [r.id for r in other] and sorted(r.id for r in rows) == list(range(100))
 
 
+def test_number_by_length(spark):
+    df = spark.range(200).select((F.col("id") % 150).alias("id"), (F.col("id") % 47).alias("n"), F.lit("x").alias("position"))
+    df = df.union(spark.sql("SELECT 7L, CAST(NULL AS BIGINT), 'y'"))
+    ordered = k.order_by_length(df, F.col("n"), 10, 1, ["id"]).collect()
+    numbered = k.number_by_length(df.repartition(5), F.col("n"), 10, 1, ["id"])
+    assert numbered.columns == ["id", "n", "length_bucket", "position"]
+    numbered = sorted(numbered.collect(), key=lambda r: r.position)
+    assert [r.position for r in numbered] == list(range(201)) and numbered[0].length_bucket is None
+    assert [(r.length_bucket, r.id) for r in numbered] == [(r.length_bucket, r.id) for r in ordered]
+    again = k.number_by_length(df.repartition(3), F.col("n"), 10, 1, ["id"]).collect()
+    assert sorted(again, key=lambda r: r.position) == numbered  # rows of one key too
+    assert k.number_by_length(df.where("n < 0"), F.col("n"), 10, 1, ["id"]).count() == 0
+
+
 # -- previews ------------------------------------------------------------------------------
 
 

@@ -269,6 +269,16 @@ def order_by_length(spark, sf_dir):
     return rows.select("id", "length_bucket")
 
 
+@query(
+    "number_by_length",
+    f"""WITH {DOC_COUNTS} SELECT id, CAST(n // 64 AS BIGINT) AS length_bucket,
+  row_number() OVER (ORDER BY n // 64, md5(concat_ws(':', {SEED}, id))) - 1 AS position FROM counts""",
+)
+def number_by_length(spark, sf_dir):
+    rows = k.number_by_length(_doc_counts(spark, sf_dir), F.col("n"), 64, SEED, ["id"])
+    return rows.select("id", "length_bucket", "position")
+
+
 @query(
     "dataset_facts",
     "SELECT count(*) AS n_rows, 'id, text, lang, source, n_chars' AS columns FROM documents",
