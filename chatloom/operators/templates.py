@@ -45,7 +45,8 @@ class RenderOptions:
 class Turns:
     """The message column with its element type, and the printed tool list.
 
-    ``tools_text`` is NULL when no list is given; ``has_tools`` tells a list with entries.
+    ``tools_text`` is NULL when no list is given; ``has_tools`` tells a list with entries. ``call_texts`` and
+    ``other_calls`` hold, by turn and call, what was printed ahead of the template.
     """
 
     column: Column
@@ -53,6 +54,7 @@ class Turns:
     call_texts: Column | None = None
     tools_text: Column | None = None
     has_tools: Column | None = None
+    other_calls: Column | None = None
 
     def has(self, name: str) -> bool:
         return name in self.element.fieldNames()
@@ -123,16 +125,21 @@ def render_segments(
     on_bad_row: str = "fail",
     messages: str = "messages",
 ) -> DataFrame:
-    """Add ``segments``. Chats that the template cannot render fail the job or, with ``'drop'``, go."""
-    check_policy(on_bad_row)
+    """Add ``segments``. Chats that the template cannot render fail the job or, with ``'drop'``, go.
+
+    With ``'null'`` they stay and have no segments, so that a preview can say so.
+    """
+    if on_bad_row != "null":
+        check_policy(on_bad_row)
     template = get_template(template) if isinstance(template, str) else template
     options = options or RenderOptions()
     element = df.schema[messages].dataType.elementType
-    call_texts = None
+    call_texts = other_calls = None
     if template.prints_arguments:
         df, call_texts = _with_call_texts(df, messages, element)
+        df, other_calls = _with_other_calls(df, messages, element)
     df, tools_text, has_tools = _with_tools(df, template, options)
-    turns = Turns(F.col(messages), element, call_texts, tools_text, has_tools)
+    turns = Turns(F.col(messages), element, call_texts, tools_text, has_tools, other_calls)
     segments = template.segments(turns, options).cast(SEGMENT_TYPE)
 
     def broken(built: Column) -> Column:
@@ -142,12 +149,14 @@ def render_segments(
         # One-element explode, not a filter: see shaping.sft_filter.
         good = F.filter(F.array(segments), lambda built: ~broken(built))
         out = df.select("*", F.explode(good).alias("segments"))
+    elif on_bad_row == "null":
+        out = df.withColumn("segments", let(segments, lambda built: F.when(~broken(built), built)))
     else:
         message = f"a chat cannot be rendered with template '{template.name}'"
         out = df.withColumn(
             "segments", let(segments, lambda built: fail_when(broken(built), message, built))
         )
-    return out.drop("_call_texts", "_tools")
+    return out.drop("_call_texts", "_other_calls", "_tools")
 
 
 def segments_text(segments: Column | str = "segments") -> Column:
@@ -337,24 +346,14 @@ def _olmo3(train: bool) -> Callable[[Turns, RenderOptions], Column]:
 
 
 def _tool_calls(turns: Turns, m: Column, i: Column) -> Column:
-    """``name(k=<json>, ...)`` per call, one per line; a call that is text is printed as it is."""
+    """``name(k=<json>, ...)`` per call, a line break after each but the last; any other call is printed as it is."""
     if not turns.has("tool_calls"):
         return F.lit("")
     calls = m["tool_calls"]
     element = turns.type_of("tool_calls").elementType
     if isinstance(element, T.StructType):
-        call_type = element["function"].dataType
-        args_type = call_type["arguments"].dataType
-
-        def arguments(call: Column, k: Column) -> Column:
-            if turns.call_texts is not None:
-                return F.get(F.get(turns.call_texts, i), k)
-            return call_arguments(call["function"]["arguments"], args_type)
-
-        printed = F.transform(
-            calls, lambda call, k: _single(call["function"]["name"], "(", arguments(call, k), ")")
-        )
-        lines = join_all(printed, "\n")
+        printed = F.transform(calls, lambda call, k: _tool_call(turns, element, calls, call, i, k))
+        lines = join_all(printed, "")
     else:
         lines = F.array_join(calls.cast("array<string>"), "")
     return F.when(
@@ -362,6 +361,19 @@ def _tool_calls(turns: Turns, m: Column, i: Column) -> Column:
     ).otherwise(F.lit(""))
 
 
+def _tool_call(turns: Turns, element: T.StructType, calls: Column, call: Column, i: Column, k: Column) -> Column:
+    other = F.get(F.get(turns.other_calls, i), k)
+    if "function" not in element.fieldNames():
+        return other
+    if turns.call_texts is not None:
+        arguments = F.get(F.get(turns.call_texts, i), k)
+    else:
+        arguments = call_arguments(call["function"]["arguments"], element["function"].dataType["arguments"].dataType)
+    line_break = F.when(k < F.size(calls) - 1, F.lit("\n")).otherwise(F.lit(""))
+    named = _single(call["function"]["name"], "(", arguments, ")", line_break)
+    return F.when(call["function"].isNull(), other).otherwise(named)
+
+
 def _instruct(turns: Turns, options: RenderOptions) -> Column:
     listed = _single("<functions>", turns.tools_text, "</functions>")
     default = F.when(
@@ -442,9 +454,12 @@ def _with_call_texts(df: DataFrame, messages: str, element: T.StructType) -> tup
         import json as json_module
 
         def one(text):
-            if text is None:
+            try:
+                fields = json_module.loads(text)
+            except (TypeError, ValueError, RecursionError):
+                return None  # a chat that cannot be rendered
+            if not isinstance(fields, dict):
                 return None
-            fields = json_module.loads(text)
             return ", ".join(f"{k}={json_module.dumps(v, ensure_ascii=False)}" for k, v in fields.items())
 
         rows = [
@@ -459,6 +474,54 @@ def _with_call_texts(df: DataFrame, messages: str, element: T.StructType) -> tup
     return df.withColumn("_call_texts", printed(texts)), F.col("_call_texts")
 
 
+def _as_python(value, kind: pa.DataType):
+    """An Arrow value with mappings as dicts all the way down."""
+    if value is None:
+        return None
+    if pa.types.is_struct(kind):
+        return {kind.field(n).name: _as_python(value[kind.field(n).name], kind.field(n).type) for n in range(kind.num_fields)}
+    if pa.types.is_map(kind):
+        return {k: _as_python(v, kind.item_type) for k, v in value}
+    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        return [_as_python(v, kind.value_type) for v in value]
+    return value
+
+
+def _with_other_calls(df: DataFrame, messages: str, element: T.StructType) -> tuple[DataFrame, Column | None]:
+    """Print calls that are mappings without a function as Python prints a mapping.
+
+    Python's quoting has no native form, so these calls, and no others, go through an Arrow batch.
+    """
+    if "tool_calls" not in element.fieldNames():
+        return df, None
+    call = element["tool_calls"].dataType.elementType
+    if not isinstance(call, T.StructType):
+        return df, None
+
+    @F.arrow_udf("array<array<string>>")
+    def printed(batch: pa.Array) -> pa.Array:
+        kind = batch.type.value_type.value_type
+        rows = [
+            None
+            if turns is None
+            else [
+                None if calls is None else [None if c is None else str(_as_python(c, kind)) for c in calls]
+                for calls in turns
+            ]
+            for turns in batch.to_pylist()
+        ]
+        return pa.array(rows, pa.list_(pa.list_(pa.string())))
+
+    def others(m: Column) -> Column:
+        if "function" not in call.fieldNames():
+            return m["tool_calls"]
+        # Calls with a function are left out; a turn without other calls sends nothing.
+        other = F.exists(m["tool_calls"], lambda c: c["function"].isNull())
+        return F.when(other, F.transform(m["tool_calls"], lambda c: F.when(c["function"].isNull(), c)))
+
+    return df.withColumn("_other_calls", printed(F.transform(messages, others))), F.col("_other_calls")
+
+
 register_template(Template("chatml", _chatml))
 register_template(Template("tulu3", _tulu3))
 register_template(Template("olmo3", _olmo3(False)))

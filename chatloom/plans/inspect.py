@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.mixing import KEY, Source
 from chatloom.operators.shaping import apply_transform, first_message_list
-from chatloom.operators.templates import RenderOptions, render, render_segments
+from chatloom.operators.templates import RenderOptions, render_segments, segments_text
 from chatloom.operators.tokens import (
     WORDS,
     FileTokenizer,
@@ -20,6 +20,10 @@ from chatloom.operators.tokens import (
 )
 from chatloom.plans.prepare import read_source
 
+#: What a preview shows instead of a text.
+NO_CHAT = "<no chat in this row>"
+NOT_RENDERED = "<ERROR: template '{}' cannot render this chat>"
+
 STAGES = ("raw", "transformed", "formatted", "tokens", "facts", "lengths")
 
 
@@ -37,7 +41,9 @@ def inspect_source(
 ) -> DataFrame:
     """One inspection stage of one dataset; the row key gives the order.
 
-    The first *n* rows are picked before anything is rendered, so a preview costs a preview.
+    The first *n* rows are picked before anything is rendered, so a preview costs a preview. The stage ``'formatted'`` has
+    a line for each of them: where a chat cannot be rendered, or a row has no chat, the text says so. ``'tokens'`` and
+    ``'lengths'`` pass over such rows.
     """
     if stage not in STAGES:
         raise ValueError(f"Unknown stage '{stage}'. Available: {', '.join(STAGES)}")
@@ -54,9 +60,13 @@ def inspect_source(
         first = apply_transform(first, source.transform, on_bad_row="drop", carry=carry)
     if stage == "transformed":
         return preview_rows(first.drop(KEY), n)
-    chats = first.withColumn("messages", first_message_list(first)).where(F.col("messages").isNotNull())
+    chats = first.withColumn("messages", first_message_list(first))
     if stage == "formatted":
-        return render(chats, template, options, "drop").select(KEY, "text")
+        shown = render_segments(chats, template, options, "null")
+        broken = F.when(F.col("messages").isNull(), F.lit(NO_CHAT)).otherwise(F.lit(NOT_RENDERED.format(template)))
+        text = F.when(F.col("segments").isNotNull() & F.col("messages").isNotNull(), segments_text()).otherwise(broken)
+        return shown.select(KEY, text.alias("text"))
+    chats = chats.where(F.col("messages").isNotNull())
     segments = render_segments(chats, template, options, "drop").select(KEY, "segments")
     if stage == "tokens":
         return preview_tokens(tokenize(segments, tokenizer), KEY, rows=n)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+import hashlib
+import json
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, fields, is_dataclass
+from inspect import Parameter, signature
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +29,7 @@ from chatloom.operators.registry import get_transform
 from chatloom.operators.shaping import apply_transform, dpo_filter, keep_columns, sft_filter
 from chatloom.operators.templates import RenderOptions, render_segments, require_markers, train_last_turn_only
 from chatloom.operators.tokens import WORDS, FileTokenizer, segment_word_count, tokenize
-from chatloom.sources.readers import load_dataset, write_prepared
+from chatloom.sources.readers import load_dataset, read_prepared, stored_fingerprint, write_prepared
 
 RowFilter = Callable[[DataFrame], DataFrame] | Column
 
@@ -174,7 +177,51 @@ class Prepared:
     fingerprint: str
 
     def write(self, out: str) -> None:
-        write_prepared(self.rows, self.manifest, out)
+        """Store rows, manifest and fingerprint, see :func:`~chatloom.sources.readers.write_prepared`."""
+        write_prepared(self.rows, self.manifest, out, self.fingerprint)
+
+
+def settings_fingerprint(mix: Mix, settings: Mapping[str, object]) -> str:
+    """Names all that decides what a prepared set holds: the mix in the order given, with every field, and the settings.
+
+    A tokenizer file counts by its content. A column is named by its expression and a function by its module and name, so
+    a function that changes inside keeps its fingerprint.
+    """
+
+    def plain(value):
+        if is_dataclass(value) and not isinstance(value, type):
+            return {f.name: plain(getattr(value, f.name)) for f in fields(value)}
+        if isinstance(value, Mapping):
+            return {str(k): plain(v) for k, v in value.items()}
+        if isinstance(value, (list, tuple)):
+            return [plain(v) for v in value]
+        if callable(value) and hasattr(value, "__qualname__"):
+            return f"{value.__module__}.{value.__qualname__}"
+        return value if isinstance(value, (str, int, float, bool, type(None))) else str(value)
+
+    text = json.dumps([plain(mix), plain(settings)], sort_keys=True)
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+def prepare_once(spark: SparkSession, mix: Mix, out: str, prepare: Callable[..., Prepared] | None = None, **settings) -> Prepared:
+    """The prepared set in *out*; prepared by *prepare* (:func:`prepare_sft` if not given) and stored there if it is not there yet.
+
+    The same mix and settings are found again and only read. A folder that holds another set is refused, and so is one
+    that holds no whole set. The settings that only say how the work is done (``partitions``, ``staging``, ``read``) do not
+    count. Data that changes under the same path is not noticed.
+    """
+    prepare = prepare or prepare_sft
+    # Settings left out count with their defaults.
+    defaults = {k: p.default for k, p in signature(prepare).parameters.items() if p.default is not Parameter.empty}
+    counted = {k: v for k, v in {**defaults, **settings}.items() if k not in ("partitions", "staging", "read")}
+    fingerprint = settings_fingerprint(mix, {"prepare": prepare, **counted})
+    found = stored_fingerprint(spark, out)
+    if found is None:
+        made = prepare(spark, mix, **settings)
+        Prepared(made.rows, made.manifest, fingerprint).write(out)
+    elif found != fingerprint:
+        raise FileExistsError(f"'{out}' holds another prepared set ({found}, asked for is {fingerprint}).")
+    return Prepared(*read_prepared(spark, out), fingerprint)
 
 
 def prepare_sft(

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from posixpath import basename
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -236,8 +237,44 @@ def map_tags(
     return df.withColumn("messages", fail_when(unknown, "unknown role tag", mapped, on_bad_row))
 
 
-def write_prepared(rows: DataFrame, manifest: DataFrame | None, out: str) -> None:
-    """Store a prepared set as ``out/data`` and its manifest as ``out/manifest``."""
-    rows.write.mode("errorifexists").parquet(f"{out}/data")
-    if manifest is not None:
-        manifest.coalesce(1).write.mode("errorifexists").parquet(f"{out}/manifest")
+def write_prepared(rows: DataFrame, manifest: DataFrame | None, out: str, fingerprint: str | None = None) -> None:
+    """Store a prepared set as ``out/data``, its manifest as ``out/manifest`` and its *fingerprint* as ``out/fingerprint``.
+
+    Data and manifest are written to a folder beside *out* that gets its name when they are whole, so a job that ends
+    half-way leaves no *out*. The fingerprint comes last: also where a rename copies file by file, a set with a fingerprint is
+    whole. An *out* that exists is refused.
+    """
+    spark = rows.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(out)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        raise FileExistsError(f"'{out}' already exists.")
+    unfinished = f"{out.rstrip('/')}.unfinished-{uuid4().hex}"
+    try:
+        rows.write.parquet(f"{unfinished}/data")
+        if manifest is not None:
+            manifest.coalesce(1).write.parquet(f"{unfinished}/manifest")
+        # A rename to a folder that has come up meanwhile would move ours into it.
+        if files.exists(target) or not files.rename(hadoop.Path(unfinished), target):
+            raise FileExistsError(f"'{out}' came up while the set was written.")
+    finally:
+        files.delete(hadoop.Path(unfinished), True)
+    if fingerprint is not None:
+        spark.createDataFrame([(fingerprint,)], "fingerprint string").coalesce(1).write.parquet(f"{out}/fingerprint")
+
+
+def stored_fingerprint(spark: SparkSession, out: str) -> str | None:
+    """The fingerprint of the prepared set in *out*, or None where nothing is; a folder without one is refused."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(out).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(hadoop.Path(out)):
+        return None
+    if not files.exists(hadoop.Path(f"{out}/fingerprint/_SUCCESS")):
+        raise FileExistsError(f"'{out}' exists and holds no whole prepared set.")
+    return spark.read.parquet(f"{out}/fingerprint").first()["fingerprint"]
+
+
+def read_prepared(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and manifest of a stored prepared set."""
+    return spark.read.parquet(f"{out}/data"), spark.read.parquet(f"{out}/manifest")

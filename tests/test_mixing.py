@@ -20,7 +20,15 @@ from chatloom.operators.mixing import (
 )
 from chatloom.operators.registry import register_transform, transform_names
 from chatloom.operators.shaping import sft_filter
-from chatloom.plans.prepare import prepare_mix, prepare_preferences, prepare_sft, read_source, row_outcomes
+from chatloom.plans.prepare import (
+    prepare_mix,
+    prepare_once,
+    prepare_preferences,
+    prepare_sft,
+    read_source,
+    row_outcomes,
+    settings_fingerprint,
+)
 
 MSG = "array<struct<role:string,content:string>>"
 
@@ -320,3 +328,37 @@ def test_many_copies_of_a_row_without_key(spark, monkeypatch):
     again = sample_exact(rows.repartition(7), 300, 5)
     assert sample.count() == 300
     assert sorted(map(str, sample.collect())) == sorted(map(str, again.collect()))
+
+
+def test_a_prepared_set_is_found_again(spark, tmp_path):
+    dataset(spark, "a", 9).drop("source").write.parquet(str(tmp_path / "a" / "train"))
+    mix = Mix([Source("a", str(tmp_path / "a"))], 1, "olmo3-think-sft")
+    out, calls = str(tmp_path / "out"), []
+
+    def counted(spark, mix, max_length=64, packing="wrap", **more):
+        calls.append(max_length)
+        return prepare_sft(spark, mix, max_length=max_length, packing=packing, **more)
+
+    first = prepare_once(spark, mix, out, counted, max_length=64)
+    again = prepare_once(spark, mix, out, counted, partitions=2)
+    assert calls == [64] and first.fingerprint == again.fingerprint
+    assert again.rows.count() == first.rows.count() > 0
+    assert [tuple(r) for r in again.manifest.collect()] == [("a", 1.0, 9, 9)]
+    with pytest.raises(FileExistsError, match="another prepared set"):
+        prepare_once(spark, mix, out, counted, max_length=32)
+    with pytest.raises(FileExistsError, match="another prepared set"):
+        prepare_once(spark, Mix(mix.sources, 2, mix.chat_template), out, counted)
+    assert calls == [64]
+
+
+def test_settings_fingerprint():
+    mix = Mix([Source("a", "q", 0.5), Source("b", "q")])
+    name = settings_fingerprint(mix, {"x": 1, "f": target_rows})
+    assert name == settings_fingerprint(Mix(tuple(mix.sources)), {"f": target_rows, "x": 1})
+    others = [
+        settings_fingerprint(Mix(mix.sources[::-1]), {"x": 1, "f": target_rows}),
+        settings_fingerprint(mix, {"x": 2, "f": target_rows}),
+        settings_fingerprint(mix, {"x": 1, "f": cap_rows}),
+        settings_fingerprint(Mix(mix.sources, 3), {"x": 1, "f": target_rows}),
+    ]
+    assert len({name, *others}) == 5

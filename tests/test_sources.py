@@ -3,7 +3,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.sources.readers import list_splits, load_dataset, map_tags, read_files, write_prepared
+from chatloom.sources.readers import (
+    list_splits,
+    load_dataset,
+    map_tags,
+    read_files,
+    read_prepared,
+    stored_fingerprint,
+    write_prepared,
+)
 
 ROWS = [{"q": "one", "n": 1}, {"q": 'two "quoted"\nlines, here', "n": 2}]
 
@@ -98,6 +106,20 @@ def test_sink(spark, tmp_path):
         write_prepared(spark.range(3), None, out)
 
 
+def test_sink_leaves_nothing_half_written(spark, tmp_path):
+    out = str(tmp_path / "out")
+    broken = spark.range(3).select(F.expr("if(id = 2, raise_error('no'), id)").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_prepared(broken, spark.range(1), out, "f")
+    assert list(tmp_path.iterdir()) == [] and stored_fingerprint(spark, out) is None
+    write_prepared(spark.range(3), spark.range(1), out, "f")
+    assert stored_fingerprint(spark, out) == "f"
+    assert [df.count() for df in read_prepared(spark, out)] == [3, 1]
+    write_prepared(spark.range(3), spark.range(1), f"{out}2")
+    with pytest.raises(FileExistsError, match="no whole prepared set"):
+        stored_fingerprint(spark, f"{out}2")
+
+
 def test_split_words(spark, tmp_path):
     for i, name in enumerate(["data/train-00000.jsonl", "data/test-00000.jsonl", "b/train_sft.jsonl", "b/test_sft.jsonl", "c/part-0.jsonl"]):
         path = tmp_path / ("a/" + name if name.startswith("data") else name)

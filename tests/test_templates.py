@@ -183,6 +183,34 @@ def test_tool_calls_as_json_text(spark):
     assert got.endswith('<function_calls>f(b=[1, {"z": null}], a="é", n=1e+20)</function_calls></s>')
 
 
+def test_calls_without_a_function(spark):
+    flat = "array<struct<role:string,content:string,tool_calls:array<struct<name:string,arguments:map<string,array<int>>>>>>"
+    calls = [("it's", {"x": [1, None]}), ('a "b"\n', None)]
+    printed = [{"name": "it's", "arguments": {"x": [1, None]}}, {"name": 'a "b"\n', "arguments": None}]
+    got = text(spark, "olmo3-instruct-sft", [("user", "u", None), ("assistant", None, calls)], flat)
+    assert got.endswith(f"assistant\n<function_calls>{printed[0]}{printed[1]}</function_calls></s>")
+    mixed = "array<struct<role:string,content:string,tool_calls:array<struct<id:int,function:struct<name:string,arguments:string>>>>>"
+    calls = [(1, ("f", "{}")), (2, None), (3, ("g", '{"k": 1}')), (4, None)]
+    got = text(spark, "olmo3-instruct-sft", [("assistant", "c", calls)], mixed)
+    other = [str({"id": i, "function": None}) for i in (2, 4)]
+    assert got.endswith(f"c<function_calls>f()\n{other[0]}g(k=1)\n{other[1]}</function_calls></s>")
+    refuses(spark, "olmo3-instruct-sft", [("assistant", "c", [None])], mixed)
+
+
+@pytest.mark.parametrize("arguments", ["{broken", "[1]", "3", "null", "", "[" * 100_000])
+def test_broken_call_arguments_make_a_bad_row(spark, arguments):
+    schema = "array<struct<role:string,content:string,tool_calls:array<struct<function:struct<name:string,arguments:string>>>>>"
+    refuses(spark, "olmo3-instruct-sft", [("assistant", "c", [(("f", arguments),)])], schema)
+
+
+def test_unrenderable_chats_can_stay(spark):
+    df = spark.createDataFrame([(1, [("user", "a")]), (2, [("user", None)])], f"id int, messages {MSG}")
+    rows = {r.id: r.segments for r in t.render_segments(df, "tulu3", OPTIONS, "null").collect()}
+    assert rows[1][0].text == "<|user|>\na\n" and rows[2] is None
+    with pytest.raises(ValueError, match="on_bad_row"):
+        t.render_segments(df, "tulu3", OPTIONS, "keep")
+
+
 def test_json_text_is_pythons(spark):
     schema = "s string, d double, i bigint, b boolean, a array<double>, m map<string,array<string>>, r struct<x:int,y:string>"
     rows = [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.basics import SPACE_CHARS, py_strip, scan_states, word_count, words
 from chatloom.operators import templates as t
 from chatloom.operators import tokens as k
-from chatloom.operators.mixing import Source, number_rows
+from chatloom.operators.mixing import Source, number_rows, with_row_key
 from chatloom.operators.packing import pack_best_fit, pack_wrap
 from chatloom.plans.inspect import inspect_source
 from workload.token_queries import byte_tokenizer
@@ -268,3 +268,14 @@ def test_inspection_stages(spark, tmp_path):
     assert stage("lengths", tokenizer=byte_tokenizer()).first().sampled_rows == 20
     with pytest.raises(ValueError, match="Unknown stage"):
         stage("nope")
+
+
+def test_inspection_shows_what_cannot_be_rendered(spark):
+    chats = "array<struct<role:string,content:string>>"
+    rows = [(1, [("user", "a")]), (2, [("user", None)]), (3, None), (4, [("user", "b")])]
+    df = spark.createDataFrame(rows, f"id int, messages {chats}")
+    source = Source("a", "unused", key=("id",))
+    shown = inspect_source(spark, source, "formatted", template="tulu3", options=t.RenderOptions(), read=lambda s, x: with_row_key(df, ["id"]))
+    assert [r.text for r in shown.orderBy("_row_key").collect()] == [
+        "<|user|>\na\n", "<ERROR: template 'tulu3' cannot render this chat>", "<no chat in this row>"
+    ]

@@ -8,12 +8,13 @@ from functools import cache
 from pyspark.sql import functions as F
 
 from chatloom.functions.basics import word_count
+from chatloom.functions.folders import new_path
 from chatloom.operators import templates as t
 from chatloom.operators import tokens as k
 from chatloom.operators.mixing import Mix, Source, number_rows, with_row_key
 from chatloom.operators.packing import pack_best_fit, pack_wrap
 from chatloom.plans.inspect import inspect_source
-from chatloom.plans.prepare import count_tokens, mix_token_stats, prepare_dpo, prepare_sft
+from chatloom.plans.prepare import count_tokens, mix_token_stats, prepare_dpo, prepare_once, prepare_sft
 from workload import shapes
 from workload.mix_queries import SEED
 from workload.template_queries import NO_FUNCTIONS, OPTIONS, THINK_SYSTEM, olmo_segments
@@ -401,22 +402,35 @@ def prepare_sft_rows(spark, sf_dir):
     )
 
 
-@query(
-    "prepare_sft",
-    f"""{SEGMENTS}, {CHAT_WORDS}, {FACTS}, {SFT_ORDER},
+PACKED_CHATS = f"""{SEGMENTS}, {CHAT_WORDS}, {FACTS}, {SFT_ORDER},
 stream AS (
   SELECT token, train, row_number() OVER (ORDER BY position, turn, part, word_no) - 1 AS place
   FROM mixed JOIN tokens USING (id))
 SELECT CAST(place // 256 AS BIGINT) AS bin, count(*) AS n_tokens, CAST(sum(token * (place % 256 + 1)) AS BIGINT) AS weighted_sum,
   count(*) FILTER (train) AS n_trained
-FROM stream GROUP BY ALL""",
-)
+FROM stream GROUP BY ALL"""
+
+
+@query("prepare_sft", PACKED_CHATS)
 def prepare_sft_query(spark, sf_dir):
-    packed = prepare_sft_rows(spark, sf_dir).rows
+    return _packed_chats(prepare_sft_rows(spark, sf_dir).rows)
+
+
+def _packed_chats(packed):
     trained = F.size(F.filter("labels", lambda x: x != k.IGNORED)).cast("bigint")
     return packed.select("bin", *_weighted("input_ids"), trained.alias("n_trained"))
 
 
+@query("prepare_once", PACKED_CHATS)
+def prepare_once_query(spark, sf_dir):
+    """The set of ``prepare_sft``, stored under its fingerprint and found again by it."""
+    mix = Mix(_SFT_SOURCES, SEED, "olmo3-think-sft")
+    settings = {"options": OPTIONS, "max_length": 256, "read": lambda s, source: _read_by_opening(s, source, sf_dir)}
+    out = new_path(spark, "prepared")
+    prepare_once(spark, mix, out, **settings)
+    return _packed_chats(prepare_once(spark, mix, out, **settings).rows)
+
+
 @query(
     "count_mix_tokens",
     f"""{SEGMENTS}, {CHAT_WORDS}, {FACTS}, {SFT_ORDER}
