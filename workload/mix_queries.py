@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chatloom.functions.folders import new_path
 from chatloom.functions.turns import flatten_turns, merge_turns
-from chatloom.operators.mixing import Mix, Part, Source, mix_parts, number_rows, sample_exact, with_row_key
+from chatloom.operators.mixing import (
+    Mix,
+    Part,
+    Source,
+    check_weights,
+    mix_parts,
+    number_rows,
+    sample_exact,
+    with_row_key,
+)
 from chatloom.operators.registry import get_transform, register_transform, transform_names
 from chatloom.operators.shaping import (
     apply_transform,
@@ -141,6 +151,73 @@ def load_split(spark, sf_dir):
     return load_dataset(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
 
 
+@query(
+    "read_csv_and_json",
+    """SELECT 'csv' AS format, doc_id AS id, text, lang FROM documents
+UNION ALL SELECT 'json', doc_id, text, lang FROM documents""",
+)
+def read_csv_and_json(spark, sf_dir):
+    """Texts with line breaks and quotes through CSV, and through a folder that has JSON lists beside JSON lines."""
+    docs = shapes.documents(spark, sf_dir).select("id", "text", "lang")
+    out, schema = new_path(spark, "formats"), "id bigint, text string, lang string"
+    cells = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.write.options(**cells).csv(f"{out}/cells.csv")
+    # Lists of at most a thousand documents, each in a file of its own.
+    listed = docs.where("lang <> 'en'").groupBy(F.expr("id div 1000").alias("n"))
+    lists = listed.agg(F.to_json(F.collect_list(F.struct("id", "text", "lang"))).alias("value"))
+    lists.select("value").write.option("maxRecordsPerFile", 1).text(f"{out}/mixed.json")
+    docs.where("lang = 'en'").write.mode("append").json(f"{out}/mixed.json")
+    frames = [
+        load_dataset(spark, f"{out}/{name}", schema=schema).select(F.lit(kind).alias("format"), "id", "text", "lang")
+        for name, kind in (("cells.csv", "csv"), ("mixed.json", "json"))
+    ]
+    return frames[0].union(frames[1])
+
+
+@query(
+    "read_text_lines",
+    """SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY line""",
+)
+def read_text_lines(spark, sf_dir):
+    out = new_path(spark, "lines") + "/lines.txt"
+    shapes.documents(spark, sf_dir).select("text").write.text(out)
+    return load_dataset(spark, out).groupBy(F.col("text").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "load_split_words",
+    """SELECT CASE lang WHEN 'de' THEN 'test' ELSE 'train' END AS split, doc_id AS id, lang FROM documents
+WHERE lang IN ('en', 'fr', 'de')""",
+)
+def load_split_words(spark, sf_dir):
+    """``train`` reads all folders named for training data and none that is named for tests."""
+    docs = shapes.documents(spark, sf_dir).select("id", "lang")
+    out = new_path(spark, "splits")
+    for folder, lang in (("train_sft", "en"), ("train-more", "fr"), ("test_sft", "de"), ("dev", "es")):
+        docs.where(F.col("lang") == lang).write.parquet(f"{out}/{folder}")
+    frames = [load_dataset(spark, out, name).select(F.lit(name).alias("split"), "id", "lang") for name in ("train", "test")]
+    return frames[0].union(frames[1])
+
+
+@query(
+    "refused_weights",
+    """SELECT lang AS dataset, CASE WHEN count(*) < 0.2 * (SELECT count(*) FROM documents) THEN 'weights must be non-negative'
+  ELSE 'fine' END AS verdict FROM documents GROUP BY lang""",
+)
+def refused_weights(spark, sf_dir):
+    """A weight for each language, negative for those with less than a fifth of the rows; one row for each comes to the driver."""
+    counts = {r["lang"]: r["count"] for r in shapes.documents(spark, sf_dir).groupBy("lang").count().collect()}
+
+    def verdict(lang: str) -> str:
+        try:
+            check_weights([Source(lang, "unused", counts[lang] / sum(counts.values()) - 0.2), Source("other", "unused")])
+        except ValueError as refused:
+            return str(refused).rpartition("; ")[2].rstrip(".")
+        return "fine"
+
+    return spark.createDataFrame([(lang, verdict(lang)) for lang in counts], "dataset string, verdict string")
+
+
 @query(
     "shuffle_position",
     f"""SELECT doc_id AS id, row_number() OVER (ORDER BY md5(concat_ws(':', 'shuffle', {SEED},

@@ -326,3 +326,43 @@ SELECT id, {NUMBERED}, text, train AND turn = max(turn) FILTER (train) OVER (PAR
 def mask_last_turn(spark, sf_dir):
     rows = _segments(spark, sf_dir, "olmo3-instruct-sft")
     return _flat_segments(rows.withColumn("segments", t.train_last_turn_only(F.col("segments"))))
+
+
+# -- a template of one's own ----------------------------------------------------------------------
+
+
+def _house(turns: t.Turns, options: t.RenderOptions):
+    def one(m, i):
+        text = F.concat(F.upper(m["role"]), F.lit(": "), m["content"], F.lit("\n"))
+        return F.struct(text.alias("text"), (m["role"] == "assistant").alias("train"), i.cast("int").alias("turn"))
+
+    return F.transform(turns.column, one)
+
+
+@query(
+    "own_template",
+    f"""WITH {TURNS}
+SELECT id, string_agg(upper(role) || ': ' || content || chr(10), '' ORDER BY pos) AS text,
+  count(*) FILTER (role = 'assistant') AS n_trained, true AS marked, false AS unmarked, 1 AS n_refused
+FROM turns GROUP BY id""",
+)
+def own_template(spark, sf_dir):
+    """Registered, found by name, accepted for training by the marks in its text; one without marks is refused."""
+    plain = "{{ messages }}"
+    t.register_template(t.Template("house", _house, source="{% generation %}{{ messages }}{% endgeneration %}"))
+    t.register_template(t.Template("house-plain", _house, source=plain))
+    refused = 0
+    try:
+        t.require_markers("house-plain")
+    except ValueError:
+        refused += 1
+    rows = t.render_segments(shapes.chats(spark, sf_dir), t.require_markers("house"), OPTIONS)
+    trained = F.size(F.filter("segments", lambda x: x["train"])).cast("bigint")
+    return rows.select(
+        "id",
+        t.segments_text().alias("text"),
+        trained.alias("n_trained"),
+        F.lit(t.has_generation_markers(t.get_template("house"))).alias("marked"),
+        F.lit(t.has_generation_markers(plain)).alias("unmarked"),
+        F.lit(refused).alias("n_refused"),
+    )
