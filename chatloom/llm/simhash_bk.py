@@ -231,6 +231,14 @@ def simhash_components(
     return joined.select(F.col("id").alias(id_column), F.col("fp").alias("fingerprint"), "component")
 
 
+def _near_fingerprints(found: DataFrame, radius: int) -> DataFrame:
+    """Links ``(a, b)`` that connect all rows ``(id, fp)`` whose fingerprints differ in at most *radius* bits."""
+    distinct = stored(found.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
+    near = link_fingerprints(distinct.select("fp", F.col("first").alias("id"), F.lit(0).alias("space")), radius)
+    equal = found.join(distinct, "fp").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    return near.union(equal)
+
+
 def similar_links(docs: DataFrame, links: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The *links* ``(a, b)`` between rows of *docs* ``(id, text)`` whose word shingles have that Jaccard similarity."""
 
@@ -253,35 +261,58 @@ def similar_links(docs: DataFrame, links: DataFrame, words: int = 5, similarity:
     return pairs.where(similar("_left", "_right")).select("a", "b")
 
 
-def _verified(texts: DataFrame, members: DataFrame, words: int, similarity: float) -> DataFrame:
+def _verified(
+    texts: DataFrame, members: DataFrame, words: int, similarity: float, links: DataFrame | None = None
+) -> DataFrame:
     """Links ``(a, b)`` that connect all *members* ``(id, size, key)`` of one key whose texts are similar.
 
-    Only links that passed connect. In each round some members of a key become centres, and all members of the key that are
-    not yet connected to a centre are tested against it. A key is done when its members that never were centres are all
-    connected, so in the end each pair of a key is connected or has been tested. Centres grow eightfold from one.
+    *links* between similar texts may be known; what they connect is not compared again. Only links that passed connect. In
+    each round some members of a key become centres, and all members of the key that are not yet connected to a centre are
+    tested against it. A key is done when its members that never were centres are all connected, so in the end each pair of
+    a key is connected or has been tested. Centres grow eightfold from one. Of the keys that two members share only the
+    least makes them a pair, if *members* has an array ``keys`` of all keys of an id: a pair that is not similar then costs one
+    row and not one for each key.
 
     The first centres are worked off in two rounds: each member is tested against the smallest of its keys' centres, then
     against the rest. Members of one group mostly share their smallest centre, so the first round
     connects them and a large group costs a pair for each member and not for each member and key.
     """
+    if "keys" not in members.columns:
+        members = members.withColumn("keys", F.array("key"))
     groups = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("end"), F.max("id").alias("last"))
     groups = stored(groups.where("end <> last").drop("last"), "band-groups")
-    rest = members.join(groups, "key").withColumns({"label": F.col("id"), "was": F.lit(False)})
-    rest = stored(rest, "band-members")
-    links = tested = None
+
+    def labels_of(links: DataFrame) -> DataFrame:
+        labels = connected_components(links).select(F.col("node").alias("id"), F.col("label").alias("_label"))
+        return stored(labels, "near-labels")
+
+    def open_keys(rows: DataFrame) -> DataFrame:
+        """*rows* with their labels, without the keys whose members, old centres aside, are all connected."""
+        rows = rows.join(labels, "id", "left").withColumn("label", F.coalesce("_label", "id")).drop("_label")
+        apart = rows.where("NOT was").groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        return stored(rows.join(apart.select("key"), "key", "left_semi"), "band-members")
+
+    if links is None:
+        links = texts.sparkSession.createDataFrame([], "a long, b long")
+    labels = labels_of(links)
+    rest = open_keys(members.join(groups, "key").withColumn("was", F.lit(False)))
+    forget(groups)
+    tested = None
     centres, most = 1, [1]
-    while links is None or not rest.isEmpty():
+    while not rest.isEmpty():
         # Members of small groups are all centres. Drawn by the hash of the id, a centre is one in all keys and later rounds.
         centre = F.col("was") | (F.col("id") == F.col("end")) | (F.col("n") <= max(centres, _FEW))
         if centres > 1:
             centre = centre | (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) * F.col("n") < centres * (1 << 30))
         now = rest.withColumn("centre", centre)
         ends = now.where("centre AND NOT was")
-        ends = ends.select("key", F.col("id").alias("b"), F.col("size").alias("_size"), F.col("label").alias("_label"))
-        pairs = now.join(ends, "key").where("id <> b AND label <> _label")
+        ends = ends.select("key", *[F.col(c).alias(f"_{c}") for c in ("id", "size", "keys", "label")])
+        # Of two new centres the larger is on the left; an old one has met all members of the key.
+        pairs = now.where("NOT was").join(ends, "key").where("id <> _id AND label <> _label AND (id > _id OR NOT centre)")
         # Sets that differ more in size are not similar.
         pairs = pairs.where(F.least("size", "_size") >= similarity * F.greatest("size", "_size"))
-        pairs = pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+        pairs = pairs.where(F.array_min(F.array_intersect("keys", "_keys")) == F.col("key"))
+        pairs = pairs.select(F.greatest("id", "_id").alias("a"), F.least("id", "_id").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         # A list holds one centre for each key of a member at most.
@@ -291,18 +322,16 @@ def _verified(texts: DataFrame, members: DataFrame, words: int, similarity: floa
             pairs = own.select("a", F.explode("some").alias("b"))
         pairs = stored(pairs, "candidates")
         passed = stored(similar_links(texts, pairs, words, similarity).distinct(), "similar")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = passed if links is None else links.union(passed)
-        labels = connected_components(links).withColumnRenamed("node", "id").withColumnRenamed("label", "_label")
-        was = F.col("centre") if part is None else F.col("was")
-        now = now.join(labels, "id", "left").withColumns({"label": F.coalesce("_label", "id"), "was": was})
-        now = now.select(rest.columns)
-        apart = now.where("NOT was").groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        last, rest = rest, stored(now.join(apart.select("key"), "key", "left_semi"), "band-members")
+        # Later rounds have new centres; only those of the first come again.
+        tested = pairs if part is not None else None
+        known = labels.where("id <> _label").select(F.col("id").alias("a"), F.col("_label").alias("b"))
+        links = known.union(passed)
+        labels = labels_of(links)
+        now = now.withColumn("was", F.col("centre") if part is None else F.col("was"))
+        last, rest = rest, open_keys(now.select(*members.columns, "n", "end", "was"))
         forget(last)
         if part is None:
             centres *= 8
-    forget(groups)
     forget(rest)
     return links
 
@@ -315,11 +344,14 @@ def near_duplicate_components(
     similarity: float = 0.8,
     bands: int = 32,
     band_rows: int = 5,
+    radius: int = 2,
 ) -> DataFrame:
     """``(id, component)`` of near-duplicate texts: the component is the smallest id of the group.
 
-    Equal texts are one text. Texts that share a key of :func:`shingle_bands` are linked if their *words*-word shingles have
-    a Jaccard similarity of at least *similarity*. Texts without words (NULL, empty, white space) form groups of equal
+    Equal texts are one text. BK-trees find the texts whose SimHashes differ in at most *radius* bits, as in
+    :func:`simhash_components`; a link stays if the *words*-word shingles of both have a Jaccard similarity of at least
+    *similarity*. SimHashes of texts that differ by a run of words lie further apart, and a tree hands on a forest, of which
+    a link may fail that test: so texts not yet connected that share a key of :func:`shingle_bands` are tested as well. Texts without words (NULL, empty, white space) form groups of equal
     texts only. Rows without id get no row. Rows that share an id count as one document.
     """
     rows = df.where(F.col(id_column).isNotNull())
@@ -329,10 +361,11 @@ def near_duplicate_components(
     first = stored(own.groupBy("key").agg(F.min("id").alias("first")), "first-texts")
     once = rows.join(first.select(F.col("first").alias(id_column)).distinct(), id_column, "left_semi")
     texts = once.select(F.col(id_column).alias("id"), text.alias("text")).where(F.trim("text") != "")
-    found = texts.select("id", shingle_bands("text", words, bands, band_rows).alias("found"))
-    members = stored(found.select("id", "found.size", "found.keys"), "shingle-bands")
-    members = members.select("id", "size", F.explode("keys").alias("key"))
-    labels = connected_components(_verified(texts, members, words, similarity))
+    found = texts.select("id", shingle_fingerprint("text").alias("fp"), shingle_bands("text", words, bands, band_rows).alias("found"))
+    found = stored(found.select("id", "fp", "found.size", "found.keys"), "shingle-bands")
+    links = stored(similar_links(texts, _near_fingerprints(found, radius), words, similarity).distinct(), "similar")
+    members = found.select("id", "size", "keys", F.explode("keys").alias("key"))
+    labels = connected_components(_verified(texts, members, words, similarity, links))
     named = first.join(labels.withColumnRenamed("node", "first"), "first", "left")
     named = named.select("key", F.coalesce("label", "first").alias("component"))
     return own.join(named, "key").select(F.col("id").alias(id_column), "component")

@@ -41,6 +41,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id. Rows without id stay.
 
+    Near copies are found by SimHash and BK-trees, then by MinHash bands where those lie too far apart, and all are verified.
+
     Rows that share an id count as one document and stay or go together.
     """
     groups = near_duplicate_components(docs)

@@ -238,6 +238,34 @@ def test_a_link_is_not_lost_behind_a_failed_one(spark):
     assert {r["node"]: r["label"] for r in connected_components(links).collect()} == {i: i % 9 for i in range(90)}
 
 
+def test_simhash_trees_lead_the_near_duplicates(spark, monkeypatch):
+    """Close SimHashes alone make a group of near copies; a close SimHash of an unlike text does not."""
+    from chatloom.llm import simhash_bk
+
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "more"])), (3, " ".join(words[:2000])), (4, " \n"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    trees = simhash_bk.link_fingerprints
+    monkeypatch.setattr(simhash_bk, "link_fingerprints", lambda *a, **k: seen.append(1) or trees(*a, **k))
+    monkeypatch.setattr(simhash_bk, "shingle_bands", lambda text, *a: simhash_bk.F.expr("named_struct('size', 1, 'keys', array(xxhash64(text)))"))
+    found = {r["doc_id"]: r["component"] for r in near_duplicate_components(df).collect()}
+    assert seen and found == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
+def test_a_pair_that_shares_many_keys_is_one_candidate(spark, monkeypatch):
+    from chatloom.llm import simhash_bk
+
+    texts = spark.createDataFrame([(i, f"text{i} " * 9) for i in range(20)], "id long, text string")
+    members = texts.selectExpr("id", "9 AS size", "array(1L, 2L, 3L) AS keys", "explode(array(1L, 2L, 3L)) AS key")
+    joined = []
+    links_of = simhash_bk.similar_links
+    monkeypatch.setattr(simhash_bk, "similar_links", lambda t, p, *a: joined.extend(map(tuple, p.collect())) or links_of(t, p, *a))
+    assert simhash_bk._verified(texts, members, 5, 0.8).count() == 0
+    assert sorted(joined) == [(a, b) for a in range(20) for b in range(a)]
+
+
 @pytest.mark.parametrize("group_rows", [256, 1])
 def test_repeats_of_rows_without_id(spark, group_rows):
     rng = random.Random(9)
