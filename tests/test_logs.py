@@ -129,6 +129,16 @@ def test_interleaved_files_equal_batch(spark, tmp_path):
     assert out.where("mfu IS NULL OR late").count() == 0
 
 
+def test_runs_of_one_group_share_their_state(spark, tmp_path):
+    """Forty runs in three groups, with several records at one time and one without tokens."""
+    records = [(f"r{i % 40}", (i * 7) % 61, 100 * i) for i in range(400)] + [("r1", 5, 7), ("r1", 5, 3), ("r2", 45, None)]
+    halves = [records[0::2], records[1::2]]
+    starts = {f"r{i}": -10 for i in range(40)}
+    starts_df = spark.createDataFrame([(r, at(s)) for r, s in starts.items()], "run string, ts timestamp")
+    out = streamed(spark, tmp_path, [*halves, CLOSING], starts_df, delay="1 day", slice_seconds=10, run_groups=3)
+    assert rates_of(out) == expected_rates(records, starts)
+
+
 def test_late_records_come_out_marked(spark, tmp_path):
     options = {"delay": "20 seconds", "slice_seconds": 10}
     streamed(spark, tmp_path, [[("a", 0, 0), ("a", 10, 100)], [("a", 5, 70), ("a", 60, 400)]], **options)

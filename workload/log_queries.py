@@ -98,8 +98,12 @@ def peak_flops_query(spark, sf_dir):
     return counted.withColumn("peak", peak_flops(F.col("device")))
 
 
+#: A part of the log is written in so many tasks, and a micro-batch reads as many files.
+_PART_FILES = 12
+
+
 def _late_files(spark, sf_dir):
-    """The log as five files that a stream reads one by one, and the longest time a record is behind.
+    """The log as five parts of *_PART_FILES* files that a stream reads in turn, and the longest time a record is behind.
 
     A third of the records of each quarter of the time come with the next quarter; a record without tokens closes the log.
     """
@@ -110,7 +114,7 @@ def _late_files(spark, sf_dir):
     behind = F.when(F.xxhash64("run", "ts", "tokens_seen") % 3 == 0, 1).otherwise(0)
     folder = new_path(spark, "log")
     for i in range(5):
-        log.where(own + behind == i).coalesce(1).write.mode("append").parquet(folder)
+        log.where(own + behind == i).repartition(_PART_FILES).write.mode("append").parquet(folder)
     closing = log.limit(1).select("run", F.lit(last + 10 * quarter).alias("ts"), F.lit(None).cast("bigint").alias("tokens_seen"))
     closing.write.mode("append").parquet(folder)
     return log.schema, folder, 2 * quarter
@@ -123,10 +127,10 @@ SELECT CAST(run AS VARCHAR) AS run, epoch_us(ts) AS ts_us, tokens AS tokens_seen
   {_round("rate / 4")} AS tokens_per_gpu_per_sec, false AS late FROM rates""",
 )
 def throughput_stream(spark, sf_dir):
-    """The same rates from a stream of files that overlap in time, one a micro-batch."""
+    """The same rates from a stream of files that overlap in time, one part a micro-batch."""
     use_rocksdb_state(spark)
     schema, folder, delay = _late_files(spark, sf_dir)
-    log = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    log = spark.readStream.schema(schema).option("maxFilesPerTrigger", _PART_FILES).parquet(folder)
     rates = stream_rates(
         log,
         shapes.run_starts(spark, sf_dir),
