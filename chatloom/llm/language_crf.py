@@ -25,6 +25,10 @@ _EDGES = "\"'`´’‘“”«»()[]{}<>.,;:!?¡¿…*%$#&@/\\|+=~^_-–—01234
 _BUCKETS = 1 << 16
 _ORDERS = (1, 2, 3, 4)
 _CHUNK = 64
+#: Words of texts that are judged together, and characters of different words whose features are made together. Both bound
+#: a task's memory, not results.
+_WORDS = 1 << 17
+_CHARACTERS = 1 << 16
 
 
 def words_of(text: str | None) -> list[str]:
@@ -90,6 +94,11 @@ class Crf:
         """Score of each label for each of *words* (all different)."""
         if not words:
             return np.zeros((0, len(self.labels)))
+        part = np.cumsum([len(w) + 1 for w in words]) // _CHARACTERS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(words)]
+        return np.concatenate([self._emissions(words[a:b]) for a, b in zip(cuts, cuts[1:])])
+
+    def _emissions(self, words: list[str]) -> np.ndarray:
         buckets, first, names = _word_features(words)
         scores = np.add.reduceat(self.grams[buckets], first)
         if len(self.lexicon):
@@ -112,7 +121,7 @@ class Crf:
         return total / np.maximum(lengths, 1)[:, None]
 
 
-def _in_turn(lengths: np.ndarray, words: int = 1 << 19) -> Iterator[np.ndarray]:
+def _in_turn(lengths: np.ndarray, words: int = _WORDS) -> Iterator[np.ndarray]:
     """Row numbers in groups of about that many words."""
     group = (np.cumsum(lengths) - lengths) // words
     for g in np.unique(group[lengths > 0]):
@@ -307,7 +316,7 @@ def language(spark: SparkSession, text: Column | str, model: Crf) -> Column:
         for text in texts:
             held.append(words_of(text.as_py()))
             size += len(held[-1])
-            if size > 1 << 19:
+            if size > _WORDS:
                 flush()
                 held, size = [], 0
         flush()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import stored
+from chatloom.llm.common import small_batches, stored
 from chatloom.llm.language_crf import UNDETERMINED, fit_on, language
 from chatloom.llm.packing_mbs import pack_documents
 from chatloom.llm.simhash_bk import near_duplicate_components
@@ -29,6 +29,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     The model learns from the documents' own labels. Where there are none, nothing is known and all documents stay.
     """
+    small_batches(spark)
     model = fit_on(docs)
     if not model.labels:
         return docs
@@ -45,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that share an id count as one document and stay or go together.
     """
+    small_batches(spark)
     groups = near_duplicate_components(docs)
     copies = groups.where(F.col("doc_id") > F.col("component")).select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
@@ -55,6 +57,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     NULL texts stay NULL. A text of which nothing is left is empty.
     """
+    small_batches(spark)
     cut = remove_repeats(
         docs, min_bytes=PASSAGE_BYTES, min_words=PASSAGE_WORDS, whole_characters=True, carry=tuple(docs.columns)
     )
@@ -67,6 +70,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens with their ids, sequence and offset."""
     import public_tokenizers
 
+    small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=SEQUENCE_TOKENS)
 
 
@@ -83,8 +87,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet and read again by the next stage."""
-    # Whole texts go to Python in Arrow batches; a batch is counted in rows, and texts may be long.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -387,3 +387,31 @@ def test_a_search_that_is_cut_off_is_still_whole():
     longest = float(((points / scale) ** 2).sum(1).max())
     out = pa.Table.from_batches(list(answers(iter([batch]), scale, longest, 20, 2, 4, 4)))
     assert out.num_rows == 80 * 20
+
+
+def test_stages_send_small_batches(spark, odd_docs, sf_dir):
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(name, "10000")
+            stage(spark, odd_docs, sf_dir)
+            assert spark.conf.get(name) == "1000"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_language_of_many_words_takes_little_memory():
+    import tracemalloc
+
+    words = [f"{chr(97 + i % 26)}word{i:x}" for i in range(150000)]
+    model = language_crf.fit([("a", words[:40]), ("b", ["uno", "dos", "tres"] * 5)], rounds=2)
+    tracemalloc.start()
+    scores = model.emissions(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000, peak
+    some = range(0, len(words), 9973)
+    assert np.allclose(scores[list(some)], np.concatenate([model.emissions([words[i]]) for i in some]))
