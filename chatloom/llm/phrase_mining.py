@@ -2,18 +2,19 @@
 
 The texts are dealt to a few shards, which are scanned in a cycle; a scan counts phrases of all lengths at once. Words
 are counted from the start. A longer phrase joins in as soon as both phrases that it holds one word less of have
-reached the threshold, and it is counted for one full cycle of shards, whichever it starts with, so its count is exact.
+reached the threshold, and it is counted for one full cycle of shards, whichever it starts with, so no occurrence is missed.
 
-What has reached the threshold is kept by slot: a phrase hashes to one of 2^slot_bits counters, and its slot's step
-of reaching the threshold is what a scan asks. A slot that phrases share is reached no later than any of them, so no
-phrase is missed or joins in halfway; it only lets in phrases that turn out rare. The slots' size is fixed whatever the
-data, which makes them fit to be sent to all tasks; phrases themselves stay in tables.
+What is counted is slots: a phrase hashes to one of 2^slot_bits counters, and its slot's step of reaching the threshold
+is what a scan asks. A slot that phrases share is reached no later than any of them, so no phrase is missed or joins in
+halfway; it only lets in phrases that turn out rare. The slots' size is fixed whatever the data, which makes them fit to
+be sent to all tasks and to come back from them. At the end all texts are read once more for the phrases themselves:
+those whose slots, and those of the phrases within, reached the threshold are counted, and the rare ones are left out.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,9 @@ from pyspark.sql import functions as F
 from chatloom.llm.common import forget, stored
 
 _COUNTED = "lang string, words int, phrase string, slot int, count long"
+_SLOTS = "words int, chunk int, counts binary"
+#: Slots that travel in one row, a byte each before they are packed.
+_CHUNK_BITS = 16
 #: A byte that no UTF-8 text has stands for the edge of a piece.
 _EDGE = b"\xff"
 _NEVER = 255
@@ -77,8 +81,10 @@ class Scan:
     def __init__(
         self, step: int, shards: int, max_words: int, reached: list[np.ndarray], bits: int, block: int = _BLOCK
     ) -> None:
+        # With an array for the longest phrases too, only phrases in slots that reached the threshold are counted.
         self.step, self.shards, self.max_words, self.reached = step, shards, max_words, reached
         self.bits, self.block = bits, block
+        self.reached_only = len(reached) == max_words
 
     def _slots(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes * _MIX) >> np.uint64(64 - self.bits)).astype(np.int32)
@@ -95,8 +101,7 @@ class Scan:
         slots = self._slots(hashes)
         if self.step < self.shards:
             number = np.bincount(place[before:], minlength=several) * word
-            found = np.flatnonzero(number)
-            yield _counted(lang, 1, [texts[i] for i in found.tolist()], slots[found], number[found])
+            yield from self._words(lang, texts, slots, number)
         if self.max_words == 1:
             return
         # For each place: when the phrase of this length that starts there had reached the threshold.
@@ -113,18 +118,36 @@ class Scan:
             active = (self.step < since[begun] + self.shards) & (begun >= before - length + 1)
             at = begun[active]
             if len(at):
-                key = place[at]
-                for more in range(1, length - 1):
-                    key = np.unique(key * several + place[at + more], return_inverse=True)[1]
-                _, first, number = np.unique(key * several + place[at + length - 1], return_index=True, return_counts=True)
-                columns = [place[at[first] + more].tolist() for more in range(length)]
-                phrases = [b" ".join([texts[i] for i in row]) for row in zip(*columns)]
-                yield _counted(lang, length, phrases, begun_slots[active][first], number)
+                yield from self._phrases(lang, length, at, begun_slots[active], place, texts)
             if length < self.max_words:
                 later = np.full(len(since), _NEVER, np.int16)
                 later[begun] = self.reached[length - 1][begun_slots]
                 since = later
 
+    def _words(self, lang: str, texts: list[bytes], slots: np.ndarray, number: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = np.flatnonzero(number)
+        if self.reached_only:
+            if len(found):
+                # All words of the language, rare ones too.
+                yield _counted(lang, 0, [b""], np.zeros(1, np.int32), number.sum(keepdims=True))
+            found = found[self.reached[0][slots[found]] != _NEVER]
+        yield _counted(lang, 1, [texts[i] for i in found.tolist()], slots[found], number[found])
+
+    def _phrases(
+        self, lang: str, length: int, at: np.ndarray, slots: np.ndarray, place: np.ndarray, texts: list[bytes]
+    ) -> Iterator[pa.RecordBatch]:
+        """Counts of the phrases of *length* words that start at the places *at*."""
+        if self.reached_only:
+            often = self.reached[length - 1][slots] != _NEVER
+            at, slots = at[often], slots[often]
+        key, several = place[at], len(texts)
+        for more in range(1, length - 1):
+            key = np.unique(key * several + place[at + more], return_inverse=True)[1]
+        _, first, number = np.unique(key * several + place[at + length - 1], return_index=True, return_counts=True)
+        columns = [place[at[first] + more].tolist() for more in range(length)]
+        phrases = [b" ".join([texts[i] for i in row]) for row in zip(*columns)]
+        yield _counted(lang, length, phrases, slots[first], number)
+
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
@@ -149,6 +172,50 @@ class Scan:
                 yield from self.count(lang, tokens, before)
 
 
+class SlotScan(Scan):
+    """A scan that counts slots, up to the threshold, and hands them on when its task has no more texts."""
+
+    def __init__(self, *scan, threshold: int) -> None:
+        super().__init__(*scan)
+        self.threshold = threshold
+        self.totals: dict[int, np.ndarray] = {}
+
+    def _add(self, length: int, slots: np.ndarray, number: np.ndarray) -> None:
+        if length not in self.totals:
+            self.totals[length] = np.zeros(1 << self.bits, np.uint8)
+        own = self.totals[length]
+        own[slots] = np.minimum(own[slots] + np.minimum(number, self.threshold), self.threshold)
+
+    def _words(self, lang, texts, slots, number):
+        order = np.argsort(slots, kind="stable")
+        found, first = np.unique(slots[order], return_index=True)
+        self._add(1, found, np.add.reduceat(number[order], first))
+        return iter(())
+
+    def _phrases(self, lang, length, at, slots, place, texts):
+        self._add(length, *np.unique(slots, return_counts=True))
+        return iter(())
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from super().__call__(batches)
+        chunk = 1 << min(self.bits, _CHUNK_BITS)
+        for length, own in self.totals.items():
+            yield from _chunks((length, i, each) for i, each in enumerate(own.reshape(-1, chunk)))
+
+
+def _chunks(chunks: Iterator[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows of those chunks that hold a count, packed."""
+    for words, number, counts in chunks:
+        if counts.any():
+            packed = pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
+            columns = [pa.array([words], pa.int32()), pa.array([number], pa.int32()), pa.array([packed], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["words", "chunk", "counts"])
+
+
+def _unpacked(packed: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
+
+
 class Reached:
     """The slots' steps as they are sent to the tasks: packed, and unpacked once in a worker."""
 
@@ -176,33 +243,24 @@ def _counted(lang: str, length: int, phrases: list[bytes], slots: np.ndarray, co
 
 
 def _add_slots(counted: DataFrame, totals: list[np.ndarray], threshold: int) -> None:
-    """Add a step's counts to the slots' totals, which stop at *threshold*. Eight slots come to the driver in one row."""
-    # One sum for each of the eight, so that a single shuffle of sums does.
-    sums = [F.sum(F.expr(f"IF((slot & 7) = {i}, count, 0)")).alias(f"s{i}") for i in range(8)]
-    parts = " | ".join(f"shiftleft(least(s{i}, {threshold}), {8 * i})" for i in range(8))
-    packed = counted.groupBy("words", F.expr("slot >> 3").alias("eight")).agg(*sums)
-    packed = packed.select("words", "eight", F.expr(parts).alias("packed"))
-    rows = packed.toArrow()
-    words, eight = rows["words"].to_numpy(), rows["eight"].to_numpy()
-    parts = np.ascontiguousarray(rows["packed"].to_numpy(), "<i8").view(np.uint8).reshape(-1, 8)
-    for length, each in enumerate(totals, 1):
-        own = words == length
-        by_eight = each.reshape(-1, 8)
-        more = by_eight[eight[own]].astype(np.int16) + parts[own]
-        by_eight[eight[own]] = np.minimum(more, threshold)
-
-
-def _reached_only(reached: list[np.ndarray]) -> Callable:
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add a step's counts to the slots' totals, which stop at *threshold*. A byte for each slot comes to the driver at most."""
+    size = min(len(totals[0]), 1 << _CHUNK_BITS)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # All chunks together have a byte for each slot and length.
+        sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            words, slots = batch.column(1).to_numpy(), batch.column(3).to_numpy()
-            kept = np.zeros(len(words), bool)
-            for length, each in enumerate(reached, 1):
-                own = words == length
-                kept[own] = each[slots[own]] != _NEVER
-            yield batch.filter(pa.array(kept))
+            for words, chunk, packed in zip(*(column.to_pylist() for column in batch.columns)):
+                more = _unpacked(packed, size)
+                own = sums.get((words, chunk))
+                # Both are 255 at most: what is missing to the threshold is added at most.
+                sums[words, chunk] = more if own is None else own + np.minimum(more, threshold - own)
+        yield from _chunks((*key, counts) for key, counts in sums.items())
 
-    return keep
+    rows = counted.repartition("words", "chunk").mapInArrow(add, _SLOTS).toArrow()
+    for words, chunk, packed in zip(*(column.to_pylist() for column in rows.columns)):
+        own = totals[words - 1].reshape(-1, size)[chunk]
+        own += np.minimum(_unpacked(packed, size), threshold - own)
 
 
 def phrase_counts(
@@ -227,38 +285,31 @@ def phrase_counts(
     dealt = stored(docs.select(lang, text, part.cast("int").alias("shard")), "shards", partition_by="shard", compression="zstd")
     reached = [np.full(1 << slot_bits, _NEVER, np.uint8) for _ in range(max_words)]
     totals = [np.zeros(1 << slot_bits, np.uint8) for _ in range(max_words)]
-    counted: list[DataFrame] = []
     step = 0
     while step < shards or any(step <= _last(each) + shards for each in reached[:-1]):
         sent = spark.sparkContext.broadcast(Reached(reached[:-1]))
 
         def scan(batches, step=step, sent=sent):
-            yield from Scan(step, shards, max_words, sent.value.arrays(), slot_bits)(batches)
+            yield from SlotScan(step, shards, max_words, sent.value.arrays(), slot_bits, threshold=threshold)(batches)
 
         shard = dealt.where(F.col("shard") == step % shards).select("lang", "text")
-        counted.append(stored(shard.mapInArrow(scan, _COUNTED), "counted", compression="zstd"))
-        _add_slots(counted[-1], totals, threshold)
+        _add_slots(shard.mapInArrow(scan, _SLOTS), totals, threshold)
         for each, total in zip(reached, totals):
             each[(each == _NEVER) & (total >= threshold)] = step
         sent.destroy()
         step += 1
-    forget(dealt)
-    every = counted[0]
-    for more in counted[1:]:
-        every = every.unionByName(more)
-    sent = spark.sparkContext.broadcast(Reached(reached))
-
-    def reached_only(batches):
-        yield from _reached_only(sent.value.arrays())(batches)
-
-    # A phrase whose slot stayed below the threshold did so itself.
-    frequent = every.mapInArrow(reached_only, _COUNTED).groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
-    frequent = stored(frequent.where(F.col("count") >= threshold), "phrases")
-    sizes = stored(every.where("words = 1").groupBy("lang").agg(F.sum("count").alias("n")), "sizes")
+    # From here on all that reached the threshold did so before: one scan counts all lengths.
+    sent = spark.sparkContext.broadcast(Reached([np.where(each == _NEVER, _NEVER, 0).astype(np.uint8) for each in reached]))
+
+    def last_scan(batches):
+        yield from Scan(1, 2, max_words, sent.value.arrays(), slot_bits)(batches)
+
+    every = dealt.select("lang", "text").mapInArrow(last_scan, _COUNTED)
+    counted = every.groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
+    counted = stored(counted.where((F.col("count") >= threshold) | (F.col("words") == 0)), "phrases")
     sent.destroy()
-    for each in counted:
-        forget(each)
-    return frequent, sizes
+    forget(dealt)
+    return counted.where("words > 0"), counted.where("words = 0").select("lang", F.col("count").alias("n"))
 
 
 def _last(reached: np.ndarray) -> int:

@@ -100,6 +100,27 @@ def test_phrases_of_odd_rows(spark, odd_docs, no_docs):
         phrase_counts(odd_docs, threshold=300)
 
 
+def test_no_rare_phrase_is_written(spark, monkeypatch):
+    """Scans hand on slots; of the phrases only those with the threshold become a table."""
+    from chatloom.llm import phrase_mining
+
+    written = []
+
+    def stored(df, name, *args, **options):
+        out = plain(df, name, *args, **options)
+        if "phrase" in out.columns:
+            written.extend(r["count"] for r in out.where("phrase <> ''").collect())
+        return out
+
+    plain = phrase_mining.stored
+    monkeypatch.setattr(phrase_mining, "stored", stored)
+    rows = corpus(6, 120)
+    phrases, _ = phrase_counts(spark.createDataFrame(rows, SCHEMA).repartition(3), threshold=5, slot_bits=14)
+    exact = counted(rows, 3)
+    assert phrases.count() == sum(c >= 5 for f in exact.values() for c in f.values())
+    assert written and min(written) >= 5
+
+
 def brute_divergence(rows, least, top):
     df, count, groups = defaultdict(Counter), defaultdict(Counter), set()
     for _, text, lang, source, _ in rows:
