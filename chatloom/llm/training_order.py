@@ -10,6 +10,7 @@ reader resumes at any slot by seeking.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ _HEAD = np.dtype([("id", "<i8"), ("start", "<i8"), ("length", "<u4")])
 _NO_ID = -(1 << 63)
 _ROUNDS = 4
 _READ_RECORDS = 4096
+#: The shards are written in so many parts, so that only a part of the ids is on disk once more as a shuffle.
+_PARTS = 2
 #: Offsets go to all tasks up to so many (16 bytes each); beyond, they are joined by a shuffle.
 _SENT_PARTS = 1 << 18
 
@@ -151,8 +154,14 @@ def write_in_training_order(
         if out is not None:
             yield close()
 
-    ordered = placed.repartition("shard").sortWithinPartitions("shard", "slot")
-    return stored(ordered.mapInArrow(run, "shard long, path string, first_slot long, records long"), "shards")
+    shards = -(-size // shard_records)
+    step = max(1, -(-shards // _PARTS))
+    written = []
+    for first in range(0, max(1, shards), step):
+        own = placed.where((F.col("shard") >= first) & (F.col("shard") < first + step))
+        ordered = own.repartition("shard").sortWithinPartitions("shard", "slot")
+        written.append(stored(ordered.mapInArrow(run, "shard long, path string, first_slot long, records long"), "shards"))
+    return reduce(DataFrame.unionByName, written)
 
 
 def read_in_training_order(

@@ -57,3 +57,23 @@ def test_odd_rows(spark, odd_docs, no_docs, vocabulary):
     pieces = expected_pieces([r[:2] for r in odd_rows()], vocabulary, 256)
     order = lambda p: (p[0] is not None, p[0] or 0, p[1])
     assert sorted(((r["id"], r["start"], bytes(r["tokens"])) for r in rows), key=order) == sorted(pieces, key=order)
+
+
+def test_shards_are_shuffled_in_parts(spark, sf_dir, vocabulary, monkeypatch):
+    from chatloom.llm import training_order
+
+    parts = []
+
+    def stored(df, name, *args, **options):
+        out = plain(df, name, *args, **options)
+        if name == "shards":
+            parts.append(sorted(r["shard"] for r in out.collect()))
+        return out
+
+    plain = training_order.stored
+    monkeypatch.setattr(training_order, "stored", stored)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
+    shards = materialise(docs, vocabulary, new_path(spark, "shards"), 3, 32, shard_records=50)
+    number = shards.count()
+    assert len(parts) == 2 and sorted(sum(parts, [])) == list(range(number))
+    assert max(map(len, parts)) <= -(-number // 2)
