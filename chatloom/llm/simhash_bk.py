@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import connected_components, forget, sorted_groups, stored
@@ -25,6 +25,8 @@ _VOTES_AT_ONCE = 1 << 18
 _HASHES_AT_ONCE = 1 << 10
 #: Groups of so many members are compared pair by pair.
 _FEW = 4
+#: Members of a group are tested against so many centres; those still apart then meet by their rare shingles.
+_CENTRES = 8
 
 
 def _majority(hashes: np.ndarray, weights: np.ndarray | None = None) -> int:
@@ -98,6 +100,24 @@ def shingle_bands(text: Column | str, words: int = 5, bands: int = 32, rows: int
     return run(text)
 
 
+def _shingle_hashes(text: Column | str, words: int) -> Column:
+    """The different *words*-word shingles of a text with words, as 64-bit hashes (array<long>)."""
+
+    def hashes(text: str) -> np.ndarray:
+        import xxhash
+
+        tokens = text.encode().lower().split()
+        n = max(1, len(tokens) - words + 1)
+        found = {xxhash.xxh64_intdigest(b" ".join(tokens[i : i + words])) for i in range(n)}
+        return np.fromiter(found, np.uint64, len(found)).view(np.int64)
+
+    @F.arrow_udf("array<long>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([hashes(t.as_py()) for t in texts], pa.list_(pa.int64()))
+
+    return run(text)
+
+
 class BkTree:
     """BK-tree of integers under Hamming distance; the children of a node are keyed by their distance to it."""
 
@@ -261,6 +281,39 @@ def similar_links(docs: DataFrame, links: DataFrame, words: int = 5, similarity:
     return pairs.where(similar("_left", "_right")).select("a", "b")
 
 
+def _pairs_by_rare_shingles(texts: DataFrame, members: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``(a, b)``: all pairs of *members* ``(id, size, label)`` with different labels that can be similar.
+
+    Similar texts share so many shingles that, with the rarest first, they meet in one of the first of both (prefix
+    filter). From the first that they share, both must have as many left as similar texts share (position filter). Both are
+    exact for any order; the order by frequency lets texts that differ in many places meet nowhere.
+    """
+    own = texts.join(members, "id").select("id", "size", "label", F.explode(_shingle_hashes("text", words)).alias("shingle"))
+    own = stored(own, "shingles")
+    several = own.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
+    # A shingle that no other member has comes first and makes no pair, so only the number of the others counts.
+    each = Window.partitionBy("id")
+    place = F.row_number().over(each.orderBy("often", "shingle"))
+    own_several = own.join(several, "shingle").withColumn("left", (F.count("*").over(each) - place + 1).cast("double"))
+    # Rounding must not lose a pair that has just the similarity.
+    first = own_several.where(F.col("left") + 1e-6 >= similarity * F.col("size"))
+    first = stored(first.select("shingle", "id", "size", "label", "left"), "rare-shingles")
+    labels = first.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle")
+    labels = labels.agg(F.max_by("label", "n").alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    meeting = stored(first.join(labels.drop("labels"), "shingle"), "meeting")
+    forget(own)
+    forget(first)
+    # Members with the label that most have are connected; only the others look for partners.
+    others = meeting.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("id", "size", "label", "left")])
+    pairs = meeting.where("label <> main").join(others, "shingle")
+    pairs = pairs.where("label <> _label AND (_label = main OR id > _id)")
+    enough = similarity / (1 + similarity) * (F.col("size") + F.col("_size"))
+    pairs = pairs.where(F.least("left", "_left") + 1e-6 >= enough)
+    pairs = stored(pairs.select(F.greatest("id", "_id").alias("a"), F.least("id", "_id").alias("b")).distinct(), "candidates")
+    forget(meeting)
+    return pairs
+
+
 def _verified(
     texts: DataFrame, members: DataFrame, words: int, similarity: float, links: DataFrame | None = None
 ) -> DataFrame:
@@ -268,8 +321,9 @@ def _verified(
 
     *links* between similar texts may be known; what they connect is not compared again. Only links that passed connect. In
     each round some members of a key become centres, and all members of the key that are not yet connected to a centre are
-    tested against it. A key is done when its members that never were centres are all connected, so in the end each pair of
-    a key is connected or has been tested. Centres grow eightfold from one. Of the keys that two members share only the
+    tested against it. A key is done when its members that never were centres are all connected. If large keys are
+    not done after eight centres, open members are paired by :func:`_pairs_by_rare_shingles`, so in the end each pair of a key is connected,
+    has been tested, or shares too few shingles to be similar. Of the keys that two members share only the
     least makes them a pair, if *members* has an array ``keys`` of all keys of an id: a pair that is not similar then costs one
     row and not one for each key.
 
@@ -300,6 +354,14 @@ def _verified(
     tested = None
     centres, most = 1, [1]
     while not rest.isEmpty():
+        if centres > _CENTRES and not rest.where(F.col("n") > centres).isEmpty():
+            # Against ever more centres, members that are like none would cost the square of their number.
+            apart = stored(rest.where("NOT was").select("id", "size", "label").distinct(), "apart")
+            pairs = _pairs_by_rare_shingles(texts, apart, words, similarity)
+            links = links.union(stored(similar_links(texts, pairs, words, similarity), "similar"))
+            forget(apart)
+            forget(pairs)
+            break
         # Members of small groups are all centres. Drawn by the hash of the id, a centre is one in all keys and later rounds.
         centre = F.col("was") | (F.col("id") == F.col("end")) | (F.col("n") <= max(centres, _FEW))
         if centres > 1:

@@ -266,6 +266,36 @@ def test_a_pair_that_shares_many_keys_is_one_candidate(spark, monkeypatch):
     assert sorted(joined) == [(a, b) for a in range(20) for b in range(a)]
 
 
+def test_unlike_members_of_a_large_key_are_not_all_compared(spark, monkeypatch):
+    """Copies of one text with few or many changed words share a key; each finds its group without the square of pairs."""
+    from chatloom.llm import simhash_bk
+
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(300):
+        share = rng.choice([0.02, 0.05, 0.3])
+        texts.append(" ".join(f"e{rng.randrange(500)}" if rng.random() < share else w for w in base))
+    rows = list(enumerate(texts)) + [(300 + i, " ".join([*t.split(), "end"])) for i, t in enumerate(texts[:20])]
+    sets = [shingles_by_hand(t) for _, t in rows]
+    expected = list(range(len(rows)))
+    for i, p in enumerate(sets):
+        for j, q in enumerate(sets[:i]):
+            if len(p & q) >= 0.8 * len(p | q) and expected[i] != expected[j]:
+                least, most = sorted((expected[i], expected[j]))
+                expected = [least if x == most else x for x in expected]
+    df = spark.createDataFrame([(i, t, len(p)) for (i, t), p in zip(rows, sets)], "id long, text string, size int")
+    joined = []
+    links_of = simhash_bk.similar_links
+    monkeypatch.setattr(simhash_bk, "similar_links", lambda t, p, *a: joined.extend(map(tuple, p.collect())) or links_of(t, p, *a))
+    links = simhash_bk._verified(df.select("id", "text"), df.selectExpr("id", "size", "7L AS key"), 5, 0.8)
+    found = {r["node"]: r["label"] for r in connected_components(links).collect()}
+    assert [found.get(i, i) for i, _ in rows] == expected
+    assert 60 < len(set(expected)) < len(rows)
+    # All pairs are 51,040.
+    assert len(joined) < 30 * len(rows)
+
+
 @pytest.mark.parametrize("group_rows", [256, 1])
 def test_repeats_of_rows_without_id(spark, group_rows):
     rng = random.Random(9)
