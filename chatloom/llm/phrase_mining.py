@@ -1,14 +1,14 @@
 """Frequent phrases by dynamic itemset counting, and the collocations among them.
 
-The texts are dealt to a few shards, which are scanned in a cycle; a scan counts phrases of all lengths at once. Words
+The texts are dealt to a few shards by their hash, which are scanned in a cycle; a scan counts phrases of all lengths at once. Words
 are counted from the start. A longer phrase joins in as soon as both phrases that it holds one word less of have
 reached the threshold, and it is counted for one full cycle of shards, whichever it starts with, so no occurrence is missed.
 
 What is counted is slots: a phrase hashes to one of 2^slot_bits counters, and its slot's step of reaching the threshold
 is what a scan asks. A slot that phrases share is reached no later than any of them, so no phrase is missed or joins in
 halfway; it only lets in phrases that turn out rare. The slots' size is fixed whatever the data, which makes them fit to
-be sent to all tasks and to come back from them. At the end all texts are read once more for the phrases themselves:
-those whose slots, and those of the phrases within, reached the threshold are counted, and the rare ones are left out.
+be sent to all tasks and to come back from them. At the end all texts are read once more for the phrases themselves, once
+for words and pairs and once for each greater length, so that only one length is on disk at a time: those whose slots, and those of the phrases within, reached the threshold are counted, and the rare ones are left out.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import forget, stored
+from chatloom.llm.common import stored
 
 _COUNTED = "lang string, words int, phrase string, slot int, count long"
 _SLOTS = "words int, chunk int, counts binary"
@@ -79,11 +79,14 @@ class Scan:
     """One scan of a shard: counts the phrases that are active in it."""
 
     def __init__(
-        self, step: int, shards: int, max_words: int, reached: list[np.ndarray], bits: int, block: int = _BLOCK
+        self, step: int, shards: int, max_words: int, reached: list[np.ndarray], bits: int, block: int = _BLOCK,
+        lengths: range | None = None,
     ) -> None:
         # With an array for the longest phrases too, only phrases in slots that reached the threshold are counted.
         self.step, self.shards, self.max_words, self.reached = step, shards, max_words, reached
         self.bits, self.block = bits, block
+        # Phrases of other lengths are not counted.
+        self.lengths = lengths or range(1, max_words + 1)
         self.reached_only = len(reached) == max_words
 
     def _slots(self, hashes: np.ndarray) -> np.ndarray:
@@ -99,10 +102,10 @@ class Scan:
         hashes = np.array([xxh64_intdigest(t, seed) for t in texts], np.uint64)
         word = np.array([t != _EDGE for t in texts], bool)
         slots = self._slots(hashes)
-        if self.step < self.shards:
+        if self.step < self.shards and 1 in self.lengths:
             number = np.bincount(place[before:], minlength=several) * word
             yield from self._words(lang, texts, slots, number)
-        if self.max_words == 1:
+        if self.lengths[-1] == 1:
             return
         # For each place: when the phrase of this length that starts there had reached the threshold.
         since = np.where(word, self.reached[0][slots], _NEVER)[place].astype(np.int16)
@@ -117,8 +120,10 @@ class Scan:
             begun_slots = self._slots(phrase[begun])
             active = (self.step < since[begun] + self.shards) & (begun >= before - length + 1)
             at = begun[active]
-            if len(at):
+            if len(at) and length in self.lengths:
                 yield from self._phrases(lang, length, at, begun_slots[active], place, texts)
+            if length == self.lengths[-1]:
+                return
             if length < self.max_words:
                 later = np.full(len(since), _NEVER, np.int16)
                 later[begun] = self.reached[length - 1][begun_slots]
@@ -273,16 +278,16 @@ def phrase_counts(
     ``und``, a NULL text empty. Repeated rows count as often as they are there. An empty table gives no rows.
 
     *threshold* is 255 at most, *shards* 60 and *slot_bits* 4 to 28. More slots let fewer rare phrases be counted in vain; each takes
-    a byte for each length in a task. Results do not depend on *shards* or *slot_bits*.
+    a byte for each length in a task. *docs* is read in every scan and must give the same rows each time; store it if it may not. Results do not depend on *shards* or *slot_bits*.
     """
     if not 1 <= threshold <= 255 or not 1 <= shards <= 60 or not 4 <= slot_bits <= 28 or max_words not in (1, 2, 3, 4):
         raise ValueError("threshold, shards, slot_bits or max_words out of range")
     spark = docs.sparkSession
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    # Which rows make a shard does not matter, only that it stays so: the shards are written once.
-    part = F.expr(f"pmod(spark_partition_id() + (monotonically_increasing_id() & 8589934591) div 512, {shards})")
-    dealt = stored(docs.select(lang, text, part.cast("int").alias("shard")), "shards", partition_by="shard", compression="zstd")
+    # Which rows make a shard does not matter, only that it stays so: their hash tells, and no copy of the texts is made.
+    rows = docs.select(lang, text)
+    part = F.pmod(F.xxhash64("lang", "text"), F.lit(shards))
     reached = [np.full(1 << slot_bits, _NEVER, np.uint8) for _ in range(max_words)]
     totals = [np.zeros(1 << slot_bits, np.uint8) for _ in range(max_words)]
     step = 0
@@ -292,23 +297,25 @@ def phrase_counts(
         def scan(batches, step=step, sent=sent):
             yield from SlotScan(step, shards, max_words, sent.value.arrays(), slot_bits, threshold=threshold)(batches)
 
-        shard = dealt.where(F.col("shard") == step % shards).select("lang", "text")
+        shard = rows.where(part == step % shards)
         _add_slots(shard.mapInArrow(scan, _SLOTS), totals, threshold)
         for each, total in zip(reached, totals):
             each[(each == _NEVER) & (total >= threshold)] = step
         sent.destroy()
         step += 1
-    # From here on all that reached the threshold did so before: one scan counts all lengths.
+    # From here on all that reached the threshold did so before: one scan counts all of a length, words with pairs.
     sent = spark.sparkContext.broadcast(Reached([np.where(each == _NEVER, _NEVER, 0).astype(np.uint8) for each in reached]))
+    counted = None
+    for lengths in [range(1, min(2, max_words) + 1), *(range(n, n + 1) for n in range(3, max_words + 1))]:
 
-    def last_scan(batches):
-        yield from Scan(1, 2, max_words, sent.value.arrays(), slot_bits)(batches)
+        def last_scan(batches, lengths=lengths):
+            yield from Scan(1, 2, max_words, sent.value.arrays(), slot_bits, lengths=lengths)(batches)
 
-    every = dealt.select("lang", "text").mapInArrow(last_scan, _COUNTED)
-    counted = every.groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
-    counted = stored(counted.where((F.col("count") >= threshold) | (F.col("words") == 0)), "phrases")
+        every = rows.mapInArrow(last_scan, _COUNTED).groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
+        # Each length has a shuffle of its own, which goes once its phrases are stored.
+        own = stored(every.where((F.col("count") >= threshold) | (F.col("words") == 0)), "phrases")
+        counted = own if counted is None else counted.union(own)
     sent.destroy()
-    forget(dealt)
     return counted.where("words > 0"), counted.where("words = 0").select("lang", F.col("count").alias("n"))
 
 

@@ -180,3 +180,18 @@ def test_shares_are_exact_beyond_64_bits():
         terms = rng.randrange(1, 10**6)
         count = rng.randrange(0, total + 1)
         assert scaled_share(np.array([count]), total, terms)[0] == 1 + 10**9 * (count + 5) // (total + 5 * terms)
+
+
+def test_each_length_is_stored_by_itself(spark, monkeypatch):
+    """No copy of the texts is made, and the shuffle of a length goes before that of the next begins."""
+    from chatloom.llm import phrase_mining
+
+    tables = []
+    stored = phrase_mining.stored
+    monkeypatch.setattr(phrase_mining, "stored", lambda df, *a, **k: tables.append(stored(df, *a, **k)) or tables[-1])
+    docs = spark.createDataFrame([("a b c. A b c", "en")] * 5, "text string, lang string")
+    phrases, sizes = phrase_counts(docs, threshold=5, slot_bits=8)
+    assert [{r["words"] for r in t.select("words").collect()} for t in tables] == [{0, 1, 2}, {3}]
+    found = {(r["phrase"], r["count"]) for r in phrases.collect()}
+    assert found == {(p, 10) for p in ("a", "b", "c", "a b", "b c", "a b c")}
+    assert [tuple(r) for r in sizes.collect()] == [("en", 30)]
