@@ -8,7 +8,10 @@ What is counted is slots: a phrase hashes to one of 2^slot_bits counters, and it
 is what a scan asks. A slot that phrases share is reached no later than any of them, so no phrase is missed or joins in
 halfway; it only lets in phrases that turn out rare. The slots' size is fixed whatever the data, which makes them fit to
 be sent to all tasks and to come back from them. At the end all texts are read once more for the phrases themselves, once
-for words and pairs and once for each greater length, so that only one length is on disk at a time: those whose slots, and those of the phrases within, reached the threshold are counted, and the rare ones are left out.
+for each length: those whose slots, and those of the phrases within, reached the threshold are counted, and the rare ones are left out.
+Words that reached the threshold are numbered. The longer phrases of a task leave it as these numbers, sorted, packed and dealt to
+buckets, a row for each bucket; a phrase is spelt once, where its counts meet. However full the slots are, a task hands on no
+more than its different phrases of frequent words, a few bytes each.
 """
 
 from __future__ import annotations
@@ -18,12 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import stored
+from chatloom.llm import common
+from chatloom.llm.common import forget, sorted_groups, stored
 
 _COUNTED = "lang string, words int, phrase string, slot int, count long"
+_BUCKETS = "bucket long, phrases int, packed binary"
+_TOTALS = "lang string, words int, phrase string, count long"
 _SLOTS = "words int, chunk int, counts binary"
 #: Slots that travel in one row, a byte each before they are packed.
 _CHUNK_BITS = 16
@@ -82,12 +89,10 @@ class Scan:
         self, step: int, shards: int, max_words: int, reached: list[np.ndarray], bits: int, block: int = _BLOCK,
         lengths: range | None = None,
     ) -> None:
-        # With an array for the longest phrases too, only phrases in slots that reached the threshold are counted.
         self.step, self.shards, self.max_words, self.reached = step, shards, max_words, reached
         self.bits, self.block = bits, block
         # Phrases of other lengths are not counted.
         self.lengths = lengths or range(1, max_words + 1)
-        self.reached_only = len(reached) == max_words
 
     def _slots(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes * _MIX) >> np.uint64(64 - self.bits)).astype(np.int32)
@@ -131,20 +136,12 @@ class Scan:
 
     def _words(self, lang: str, texts: list[bytes], slots: np.ndarray, number: np.ndarray) -> Iterator[pa.RecordBatch]:
         found = np.flatnonzero(number)
-        if self.reached_only:
-            if len(found):
-                # All words of the language, rare ones too.
-                yield _counted(lang, 0, [b""], np.zeros(1, np.int32), number.sum(keepdims=True))
-            found = found[self.reached[0][slots[found]] != _NEVER]
         yield _counted(lang, 1, [texts[i] for i in found.tolist()], slots[found], number[found])
 
     def _phrases(
         self, lang: str, length: int, at: np.ndarray, slots: np.ndarray, place: np.ndarray, texts: list[bytes]
     ) -> Iterator[pa.RecordBatch]:
         """Counts of the phrases of *length* words that start at the places *at*."""
-        if self.reached_only:
-            often = self.reached[length - 1][slots] != _NEVER
-            at, slots = at[often], slots[often]
         key, several = place[at], len(texts)
         for more in range(1, length - 1):
             key = np.unique(key * several + place[at + more], return_inverse=True)[1]
@@ -177,6 +174,100 @@ class Scan:
                 yield from self.count(lang, tokens, before)
 
 
+class WordScan(Scan):
+    """A scan that counts the words, and all words of a language."""
+
+    def _words(self, lang, texts, slots, number):
+        if number.any():
+            yield _counted(lang, 0, [b""], np.zeros(1, np.int32), number.sum(keepdims=True))
+        yield from super()._words(lang, texts, slots, number)
+
+
+class Vocabulary:
+    """The words that reached the threshold; a word's number is its place, the most frequent first."""
+
+    def __init__(self, found: pa.Table) -> None:
+        found = found.take(pc.sort_indices(found, [("count", "descending")])).combine_chunks()
+        self.langs = found["lang"].combine_chunks().dictionary_encode()
+        self.words = found["phrase"].combine_chunks().cast(pa.binary())
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def numbers(self, lang: str, texts: list[bytes]) -> np.ndarray:
+        """The number of each text, or -1."""
+        code = pc.index_in(pa.scalar(lang), value_set=self.langs.dictionary.cast(pa.string())).as_py()
+        own = np.flatnonzero(self.langs.indices.to_numpy() == code) if code is not None else np.zeros(0, np.int64)
+        place = pc.index_in(pa.array(texts, pa.binary()), value_set=self.words.take(pa.array(own)))
+        place = place.fill_null(len(own)).to_numpy().astype(np.int64)
+        return np.append(own, -1)[place]
+
+    def phrases(self, numbers: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+        """Languages and texts of phrases, given by the numbers of their first words, second words and so on."""
+        langs = self.langs.take(pa.array(numbers[0])).cast(pa.string())
+        texts = [self.words.take(pa.array(each)) for each in numbers]
+        return langs, pc.binary_join_element_wise(*texts, pa.scalar(b" ")).cast(pa.string())
+
+
+class PhraseScan(Scan):
+    """A scan that packs the counts of phrases of vocabulary words in slots that reached the threshold, by bucket."""
+
+    def __init__(self, *scan, vocabulary: Vocabulary, buckets: int, **options) -> None:
+        super().__init__(*scan, **options)
+        self.vocabulary, self.buckets = vocabulary, buckets
+
+    def _phrases(self, lang, length, at, slots, place, texts):
+        at = at[self.reached[length - 1][slots] != _NEVER]
+        numbers = self.vocabulary.numbers(lang, texts)[place]
+        for more in range(length):
+            at = at[numbers[at + more] >= 0]
+        if not len(at):
+            return
+        numbers = [numbers[at + more] for more in range(length)]
+        _, first, count = np.unique(_keys(numbers, len(self.vocabulary)), return_index=True, return_counts=True)
+        numbers = [each[first] for each in numbers]
+        mixed = np.zeros(len(first), np.uint64)
+        for each in numbers:
+            mixed = (mixed + each.astype(np.uint64)) * _MIX
+            mixed ^= mixed >> np.uint64(32)
+        bucket = ((mixed >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
+        order = np.argsort(bucket, kind="stable")
+        columns = np.stack([each[order] for each in (*numbers, count)]).astype(np.uint32)
+        found, starts = np.unique(bucket[order], return_index=True)
+        ends = [*starts[1:].tolist(), len(order)]
+        packed = [_pack(columns[:, start:end]) for start, end in zip(starts.tolist(), ends)]
+        several = np.diff([*starts, len(order)]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found.astype(np.int64)), pa.array(several), pa.array(packed, pa.binary())], ["bucket", "phrases", "packed"]
+        )
+
+
+def _keys(columns: list[np.ndarray], several: int) -> np.ndarray:
+    """A number for each row of numbers below *several*: equal for equal rows, and in their order."""
+    key, size = columns[0], several
+    for column in columns[1:]:
+        if size * several >= 1 << 63:
+            found, key = np.unique(key, return_inverse=True)
+            size = len(found)
+        key = key * several + column
+        size *= several
+    return key
+
+
+def _pack(columns: np.ndarray) -> bytes:
+    """Rows of 32-bit numbers, of which the first does not fall: what it rises by, then byte after byte of all, compressed."""
+    columns = columns.copy()
+    columns[0, 1:] -= columns[0, :-1].copy()
+    return pa.compress(columns.view(np.uint8).reshape(*columns.shape, 4).transpose(0, 2, 1).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, width: int, several: int) -> np.ndarray:
+    planes = _unpacked(packed, width * 4 * several).reshape(width, 4, several).transpose(0, 2, 1)
+    columns = np.ascontiguousarray(planes).view(np.uint32).reshape(width, several).astype(np.int64)
+    columns[0] = columns[0].cumsum()
+    return columns
+
+
 class SlotScan(Scan):
     """A scan that counts slots, up to the threshold, and hands them on when its task has no more texts."""
 
@@ -278,7 +369,7 @@ def phrase_counts(
     ``und``, a NULL text empty. Repeated rows count as often as they are there. An empty table gives no rows.
 
     *threshold* is 255 at most, *shards* 60 and *slot_bits* 4 to 28. More slots let fewer rare phrases be counted in vain; each takes
-    a byte for each length in a task. *docs* is read in every scan and must give the same rows each time; store it if it may not. Results do not depend on *shards* or *slot_bits*.
+    a byte for each length in a task. The words with a count of *threshold* or more go through the driver to all tasks. *docs* is read in every scan and must give the same rows each time; store it if it may not. Results do not depend on *shards* or *slot_bits*.
     """
     if not 1 <= threshold <= 255 or not 1 <= shards <= 60 or not 4 <= slot_bits <= 28 or max_words not in (1, 2, 3, 4):
         raise ValueError("threshold, shards, slot_bits or max_words out of range")
@@ -303,22 +394,60 @@ def phrase_counts(
             each[(each == _NEVER) & (total >= threshold)] = step
         sent.destroy()
         step += 1
-    # From here on all that reached the threshold did so before: one scan counts all of a length, words with pairs.
-    sent = spark.sparkContext.broadcast(Reached([np.where(each == _NEVER, _NEVER, 0).astype(np.uint8) for each in reached]))
-    counted = None
-    for lengths in [range(1, min(2, max_words) + 1), *(range(n, n + 1) for n in range(3, max_words + 1))]:
-
-        def last_scan(batches, lengths=lengths):
-            yield from Scan(1, 2, max_words, sent.value.arrays(), slot_bits, lengths=lengths)(batches)
-
-        every = rows.mapInArrow(last_scan, _COUNTED).groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
-        # Each length has a shuffle of its own, which goes once its phrases are stored.
-        own = stored(every.where((F.col("count") >= threshold) | (F.col("words") == 0)), "phrases")
-        counted = own if counted is None else counted.union(own)
-    sent.destroy()
+    # From here on all that reached the threshold did so before: one scan counts all of a length.
+    def word_scan(batches):
+        yield from WordScan(1, 2, max_words, [], slot_bits, lengths=range(1, 2))(batches)
+
+    words = rows.mapInArrow(word_scan, _COUNTED).groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
+    # Read by the driver, then stored with the pairs.
+    words = common.stored(words.where((F.col("count") >= threshold) | (F.col("words") == 0)), "words")
+    counted = words
+    if max_words > 1:
+        vocabulary = Vocabulary(words.where("words = 1").select("lang", "phrase", "count").toArrow())
+        known = [np.where(each == _NEVER, _NEVER, 0).astype(np.uint8) for each in reached]
+        sent, sent_words = spark.sparkContext.broadcast(Reached(known)), spark.sparkContext.broadcast(vocabulary)
+        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for length in range(2, max_words + 1):
+
+            def last_scan(batches, length=length):
+                scan = PhraseScan(
+                    1, 2, max_words, sent.value.arrays(), slot_bits, lengths=range(length, length + 1),
+                    vocabulary=sent_words.value, buckets=buckets,
+                )
+                yield from scan(batches)
+
+            def spelt(batches, length=length):
+                for group in sorted_groups(batches, "bucket"):
+                    yield _totals(group, length, sent_words.value, threshold)
+
+            packed = rows.mapInArrow(last_scan, _BUCKETS).repartition("bucket").sortWithinPartitions("bucket")
+            # Each length has a shuffle of its own, which goes once its phrases are stored.
+            own = packed.mapInArrow(spelt, _TOTALS)
+            if length == 2:
+                counted = stored(words.union(own), "phrases")
+                forget(words)
+            else:
+                counted = counted.union(stored(own, "phrases"))
+        sent.destroy()
+        sent_words.destroy()
     return counted.where("words > 0"), counted.where("words = 0").select("lang", F.col("count").alias("n"))
 
 
+def _totals(group: pa.Table, length: int, vocabulary: Vocabulary, threshold: int) -> pa.RecordBatch:
+    """The phrases of a bucket that have *threshold* occurrences in all tasks."""
+    parts = zip(group["packed"].to_pylist(), group["phrases"].to_pylist())
+    *numbers, count = np.concatenate([_unpack(packed, length + 1, several) for packed, several in parts], axis=1)
+    key = _keys(numbers, len(vocabulary))
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    total = np.add.reduceat(count[order], first)
+    often = total >= threshold
+    at = order[first[often]]
+    langs, phrases = vocabulary.phrases([each[at] for each in numbers])
+    columns = [langs, pa.array(np.full(len(at), length, np.int32)), phrases, pa.array(total[often])]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "count"])
+
+
 def _last(reached: np.ndarray) -> int:
     """The last step in which a slot reached the threshold; long ago if none did."""
     known = reached[reached != _NEVER]

@@ -195,3 +195,47 @@ def test_each_length_is_stored_by_itself(spark, monkeypatch):
     found = {(r["phrase"], r["count"]) for r in phrases.collect()}
     assert found == {(p, 10) for p in ("a", "b", "c", "a b", "b c", "a b c")}
     assert [tuple(r) for r in sizes.collect()] == [("en", 30)]
+
+
+@pytest.mark.parametrize("several", [7, 1 << 22, 1 << 32])
+def test_phrases_are_packed_whole(several):
+    """Numbers of any size, also where those of a phrase pass 64 bits together."""
+    from chatloom.llm.phrase_mining import _keys, _pack, _unpack
+
+    rng = np.random.default_rng(several)
+    rows = sorted(tuple(int(n) for n in row) for row in rng.choice([0, 1, several // 2, several - 1], (300, 4)))
+    columns = np.array(rows, np.int64).T
+    keys = _keys(list(columns), several)
+    assert [a < b for a, b in zip(keys, keys[1:])] == [a < b for a, b in zip(rows, rows[1:])]
+    assert np.array_equal(_unpack(_pack(columns.astype(np.uint32)), 4, len(rows)), columns)
+
+
+def test_the_last_scans_rows_follow_the_input(spark, monkeypatch):
+    """Five times the text lets far more than five times the pairs reach the threshold."""
+    rng = random.Random(5)
+    made = None
+
+    def counting(self, function, *args, **options):
+        total = made
+
+        def run(batches):
+            for batch in function(batches):
+                total.add(batch.num_rows)
+                yield batch
+
+        return plain(self, run if function.__name__ in ("word_scan", "last_scan") else function, *args, **options)
+
+    texts = [" ".join(f"w{rng.randrange(100)}" for _ in range(40)) for _ in range(1000)]
+    rows, found = [], []
+    for several in (200, 1000):
+        docs = spark.createDataFrame([(t, "en") for t in texts[:several]], "text string, lang string").coalesce(1)
+        plain, made = type(docs).mapInArrow, spark.sparkContext.accumulator(0)
+        with monkeypatch.context() as patch:
+            patch.setattr(type(docs), "mapInArrow", counting)
+            phrases, _ = phrase_counts(docs, max_words=2, threshold=5, slot_bits=16)
+        exact = counted([(0, t, "en") for t in texts[:several]], 2)["en"]
+        assert {(r["phrase"], r["count"]) for r in phrases.collect()} == {(" ".join(p), c) for p, c in exact.items() if c >= 5}
+        rows.append(made.value)
+        found.append(phrases.where("words = 2").count())
+    assert found[1] > 12 * found[0]
+    assert rows[1] <= 5 * rows[0]
