@@ -222,11 +222,13 @@ def salvage(stream) -> Iterator[tuple[int, int, dict | None]]:
     """``(start, end, record)`` of each record of an archive, compressed or not, and ``(start, end, None)`` of each gap."""
     window, at, gap = _Window(stream), 0, None
     while window.fill(at + 1):
+        # A beginning may lie across the edge of what is held.
+        window.fill(at + len(_VERSION))
         head = window.data[at - window.start :][: len(_VERSION)]
         found = None
         if head.startswith(_MEMBER):
             found = _member_record(window, at)
-        elif window.fill(at + len(_VERSION)) and window.data[at - window.start :].startswith(_VERSION):
+        elif head == _VERSION:
             found = _plain_record(window, at)
         if found:
             if gap is not None:

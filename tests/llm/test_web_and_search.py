@@ -63,6 +63,47 @@ def test_salvage(compressed):
         assert all(payloads[i] == p for i, p in found.items())
 
 
+class Short(io.BytesIO):
+    """A stream that returns a few bytes for each read, so that each place is at the edge of what is held."""
+
+    most = 1
+
+    def read(self, size=-1):
+        return super().read(self.most if size < 0 else min(size, self.most))
+
+
+@pytest.mark.parametrize("most", [1, 2, 3, 7, 500])
+@pytest.mark.parametrize("compressed", [True, False])
+def test_records_across_reads(compressed, most):
+    rng = random.Random(11)
+    payloads, parts = archive(rng, compressed)
+    stream = Short(b"".join(parts))
+    stream.most = most
+    assert [r and r["payload"] for _, _, r in warc.salvage(stream)] == payloads
+    for _ in range(5):
+        bad = set(rng.sample(range(30), 3))
+        data = b"".join(damaged(rng, p) if i in bad else p for i, p in enumerate(parts))
+        stream = Short(data)
+        stream.most = most
+        assert list(warc.salvage(stream)) == list(warc.salvage(io.BytesIO(data)))
+
+
+def test_member_at_the_edge_of_a_read():
+    def member(i, payload):
+        raw = warc.record_bytes("response", f"<urn:page:{i}>", None, "http://h/", hashlib.sha1(payload).hexdigest(), payload)
+        coder = zlib.compressobj(0, wbits=31)
+        return coder.compress(raw) + coder.flush()
+
+    size = 1_040_000
+    base = len(member(0, b"x" * size))
+    for before in range(9):
+        # Uncompressed blocks: a byte more of payload is a byte more of the member.
+        first = member(0, b"x" * (size + warc._READ_BYTES - before - base))
+        assert len(first) == warc._READ_BYTES - before
+        found = list(warc.salvage(io.BytesIO(first + member(1, b"second"))))
+        assert [r and r["record_id"] for _, _, r in found] == ["<urn:page:0>", "<urn:page:1>"]
+
+
 def test_pages_to_archives_and_back(spark):
     same = "x" * 1500
     rows = [(1, same), (2, same), (5, same), (3, "small"), (4, "small"), (6, None), (7, ""), (8, "é" * 600), (8, "é" * 600)]
